@@ -2,6 +2,7 @@
 
 from tidegauge.functions.entries import (
     drop_keys,
+    entry_list,
     last_per_key,
     object_text,
     prefix_keys,
@@ -26,7 +27,7 @@ from tidegauge.functions.times import (
 )
 
 __all__ = [
-    "drop_keys", "from_millis", "hash_value", "idempotency_key", "iso_utc", "json_double",
+    "drop_keys", "entry_list", "from_millis", "hash_value", "idempotency_key", "iso_utc", "json_double",
     "json_string", "last_per_key", "ntz_as_utc", "object_text", "prefix_keys",
     "resolve_org_filter", "sanitize_key", "sanitize_name", "second_utc", "sorted_entries",
     "strptime_pattern", "to_millis", "values_variant",

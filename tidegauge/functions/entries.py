@@ -13,6 +13,19 @@ from pyspark.sql import functions as F
 from tidegauge.functions.text import json_string
 
 
+def entry_list(pairs: list[tuple[str, Column, Column]]) -> Column:
+    """Entries from ``(key, value, JSON text)`` of keys known at plan time, in key order,
+    absent values left out. Built from arrays that are empty or hold one entry, which stays
+    inside generated code."""
+    none = F.array().cast("array<struct<k:string,j:string>>")
+    cells = [
+        F.when(value.isNotNull(), F.array(F.struct(F.lit(key).alias("k"), json.alias("j"))))
+        .otherwise(none)
+        for key, value, json in sorted(pairs, key=lambda pair: pair[0])
+    ]
+    return F.flatten(F.array(*cells))
+
+
 def last_per_key(entries: Column) -> Column:
     """Keep the last entry of each key. Label sets rarely collide, so the quadratic
     branch runs only for rows that have a repeated key."""
@@ -31,9 +44,14 @@ def sorted_entries(entries: Column) -> Column:
     return F.array_sort(F.filter(entries, lambda e: e["j"].isNotNull()))
 
 
-def drop_keys(entries: Column, keys: Column) -> Column:
-    """Entries whose key is not in the ``keys`` array."""
-    return F.filter(entries, lambda e: ~F.array_contains(keys, e["k"]))
+def drop_keys(entries: Column, names: tuple[str, ...], prefix: Column) -> Column:
+    """Entries whose key is none of ``names``, bare or behind ``prefix_``."""
+    head = F.concat(prefix, F.lit("_"))
+
+    def bare(key: Column) -> Column:
+        return F.when(F.startswith(key, head), F.substr(key, F.length(head) + 1)).otherwise(key)
+
+    return F.filter(entries, lambda e: ~(e["k"].isin(*names) | bare(e["k"]).isin(*names)))
 
 
 def prefix_keys(entries: Column, prefix: Column) -> Column:

@@ -20,6 +20,10 @@ SHORT_ESCAPES = {
 }
 
 
+#: Anything but printable ASCII without the quote and the backslash.
+NEEDS_ESCAPE = r"[^ !#-\[\]-~]"
+
+
 def _escape_quotes(text: Column) -> Column:
     return F.regexp_replace(text, r'(["\\])', r"\\$1")
 
@@ -40,7 +44,11 @@ def json_string(text: Column) -> Column:
         runs,
         lambda run: F.when(run.rlike("^[ -~]"), _escape_quotes(run)).otherwise(_escape_units(run)),
     )
-    body = F.when(text.rlike("[^ -~]"), F.array_join(escaped, "")).otherwise(_escape_quotes(text))
+    body = (
+        F.when(~text.rlike(NEEDS_ESCAPE), text)
+        .when(~text.rlike("[^ -~]"), _escape_quotes(text))
+        .otherwise(F.array_join(escaped, ""))
+    )
     return F.concat(F.lit('"'), body, F.lit('"'))
 
 
@@ -62,17 +70,32 @@ def json_double(value: Column) -> Column:
     return F.when(as_is, text).otherwise(_shortest(value))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once, however often the body reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _shortest(value: Column) -> Column:
-    candidates = [F.format_string(f"%.{n}e", value) for n in (14, 15, 16)]
-    picked = F.coalesce(
-        *[F.when(c.try_cast("double") == value, c) for c in candidates[:2]], candidates[2]
-    )
-    mantissa = F.regexp_replace(F.substring_index(picked, "e", 1), "[-.]", "")
-    digits = F.regexp_replace(mantissa, "0+$", "")
-    exponent = F.substring_index(picked, "e", -1).cast("int")
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    count = F.length(digits)
+    def fewest(v: Column) -> Column:
+        tries = [F.format_string(f"%.{n}e", v) for n in (14, 15, 16)]
+        fits = F.filter(F.array(*tries[:2]), lambda t: t.try_cast("double") == v)
+        return F.coalesce(F.get(fits, F.lit(0)), tries[2])
+
+    def split(text: Column) -> Column:
+        digits = F.regexp_replace(F.substring_index(text, "e", 1), "[-.]", "")
+        return F.struct(
+            F.regexp_replace(digits, "0+$", "").alias("digits"),
+            F.substring_index(text, "e", -1).cast("int").alias("exponent"),
+            F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit("")).alias("sign"),
+        )
+
+    return _let(_let(_let(value, fewest), split), _placed)
 
+
+def _placed(number: Column) -> Column:
+    """Sign, digits and exponent as positional text, or scientific outside 1e-4 to 1e16."""
+    digits, exponent = number["digits"], number["exponent"]
+    count = F.length(digits)
     scientific = F.concat(
         F.substring(digits, 1, 1),
         F.when(count > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")),
@@ -81,11 +104,13 @@ def _shortest(value: Column) -> Column:
     )
     below_one = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
     whole = F.concat(digits, F.repeat(F.lit("0"), exponent - count + 1), F.lit(".0"))
-    split = F.concat(
+    mixed = F.concat(
         F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2)
     )
-    positional = (
-        F.when(exponent < 0, below_one).when(exponent >= count - 1, whole).otherwise(split)
+    text = (
+        F.when((exponent < -4) | (exponent >= 16), scientific)
+        .when(exponent < 0, below_one)
+        .when(exponent >= count - 1, whole)
+        .otherwise(mixed)
     )
-    out = F.when((exponent < -4) | (exponent >= 16), scientific).otherwise(positional)
-    return F.concat(sign, out)
+    return F.concat(number["sign"], text)

@@ -72,6 +72,6 @@ def observed(rows: DataFrame, name: str) -> DataFrame:
 def reserved_fields(events: DataFrame, reserved: Sequence[str]) -> DataFrame:
     """``(stream_key, k, n)``: extracted fields that delivery leaves out because their name
     is reserved."""
-    named = events.select("stream_key", F.explode("entries.k").alias("k"))
+    named = events.select("stream_key", F.explode_outer("entries.k").alias("k"))
     clashing = named.where(F.col("k").isin(*reserved))
     return clashing.groupBy("stream_key", "k").agg(F.count(F.lit(1)).alias("n"))

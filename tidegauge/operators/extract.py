@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import (
+    entry_list,
     hash_value,
     iso_utc,
     json_double,
@@ -18,7 +19,7 @@ from tidegauge.functions import (
 )
 from tidegauge.plans.spec import LogField, LogFilter
 from tidegauge.schema import REJECT
-from tidegauge.sources.pages import only_object, parse_object
+from tidegauge.sources.pages import with_record
 
 
 def filter_logs(entries: DataFrame, predicate: Column | str) -> DataFrame:
@@ -87,7 +88,8 @@ def _typed(text: Column, spec: LogField) -> Column:
     if spec.field_type == "integer":
         return text.try_cast("bigint")
     if spec.field_type == "float":
-        return F.regexp_replace(text, '"', "").try_cast("double")
+        # NaN comes out of the parse in quotes
+        return F.replace(text, F.lit('"'), F.lit("")).try_cast("double")
     if spec.field_type == "timestamp":
         return F.try_to_timestamp(text, F.lit(strptime_pattern(spec.format)))
     return text
@@ -118,34 +120,37 @@ def _json_text(value: Column, spec: LogField) -> Column:
 def _with_fields(
     entries: DataFrame,
     raw: dict[str, tuple[LogField, Column]],
-    unreadable: Column | None,
+    unreadable: Column,
     on_cast_error: str,
 ) -> DataFrame:
+    """Cast the raw texts and collect them in ``fields``. Every cast value is a column of
+    its own first, so that later uses read it instead of casting again."""
     if on_cast_error not in ("reject", "null_field"):
         raise ValueError("on_cast_error must be 'reject' or 'null_field'")
-    typed = {name: (spec, text, _typed(text, spec)) for name, (spec, text) in raw.items()}
-    bad_cast = [
-        text.isNotNull() & value.isNull()
-        for spec, text, value in typed.values()
-        if spec.field_type != "string"
-    ]
-    checks = [unreadable] if unreadable is not None else []
+    kept = [c for c in entries.columns if not c.startswith("_") and c != REJECT]
+    prior = F.col(REJECT) if REJECT in entries.columns else F.lit(None).cast("string")
+    columns = {name: f"_v{i}" for i, name in enumerate(raw)}
+    failed = unreadable
     if on_cast_error == "reject":
-        checks += bad_cast
-    failed = F.lit(False)
-    for check in checks:
-        failed = failed | check
-    reason = F.when(failed, F.lit("parse_error"))
-    if REJECT in entries.columns:
-        reason = F.coalesce(F.col(REJECT), reason)
+        for spec, text in raw.values():
+            if spec.field_type != "string":
+                failed = failed | (text.isNotNull() & _typed(text, spec).isNull())
+    cast = entries.select(
+        *kept,
+        prior.alias("_prior"),
+        F.when(failed, F.lit("parse_error")).alias("_failed"),
+        *[_typed(text, spec).alias(columns[name]) for name, (spec, text) in raw.items()],
+    )
     values = F.struct(
         *[
-            (hash_value(_plain(value, spec)) if spec.hash else value).alias(name)
-            for name, (spec, _, value) in typed.items()
+            (hash_value(_plain(F.col(columns[name]), spec)) if spec.hash else F.col(columns[name]))
+            .alias(name)
+            for name, (spec, _) in raw.items()
         ]
     )
-    kept = [c for c in entries.columns if not c.startswith("_") and c != REJECT]
-    return entries.select(*kept, values.alias("fields"), reason.alias(REJECT))
+    return cast.select(
+        *kept, values.alias("fields"), F.coalesce(F.col("_prior"), F.col("_failed")).alias(REJECT)
+    )
 
 
 def _by_key(fields: Sequence[LogField]) -> dict[str, LogField]:
@@ -165,7 +170,7 @@ def extract_json_fields(
     by_key = _by_key(fields)
     tree = _leaf_tree([f.path for f in by_key.values() if not _is_indexed(f.path)])
     ddl = _ddl(tree) or "`_none` string"
-    parsed = entries.withColumn("_record", only_object(parse_object(F.col("content"), ddl)))
+    parsed = with_record(entries, "content", ddl, "_record")
     record = F.col("_record")
     raw = {
         name: (
@@ -215,23 +220,17 @@ def extract_log_events(
     extract = extract_text_fields if spec.log_format == "raw_text" else extract_json_fields
     rows = extract(entries, spec.fields, on_cast_error)
     by_key = _by_key(spec.fields)
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("k"), _json_text(F.col("fields").getField(name), f).alias("j")
-            )
-            for name, f in sorted(by_key.items())
-        ]
-    )
+    found = {name: F.col("fields").getField(name) for name in by_key}
+    pairs = [(name, found[name], _json_text(found[name], f)) for name, f in by_key.items()]
     org = by_key["organization_id"]
     numeric = org.field_type in ("integer", "float") and not org.hash
-    org_value = F.col("fields").getField("organization_id")
+    org_value = found["organization_id"]
     events = rows.select(
         (F.lit(stream_key) if stream_key else F.col("stream_key")).alias("stream_key"),
         F.col("log_id").alias("idempotency_key"),
         "event_ts",
         (org_value if org.hash else _plain(org_value, org)).alias("organization_id"),
-        F.filter(pairs, lambda e: e["j"].isNotNull()).alias("entries"),
+        entry_list(pairs).alias("entries"),
         REJECT,
     )
     return require_org(events, numeric)

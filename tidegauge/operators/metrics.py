@@ -82,11 +82,12 @@ def metric_events(
         "event_ts",
         "organization_id",
         "organization_identifier",
-        sorted_entries(last_per_key(F.concat(base, label_entries))).alias("entries"),
+        # a column of its own: the next step reads the list several times
+        F.concat(base, label_entries).alias("_listed"),
         F.coalesce(
             F.col("_prior"), F.when(none_matched, F.lit("no_labels_matched")) if spec else F.lit(None)
         ).alias(REJECT),
-    )
+    ).withColumn("entries", sorted_entries(last_per_key(F.col("_listed"))))
     return rows.select(
         "stream_key",
         idempotency_key(F.col("event_ts"), F.col("organization_id"), F.col("entries")).alias(

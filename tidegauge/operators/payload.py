@@ -18,13 +18,6 @@ BATCH_SIZE = 50
 BATCH_SECONDS = 10
 
 
-def reserved_keys(stream_key: Column) -> Column:
-    """Reserved names of a stream. The prefixed ones use the key as it is, not the default."""
-    bare = [F.lit(name) for name in RESERVED_KEYS]
-    own = F.coalesce(stream_key, F.lit("None"))
-    return F.array(*bare, *[F.concat(own, F.lit("_"), name) for name in bare])
-
-
 def entries_of(text: Column) -> Column:
     """Entries of a JSON object held as text, for rows made elsewhere. Text that is not an
     object gives no entries."""
@@ -49,7 +42,9 @@ def prefix_values(events: DataFrame) -> DataFrame:
 def payload_struct(events: DataFrame) -> DataFrame:
     """The delivered fields as columns: reserved names removed from the values, after the
     idempotency key was formed over all of them. ``values_json`` is the object's text."""
-    kept = drop_keys(F.col("entries"), reserved_keys(F.col("stream_key")))
+    # prefixed names use the stream key as it is, not the default
+    own = F.coalesce(F.col("stream_key"), F.lit("None"))
+    kept = drop_keys(F.col("entries"), RESERVED_KEYS, own)
     return events.select(
         "stream_key",
         "event_ts",

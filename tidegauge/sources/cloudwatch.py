@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tidegauge.functions import from_millis
 from tidegauge.schema import LOG_METADATA
 from tidegauge.sources.pages import (
+    explode_points,
     fail_on,
     first_reason,
     is_json_text,
     page_items,
-    rejected_once,
 )
 
 LOG_PAGE = (
@@ -61,8 +61,12 @@ def normalize_cloudwatch_metrics(
     carries no broadcast hint: Spark broadcasts it while its known size is below the
     threshold and otherwise shuffles both sides, where AQE splits a hot query id.
     """
+    # an empty result list is an error of the page, so it becomes one item without an id
     listed = page_items(
-        pages, METRIC_PAGE, "if(size(page.MetricDataResults) > 0, page.MetricDataResults, array(null))"
+        pages,
+        METRIC_PAGE,
+        "if(size(page.MetricDataResults) > 0, page.MetricDataResults, "
+        "from_json('[{}]', 'array<struct<Id:string,Timestamps:array<string>,Values:array<double>>>'))",
     )
     lookup = plan.select(
         "stream_key", F.col("query_id").alias("Id"), "metric_name", "organization_id"
@@ -73,7 +77,8 @@ def normalize_cloudwatch_metrics(
         F.col("item")["Timestamps"].alias("times"),
         F.col("item")["Values"].alias("samples"),
         first_reason(
-            (F.col("reject_reason").isNotNull(), "bad_page"), (F.col("item").isNull(), "no_results")
+            (F.col("reject_reason").isNotNull(), "bad_page"),
+            (F.col("item")["Id"].isNull(), "no_results"),
         ).alias("page_reason"),
     ).join(lookup, ["stream_key", "Id"], "left")
     reason = first_reason(
@@ -83,18 +88,10 @@ def normalize_cloudwatch_metrics(
         (~F.size("times").eqNullSafe(F.size("samples")), "length_mismatch"),
         (F.col("times").isNull(), "length_mismatch"),
     )
-    points = series.withColumn("series_reason", reason).select(
-        "stream_key",
-        "metric_name",
-        "organization_id",
-        "series_reason",
-        F.explode(
-            rejected_once(
-                F.col("series_reason"),
-                F.arrays_zip("times", "samples"),
-                "struct<times:string,samples:double>",
-            )
-        ).alias("point"),
+    points = explode_points(
+        series.withColumn("series_reason", reason),
+        F.arrays_zip("times", "samples"),
+        "struct<times:string,samples:double>",
     )
     when = F.col("point.times").try_cast("timestamp")
     out = points.select(

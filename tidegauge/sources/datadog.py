@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import from_millis, ntz_as_utc
 from tidegauge.schema import LOG_METADATA
-from tidegauge.sources.pages import fail_on, first_reason, page_items, rejected_once
+from tidegauge.sources.pages import explode_points, fail_on, first_reason, page_items
 
 LOG_PAGE = (
     "data array<struct<id:string,attributes:struct<attributes:string,timestamp:string,"
@@ -88,14 +88,8 @@ def normalize_datadog_metrics(
         zipped,
         lambda p: p["value"].isNotNull() & (F.lit(True) if keep_zero else p["value"] != 0),
     )
-    points = series.withColumn("series_reason", reason).select(
-        "stream_key",
-        "metric_name",
-        "organization_id",
-        "series_reason",
-        F.explode(
-            rejected_once(F.col("series_reason"), kept, "struct<ms:bigint,value:double>")
-        ).alias("point"),
+    points = explode_points(
+        series.withColumn("series_reason", reason), kept, "struct<ms:bigint,value:double>"
     )
     out = points.select(
         "stream_key",

@@ -13,19 +13,17 @@ from pyspark.sql import functions as F
 PERMISSIVE = {"mode": "PERMISSIVE"}
 
 
-def parse_object(text: Column, ddl: str) -> Column:
-    """Whole-text parse of one JSON object, as an array of that object.
+def with_record(rows: DataFrame, text: str, ddl: str, name: str) -> DataFrame:
+    """Add the JSON object held by a text column, null when the text is anything else.
 
-    The array is null or not of size one when the text is anything else; read it
-    through ``only_object``.
+    The parse is an array of one element, taken out by a generator. A projected column
+    would do, but Spark copies a projection into every filter it moves below it, and each
+    copy would parse the text again; it does not move filters on a generator's output.
     """
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    return F.from_json(wrapped, f"array<struct<{ddl}>>", PERMISSIVE)
-
-
-def only_object(parsed: Column) -> Column:
-    """The object of a ``parse_object`` result, null when the text was not one object."""
-    return F.when(F.size(parsed) == 1, parsed[0])
+    wrapped = F.concat(F.lit("["), F.col(text), F.lit("]"))
+    parsed = rows.withColumn("_parsed", F.from_json(wrapped, f"array<struct<{ddl}>>", PERMISSIVE))
+    single = F.when(F.size("_parsed") <= 1, F.col("_parsed"))
+    return parsed.select(*rows.columns, F.explode_outer(single).alias(name))
 
 
 def is_json_text(text: Column) -> Column:
@@ -48,21 +46,19 @@ def page_items(
     reason instead of vanishing; an empty page gives none.
     """
     shared = shared or {}
-    parsed = pages.select(
-        "stream_key", *keep, only_object(parse_object(F.col("body"), ddl)).alias("page")
-    )
-    listed = parsed.select(
+    body = with_record(pages.select("stream_key", *keep, "body"), "body", ddl, "page")
+    listed = body.select(
         "stream_key",
         *keep,
         *[F.expr(text).alias(name) for name, text in shared.items()],
-        F.coalesce(F.expr(items), F.when(F.col("page").isNull(), F.array(F.lit(None)))).alias(
-            "items"
-        ),
+        F.expr(items).alias("items"),
         F.when(F.col("page").isNull(), F.lit("bad_page")).alias("reject_reason"),
     )
-    return listed.select(
-        "stream_key", *keep, *shared, F.explode("items").alias("item"), "reject_reason"
+    # the outer form: for a plain explode Spark adds a size filter that parses pages twice
+    exploded = listed.select(
+        "stream_key", *keep, *shared, F.explode_outer("items").alias("item"), "reject_reason"
     )
+    return exploded.where(F.col("item").isNotNull() | F.col("reject_reason").isNotNull())
 
 
 def first_reason(*checks: tuple[Column, str]) -> Column:
@@ -70,9 +66,14 @@ def first_reason(*checks: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(F.coalesce(test, F.lit(False)), F.lit(why)) for test, why in checks])
 
 
-def rejected_once(reason: Column, points: Column, point_type: str) -> Column:
-    """The points to explode, or one null point that carries a rejected row along."""
-    return F.when(reason.isNull(), points).otherwise(F.array(F.lit(None).cast(point_type)))
+def explode_points(series: DataFrame, points: Column, point_type: str) -> DataFrame:
+    """One row per point of each series as ``point``; a series with a ``series_reason``
+    keeps a single row without a point."""
+    wanted = F.when(F.col("series_reason").isNull(), points).otherwise(
+        F.array(F.lit(None).cast(point_type))
+    )
+    rows = series.withColumn("point", F.explode_outer(wanted))
+    return rows.where(F.col("point").isNotNull() | F.col("series_reason").isNotNull())
 
 
 def fail_on(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.plans.spec import PrometheusQuery
-from tidegauge.sources.pages import fail_on, first_reason, page_items, rejected_once
+from tidegauge.sources.pages import explode_points, fail_on, first_reason, page_items
 
 MATRIX_PAGE = (
     "status string, data struct<resultType:string,"
@@ -57,7 +57,7 @@ def normalize_prometheus_metrics(
         (F.col("metric_name").isNull(), "unknown_query"),
         (F.coalesce(F.col("organization_id"), F.lit("")) == "", "missing_org"),
     )
-    points = series.select(
+    labelled = series.select(
         "stream_key",
         "metric_name",
         "organization_id",
@@ -67,10 +67,8 @@ def normalize_prometheus_metrics(
         ).alias("labels"),
         "samples",
         reason.alias("series_reason"),
-    ).withColumn(
-        "point",
-        F.explode(rejected_once(F.col("series_reason"), F.col("samples"), "array<string>")),
     )
+    points = explode_points(labelled, F.col("samples"), "array<string>")
     seconds = F.col("point")[0].try_cast("decimal(20,6)")
     event_ts = F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
     value = F.col("point")[1].try_cast("double")
