@@ -77,9 +77,13 @@ def _let(value: Column, body) -> Column:
 
 def _shortest(value: Column) -> Column:
     def fewest(v: Column) -> Column:
-        tries = [F.format_string(f"%.{n}e", v) for n in (14, 15, 16)]
-        fits = F.filter(F.array(*tries[:2]), lambda t: t.try_cast("double") == v)
-        return F.coalesce(F.get(fits, F.lit(0)), tries[2])
+        def tries(places) -> Column:
+            texts = F.array(*[F.format_string(f"%.{n}e", v) for n in places])
+            return F.get(F.filter(texts, lambda t: t.try_cast("double") == v), F.lit(0))
+
+        # subnormal numbers have fewer digits than the usual fifteen
+        short = F.when(F.abs(v) < F.lit(2.2250738585072014e-308), tries(range(14)))
+        return F.coalesce(short, tries((14, 15)), F.format_string("%.16e", v))
 
     def split(text: Column) -> Column:
         digits = F.regexp_replace(F.substring_index(text, "e", 1), "[-.]", "")
