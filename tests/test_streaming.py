@@ -129,7 +129,7 @@ def test_pulled_batch_tiles_the_time(spark):
     assert pulled.rdd.getNumPartitions() == len(ranges)
 
 
-@pytest.mark.parametrize("limit", [None, "2"])
+@pytest.mark.parametrize("limit", [None, "3"])
 def test_pulled_stream_resumes_from_its_checkpoint(spark, tmp_path, limit):
     register_paged_pull(spark, fetch)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
@@ -146,8 +146,26 @@ def test_pulled_stream_resumes_from_its_checkpoint(spark, tmp_path, limit):
         finally:
             query.stop()
 
-    for now in (3 * HOUR + 50_000, 4 * HOUR):
+    for now in (3 * HOUR + 50_000, 3 * HOUR + 120_000):
+        # the second run starts from the checkpoint
         run(now)
         stored = spark.read.parquet(out)
         expected = now // 10_000
         assert stored.count() == stored.select("idempotency_key").distinct().count() == expected
+
+
+def test_limited_stream_plans_whole_windows():
+    from tidegauge.sources.pull import _StreamReader
+
+    reader = _StreamReader(fetch, {"inputs": json.dumps(INPUTS), "now_ms": str(5 * HOUR),
+                                   "max_ranges_per_trigger": "2"})
+    start = reader.initialOffset()
+    end = reader.latestOffset()
+    parts = [(p.stream_key, p.start_ms, p.end_ms) for p in reader.partitions(start, end)]
+    assert parts == [
+        ("app", 0, HOUR), ("app", HOUR, 2 * HOUR),
+        ("late", 3 * HOUR, 4 * HOUR), ("late", 4 * HOUR, 4 * HOUR + 24_000),
+    ]
+    later = reader.latestOffset()["heads"]
+    assert later == {"app": 4 * HOUR, "late": 4 * HOUR + 72_000}
+    assert reader.partitions(end, end) == []

@@ -52,10 +52,11 @@ class _Inputs:
     def now(self) -> int:
         return int(self.fixed_now) if self.fixed_now else time.time_ns() // 1_000_000
 
-    def ranges(self, row: dict, start: int, end: int) -> Iterator[TimeRange]:
+    def ranges(self, row: dict, start: int, end: int, now: int) -> Iterator[TimeRange]:
+        """Ranges from ``start`` to ``end`` as planned at the moment ``now``."""
         step, at = STEP_MS[row["kind"]], start
         while at < end:
-            head = next_head(at, end, step)
+            head = min(next_head(at, now, step), end)
             yield TimeRange(row["stream_key"], row["provider"], row["kind"], at, head)
             at = head
 
@@ -78,7 +79,7 @@ class _BatchReader(DataSourceReader):
         return [
             part
             for row in self.inputs.rows
-            for part in self.inputs.ranges(row, row["start_from"], now)
+            for part in self.inputs.ranges(row, row["start_from"], now, now)
         ]
 
     def read(self, partition: TimeRange) -> Iterator[tuple]:
@@ -86,37 +87,41 @@ class _BatchReader(DataSourceReader):
 
 
 class _StreamReader(DataSourceStreamReader):
+    """Offsets are ``{"heads": {stream_key: next unread ms}, "now": planning time}``. With
+    the planning time in the offset, a replayed batch is cut into the same ranges."""
+
     def __init__(self, fetch: PageFetcher, options: dict[str, str]):
         self.fetch, self.inputs = fetch, _Inputs(options)
         self.reached: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
-        return {row["stream_key"]: row["start_from"] for row in self.inputs.rows}
+        return {"heads": {r["stream_key"]: r["start_from"] for r in self.inputs.rows}, "now": 0}
 
     def latestOffset(self) -> dict:
-        now = self.inputs.now()
-        if not self.inputs.limit:
-            return {
-                row["stream_key"]: max(now, row["start_from"]) for row in self.inputs.rows
-            }
-        # a limited trigger advances every input by up to `limit` ranges
+        now, limit = self.inputs.now(), self.inputs.limit
         heads = {}
         for row in self.inputs.rows:
-            at = self.reached.get(row["stream_key"], row["start_from"])
-            for _ in range(self.inputs.limit):
-                if at >= now:
-                    break
-                at = next_head(at, now, STEP_MS[row["kind"]])
+            at = max(self.reached.get(row["stream_key"], 0), row["start_from"])
+            if not limit:
+                at = max(at, now)
+            # a limited trigger advances every input by up to `limit` ranges
+            for _ in range(limit):
+                if at < now:
+                    at = next_head(at, now, STEP_MS[row["kind"]])
             heads[row["stream_key"]] = at
-        return heads
+        return {"heads": heads, "now": now}
 
     def partitions(self, start: dict, end: dict) -> list[TimeRange]:
-        self.reached = dict(end)
+        self.reached = dict(end["heads"])
         return [
             part
             for row in self.inputs.rows
+            if row["stream_key"] in end["heads"]
             for part in self.inputs.ranges(
-                row, start.get(row["stream_key"], row["start_from"]), end[row["stream_key"]]
+                row,
+                start["heads"].get(row["stream_key"], row["start_from"]),
+                end["heads"][row["stream_key"]],
+                end["now"],
             )
         ]
 
@@ -124,7 +129,7 @@ class _StreamReader(DataSourceStreamReader):
         return _read(self.fetch, partition)
 
     def commit(self, end: dict) -> None:
-        self.reached = dict(end)
+        self.reached = dict(end["heads"])
 
 
 def paged_pull_source(fetch: PageFetcher, source: str = "paged_pull") -> type[DataSource]:
