@@ -51,6 +51,36 @@ def test_counter_rate_equals_brute_force(counters, block_ms):
     close(out(op.counter_rate(frame, window, block_ms)), sorted(expected))
 
 
+def stretched(points, start, end):
+    """Increase of ``(ms, value)`` points extrapolated to the window borders."""
+    gain = increase([v for _, v in points])
+    sampled = points[-1][0] - points[0][0]
+    apart = sampled / (len(points) - 1)
+    before, after = points[0][0] - start, end - points[-1][0]
+    before = apart / 2 if before >= apart * 1.1 else before
+    after = apart / 2 if after >= apart * 1.1 else after
+    if gain > 0 and points[0][1] >= 0:
+        before = min(before, sampled * points[0][1] / gain)
+    return gain * (sampled + before + after) / sampled
+
+
+def test_extrapolated_rates_equal_brute_force(counters):
+    frame, samples = counters
+    start, end, step, window = 100_000, 3_900_000, 30_000, 300_000
+    grid, at_samples = [], []
+    for org, points in samples.items():
+        for g in range(start, end + 1, step):
+            inside = [p for p in points if g - window < p[0] <= g]
+            if len(inside) > 1:
+                grid.append(((org, g), stretched(inside, g - window, g) / 300))
+        for g, _ in points:
+            inside = [p for p in points if g - window < p[0] <= g]
+            if len(inside) > 1:
+                at_samples.append(((org, g), stretched(inside, g - window, g) / 300))
+    close(out(op.rate_grid(frame, start, end, step, window, extrapolate=True)), sorted(grid))
+    close(out(op.counter_rate(frame, window, extrapolate=True)), sorted(at_samples))
+
+
 def test_counter_rate_window_is_open_at_its_start(metrics):
     frame = metrics(*[("c", v, "o", s, None) for s, v in [(0, 1.0), (60, 4.0), (61, 9.0)]])
     assert [v for _, v in out(op.counter_rate(frame, 60_000))] == [0.0, 0.0, 5.0 / 60]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidegauge.functions.text import json_string
+from tidegauge.functions.text import NEEDS_ESCAPE, json_string
 
 
 def entry_list(pairs: list[tuple[str, Column, Column]]) -> Column:
@@ -41,7 +41,7 @@ def last_per_key(entries: Column) -> Column:
 
 def sorted_entries(entries: Column) -> Column:
     """Entries in key order (code points), without absent values."""
-    return F.array_sort(F.filter(entries, lambda e: e["j"].isNotNull()))
+    return F.sort_array(F.filter(entries, lambda e: e["j"].isNotNull()))
 
 
 def drop_keys(entries: Column, names: tuple[str, ...], prefix: Column) -> Column:
@@ -67,9 +67,18 @@ def prefix_keys(entries: Column, prefix: Column) -> Column:
 
 
 def object_text(entries: Column) -> Column:
-    """JSON object text of the entries in their order."""
-    members = F.transform(entries, lambda e: F.concat(json_string(e["k"]), F.lit(": "), e["j"]))
-    return F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+    """JSON object text of the entries in their order. Keys are checked for characters to
+    escape all at once, since sanitised names hardly ever hold any."""
+
+    def members(quoted) -> Column:
+        return F.transform(entries, lambda e: F.concat(quoted(e["k"]), F.lit(": "), e["j"]))
+
+    plain = members(lambda key: F.concat(F.lit('"'), key, F.lit('"')))
+    odd = F.concat_ws("", entries["k"]).rlike(NEEDS_ESCAPE)
+    text = F.when(odd, F.array_join(members(json_string), ", ")).otherwise(
+        F.array_join(plain, ", ")
+    )
+    return F.concat(F.lit("{"), text, F.lit("}"))
 
 
 def values_variant(entries: Column) -> Column:

@@ -44,15 +44,15 @@ def payload_struct(events: DataFrame) -> DataFrame:
     idempotency key was formed over all of them. ``values_json`` is the object's text."""
     # prefixed names use the stream key as it is, not the default
     own = F.coalesce(F.col("stream_key"), F.lit("None"))
-    kept = drop_keys(F.col("entries"), RESERVED_KEYS, own)
-    return events.select(
+    kept = events.withColumn("entries", drop_keys(F.col("entries"), RESERVED_KEYS, own))
+    return kept.select(
         "stream_key",
         "event_ts",
         "organization_id",
         second_utc(F.col("event_ts")).alias("timestamp"),
         F.coalesce(F.nullif(F.col("stream_key"), F.lit("")), F.lit(DEFAULT_KEY)).alias("key"),
         "idempotency_key",
-        object_text(kept).alias("values_json"),
+        object_text(F.col("entries")).alias("values_json"),
     )
 
 
@@ -88,7 +88,7 @@ def request_batches(
         order=["event_ts", "idempotency_key", "payload"],
         slice_by=F.floor(F.unix_millis("event_ts") / slice_ms),
     )
-    in_order = F.array_sort(F.collect_list(F.struct("row_no", "payload")))
+    in_order = F.sort_array(F.collect_list(F.struct("row_no", "payload")))
     return (
         numbered.withColumn("batch_no", F.floor((F.col("row_no") - 1) / size).cast("bigint"))
         .groupBy(by, "batch_no")

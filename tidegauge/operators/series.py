@@ -8,6 +8,7 @@ many tasks; the few samples a block needs from its neighbour are sent there as w
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,28 +87,21 @@ def select_series(
     """
     sets = [tuple(sorted(names)) for names in dimension_sets]
 
-    def keyed(value_of) -> Column:
-        options = [
-            F.struct(
-                F.lit(no).alias("set_no"),
-                F.array(*[value_of(name) for name in names]).cast("array<string>").alias("vals"),
-            )
-            for no, names in enumerate(sets)
-        ]
-        complete = F.filter(
-            F.array(*options), lambda o: ~F.exists(o["vals"], lambda v: v.isNull())
-        )
-        return complete
+    def option(no: int, names: Sequence[str]) -> Column:
+        values = F.array(*[label(name) for name in names]).cast("array<string>")
+        complete = reduce(lambda a, b: a & b, [label(name).isNotNull() for name in names])
+        return F.when(complete, F.struct(F.lit(no).alias("set_no"), values.alias("vals")))
 
     names_of = {no: F.array(*[F.lit(n) for n in names]) for no, names in enumerate(sets)}
-    own_names = F.array_sort(F.map_keys("dims"))
+    own_names = F.sort_array(F.map_keys("dims"))
     own_set = F.coalesce(*[F.when(own_names == v, F.lit(no)) for no, v in names_of.items()])
     lookup = specs.select(
         "spec_id",
         own_set.alias("_set"),
         F.transform(own_names, lambda n: F.try_element_at(F.col("dims"), n)).alias("_vals"),
     )
-    candidates = metrics.withColumn("_key", F.explode(keyed(label)))
+    options = F.array(*[option(no, names) for no, names in enumerate(sets)])
+    candidates = metrics.withColumn("_key", F.explode(options)).where(F.col("_key").isNotNull())
     joined = candidates.join(
         lookup,
         (F.col("_key.set_no") == F.col("_set")) & (F.col("_key.vals") == F.col("_vals")),
@@ -177,7 +171,7 @@ def series_ratio(
 
 def _series_key() -> Column:
     """Exact identity of a series, usable as a grouping key."""
-    entries = F.array_sort(
+    entries = F.sort_array(
         F.map_entries(F.coalesce(F.col("labels"), F.create_map().cast("map<string,string>")))
     )
     return F.struct(
@@ -212,11 +206,35 @@ def _in_blocks(rows: DataFrame, at: str, width: int, before: int = 0, after: int
     )
 
 
-def counter_rate(metrics: DataFrame, window_ms: int, block_ms: int | None = None) -> DataFrame:
+def _extrapolated(
+    increase: Column, n: Column, first_us: Column, last_us: Column, first_value: Column,
+    start_us: Column, end_us: Column,
+) -> Column:
+    """Increase stretched to the window borders the way Prometheus documents it: up to the
+    border when that is within 1.1 sample distances, else by half a distance, and at the
+    start no further than where the counter would have been zero."""
+    sampled = (last_us - first_us).cast("double")
+    apart = sampled / (n - 1)
+    to_start, to_end = (first_us - start_us).cast("double"), (end_us - last_us).cast("double")
+
+    def reach(gap: Column) -> Column:
+        return F.when(gap >= apart * 1.1, apart / 2).otherwise(gap)
+
+    to_zero = F.when(
+        (increase > 0) & (first_value >= 0), F.try_divide(sampled * first_value, increase)
+    )
+    before = F.least(reach(to_start), F.coalesce(to_zero, reach(to_start)))
+    return increase * F.try_divide(sampled + before + reach(to_end), sampled)
+
+
+def counter_rate(
+    metrics: DataFrame, window_ms: int, block_ms: int | None = None, extrapolate: bool = False
+) -> DataFrame:
     """Per-second rate of a counter at each of its samples, over the samples in
     ``(t - window, t]``. A drop of the counter is a reset: the new reading counts whole.
     The window's first sample is the base, so a window with one sample has rate zero.
-    There is no extrapolation to the window borders.
+    ``extrapolate`` stretches the increase to the window borders as Prometheus does, and
+    leaves out windows with a single sample.
 
     Two passes over sorted blocks and one shuffle: running sums of the increase, then for
     each sample the running sum at the first sample of its window. The cost is linear in
@@ -236,7 +254,11 @@ def counter_rate(metrics: DataFrame, window_ms: int, block_ms: int | None = None
         .when(F.col("value") < previous, F.col("value"))
         .otherwise(F.col("value") - previous)
     )
-    summed = blocks.withColumn("_step", increase).withColumn("_sum", F.sum("_step").over(running))
+    summed = (
+        blocks.withColumn("_step", increase)
+        .withColumn("_sum", F.sum("_step").over(running))
+        .withColumn("_no", F.row_number().over(order))
+    )
     # Every sample also poses the question "which is the first sample after t - window?".
     # Reading time backwards, the answer is the last sample passed before the question.
     asked = F.array(
@@ -244,7 +266,7 @@ def counter_rate(metrics: DataFrame, window_ms: int, block_ms: int | None = None
         F.struct((F.col("at") - window_us).alias("pos"), F.lit(1).alias("is_question")),
     )
     posed = summed.withColumn("_p", F.explode(asked)).select(
-        "series", "block", "own", "at", "value", "_sum", "_p.pos", "_p.is_question"
+        "series", "block", "own", "at", "value", "_sum", "_no", "_p.pos", "_p.is_question"
     ).where((F.col("is_question") == 0) | F.col("own"))
     backwards = (
         Window.partitionBy("series", "block")
@@ -252,11 +274,21 @@ def counter_rate(metrics: DataFrame, window_ms: int, block_ms: int | None = None
         .orderBy(F.desc("pos"), F.desc("is_question"), F.desc("value"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    base = F.last(F.when(F.col("is_question") == 0, F.col("_sum")), ignorenulls=True)
-    answered = posed.withColumn("_base", base.over(backwards)).where(F.col("is_question") == 1)
-    rate = (F.col("_sum") - F.col("_base")) / F.lit(window_ms / 1000.0)
+    sample = F.when(F.col("is_question") == 0, F.struct("at", "value", "_sum", "_no"))
+    first = F.last(sample, ignorenulls=True).over(backwards)
+    answered = posed.withColumn("_first", first).where(F.col("is_question") == 1)
+    total = F.col("_sum") - F.col("_first._sum")
+    if extrapolate:
+        n = F.col("_no") - F.col("_first._no") + 1
+        answered = answered.where(n > 1)
+        total = _extrapolated(
+            total, n, F.col("_first.at"), F.col("at"), F.col("_first.value"),
+            F.col("at") - window_us, F.col("at"),
+        )
     return answered.select(
-        "series", F.timestamp_micros("at").alias("event_ts"), rate.alias("value")
+        "series",
+        F.timestamp_micros("at").alias("event_ts"),
+        (total / F.lit(window_ms / 1000.0)).alias("value"),
     ).select(*_series_columns())
 
 
@@ -300,11 +332,12 @@ def step_grid(
 
 
 def rate_grid(
-    metrics: DataFrame, start_ms: int, end_ms: int, step_ms: int, window_ms: int
+    metrics: DataFrame, start_ms: int, end_ms: int, step_ms: int, window_ms: int,
+    extrapolate: bool = False,
 ) -> DataFrame:
     """Counter rate at ``start, start + step, ...`` up to ``end``, over the samples in
     ``(t - window, t]``; ``window_ms`` is a multiple of ``step_ms``. Instants whose window
-    holds fewer than two samples have no row.
+    holds fewer than two samples have no row. ``extrapolate`` is as in ``counter_rate``.
 
     Samples are folded per step first. The folded rows number at most one per series and
     step, however many samples a hot series has, and the window then runs over those.
@@ -334,6 +367,8 @@ def rate_grid(
             F.count(F.lit(1)).alias("n"),
             F.min(F.struct("at", "value")).getField("value").alias("first_value"),
             F.max(F.struct("at", "value")).getField("value").alias("last_value"),
+            F.min("at").alias("first_at"),
+            F.max("at").alias("last_at"),
         )
     )
     # a step is seen by the windows ending at it and at the next span - 1 steps
@@ -353,15 +388,25 @@ def rate_grid(
         .agg(
             F.sum(F.col("inside") + F.col("bridge")).alias("total"),
             F.min_by("bridge", "slot").alias("base"),
+            F.min_by("first_value", "slot").alias("first_value"),
+            F.min("first_at").alias("first_at"),
+            F.max("last_at").alias("last_at"),
             F.sum("n").alias("n"),
         )
         .where(F.col("n") > 1)
     )
-    rate = (F.col("total") - F.col("base")) / F.lit(window_ms / 1000.0)
-    instant = F.timestamp_micros(F.lit(first_us) + F.col("instant") * F.lit(step_us))
-    return windows.select("series", rate.alias("value"), instant.alias("event_ts")).select(
-        *_series_columns()
-    )
+    instant_us = F.lit(first_us) + F.col("instant") * F.lit(step_us)
+    total = F.col("total") - F.col("base")
+    if extrapolate:
+        total = _extrapolated(
+            total, F.col("n"), F.col("first_at"), F.col("last_at"), F.col("first_value"),
+            instant_us - window_ms * 1000, instant_us,
+        )
+    return windows.select(
+        "series",
+        (total / F.lit(window_ms / 1000.0)).alias("value"),
+        F.timestamp_micros(instant_us).alias("event_ts"),
+    ).select(*_series_columns())
 
 
 def histogram_quantile(

@@ -128,7 +128,7 @@ def _paged(
 ) -> DataFrame:
     """Pages of ``PAGE_ROWS`` event ids. ``body`` maps the time-ordered items to the page."""
     grouped = events.groupBy(F.floor(F.col("event_id") / PAGE_ROWS).alias("page")).agg(
-        F.array_sort(F.collect_list(item)).alias("items"),
+        F.sort_array(F.collect_list(item)).alias("items"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
     )
