@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import (
+    entry_list,
     hash_value,
     idempotency_key,
     json_double,
     json_string,
     last_per_key,
     sanitize_key,
+    sanitize_name,
     sorted_entries,
 )
 from tidegauge.plans.spec import MetricField, MetricFilter
@@ -44,6 +47,25 @@ def metric_org(organization_id: Column, identifier: Column, fields: Sequence[Met
     return F.when(applies, hash_value(organization_id)).otherwise(organization_id)
 
 
+def _label_entries(labels: Column, fields: Sequence[MetricField]) -> Column:
+    """Entries of the listed labels. The names are known here, so they are sanitised now and
+    looked up one by one; of names that become equal the last present one counts."""
+    found: dict[str, Column] = {}
+    for f in fields:
+        value = F.try_element_at(labels, F.lit(f.key))
+        value = hash_value(value) if f.hash else value
+        name = sanitize_name(f.key)
+        found[name] = F.coalesce(value, found[name]) if name in found else value
+    return entry_list([(name, value, json_string(value)) for name, value in found.items()])
+
+
+def _all_label_entries(labels: Column) -> Column:
+    return F.transform(
+        F.map_entries(labels),
+        lambda e: F.struct(sanitize_key(e["key"]).alias("k"), json_string(e["value"]).alias("j")),
+    )
+
+
 def metric_events(
     metrics: DataFrame, spec: MetricFilter | None = None, stream_key: str | None = None
 ) -> DataFrame:
@@ -55,38 +77,28 @@ def metric_events(
     """
     fields = spec.fields if spec else ()
     labels = F.coalesce(F.col("labels"), F.create_map().cast("map<string,string>"))
-    chosen = select_labels(labels, fields) if spec else labels
-    none_matched = (F.size(labels) > 0) & (F.size(F.col("_chosen")) == 0)
+    chosen = _label_entries(labels, fields) if spec else _all_label_entries(labels)
     base = F.array(
         F.struct(
             sanitize_key(F.col("metric_name")).alias("k"), json_double(F.col("value")).alias("j")
         )
     )
-    label_entries = F.transform(
-        F.map_entries(F.col("_chosen")),
-        lambda e: F.struct(sanitize_key(e["key"]).alias("k"), json_string(e["value"]).alias("j")),
-    )
     prior = F.col(REJECT) if REJECT in metrics.columns else F.lit(None).cast("string")
+    reason = prior
+    if spec:
+        listed = [F.lit(f.key) for f in fields]
+        none_listed = (F.size(labels) > 0) & ~reduce(
+            lambda a, b: a | b, [F.map_contains_key(labels, key) for key in listed]
+        )
+        reason = F.coalesce(prior, F.when(none_listed, F.lit("no_labels_matched")))
+    # entries in two steps: the second reads the list of the first several times
     rows = metrics.select(
         (F.lit(stream_key) if stream_key else F.col("stream_key")).alias("stream_key"),
         "event_ts",
         "organization_id",
         "organization_identifier",
-        "metric_name",
-        "value",
-        F.col("labels"),
-        chosen.alias("_chosen"),
-        prior.alias("_prior"),
-    ).select(
-        "stream_key",
-        "event_ts",
-        "organization_id",
-        "organization_identifier",
-        # a column of its own: the next step reads the list several times
-        F.concat(base, label_entries).alias("_listed"),
-        F.coalesce(
-            F.col("_prior"), F.when(none_matched, F.lit("no_labels_matched")) if spec else F.lit(None)
-        ).alias(REJECT),
+        F.concat(base, chosen).alias("_listed"),
+        reason.alias(REJECT),
     ).withColumn("entries", sorted_entries(last_per_key(F.col("_listed"))))
     return rows.select(
         "stream_key",
