@@ -166,4 +166,23 @@ def test_number_rows_equals_row_number_on_a_hot_key(spark):
     assert numbered.exceptAll(plain).count() == 0 and plain.exceptAll(numbered).count() == 0
     # no task orders a whole key: the sorting window is over key and slice
     plan = numbered._jdf.queryExecution().executedPlan().toString()
-    assert "row_number() windowspecdefinition(key" in plan and "_slice" in plan
+    assert "row_number() windowspecdefinition(_key" in plan and "_slice" in plan
+
+
+def test_number_rows_counts_rows_without_a_key(spark):
+    frame = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "key string, at int")
+    rows = op.number_rows(frame, ["key"], ["at"], F.floor(F.col("at") / 2)).collect()
+    assert sorted((r.key or "", r.at, r.row_no) for r in rows) == [("", 1, 1), ("", 2, 2), ("a", 1, 1)]
+
+
+def test_number_rows_shuffles_the_rows_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.range(100).selectExpr("id % 3 as key", "id as at")
+        numbered = op.number_rows(frame, ["key"], ["at"], F.floor(F.col("at") / 10))
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # rows by (key, slice); counts by (key, slice), by key, and back for the join
+    assert plan.count("Exchange hashpartitioning") <= 4 and "SortMergeJoin" in plan

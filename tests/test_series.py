@@ -134,6 +134,15 @@ def test_rollup_statistics(metrics, stat, expected):
         op.rollup(frame, 60, "p99")
 
 
+def test_several_statistics_take_one_pass(metrics):
+    frame = metrics(*[("c", v, "o", s, None) for s, v in [(0, 1.0), (30, 2.0), (60, 9.0)]])
+    rolled = op.rollup(frame, 60, ["avg", "max", "count"], ["organization_id"])
+    assert rolled._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = sorted((r.period_start.minute, r.statistic, r.value) for r in rolled.collect())
+    assert got == [(0, "avg", 1.5), (0, "count", 2.0), (0, "max", 2.0),
+                   (1, "avg", 9.0), (1, "count", 1.0), (1, "max", 9.0)]
+
+
 def test_match_labels(metrics):
     frame = metrics(
         ("m", 1.0, "o", 0.0, {"env": "prod", "host": "web-1"}), ("m", 2.0, "o", 0.0, {"env": "prod"}),

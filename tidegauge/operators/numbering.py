@@ -8,7 +8,6 @@ come from a count per slice, which is one small row each.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,25 +27,21 @@ def number_rows(
     ``total`` names an optional column with the row count of the key. The input is
     evaluated twice, once for the counts, so it must be deterministic.
     """
-    by = list(by)
-    sliced = df.withColumn("_slice", slice_by)
-    counts = sliced.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (
-        Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    whole = F.sum("_n").over(Window.partitionBy(*by))
+    # one struct column: equal as a whole even where a key is null, and both the window and
+    # the join partition by it, so the rows are shuffled once
+    sliced = df.withColumn("_key", F.struct(*by, slice_by.alias("_slice")))
+    counts = sliced.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    whole_key = Window.partitionBy(*[F.col("_key").getField(c) for c in by])
+    earlier = whole_key.orderBy(F.col("_key._slice")).rowsBetween(Window.unboundedPreceding, -1)
     slices = counts.select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
-        F.col("_slice").alias("_s"),
-        before.alias("_before"),
-        whole.alias("_total"),
+        "_key",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(whole_key).alias("_total"),
     )
-    within = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(*order))
-    numbered = sliced.withColumn("_within", within.cast("bigint"))
-    on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
-    on.append(F.col("_slice").eqNullSafe(F.col("_s")))
+    within = F.row_number().over(Window.partitionBy("_key").orderBy(*order)).cast("bigint")
     extra = [F.col("_total").alias(total)] if total else []
-    return numbered.join(slices, reduce(lambda a, b: a & b, on)).select(
-        *df.columns, (F.col("_before") + F.col("_within")).alias(number), *extra
+    return (
+        sliced.withColumn("_within", within)
+        .join(slices, "_key")
+        .select(*df.columns, (F.col("_before") + F.col("_within")).alias(number), *extra)
     )

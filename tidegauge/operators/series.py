@@ -33,14 +33,27 @@ def statistic(name: str, value: Column) -> Column:
     return {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}[kind](value)
 
 
-def rollup(df: DataFrame, period_s: int, stat: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., period_start, value)``: one statistic per aligned period. Works on streams
-    with a watermark on ``event_ts``; partial sums are formed before the shuffle."""
-    return (
-        df.groupBy(*by, F.window("event_ts", f"{period_s} seconds").alias("_period"))
-        .agg(statistic(stat, F.col("value")).alias("value"))
-        .select(*by, F.col("_period.start").alias("period_start"), "value")
+def rollup(
+    df: DataFrame, period_s: int, stat: str | Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """``(by..., period_start, value)``: one statistic per aligned period, or with several
+    statistics ``(by..., period_start, statistic, value)`` from one pass over the data.
+    Works on streams with a watermark on ``event_ts``; partial aggregates are formed before
+    the shuffle."""
+    period = F.window("event_ts", f"{period_s} seconds").alias("_period")
+    grouped = df.groupBy(*by, period)
+    start = F.col("_period.start").alias("period_start")
+    if isinstance(stat, str):
+        rolled = grouped.agg(statistic(stat, F.col("value")).alias("value"))
+        return rolled.select(*by, start, "value")
+    wide = grouped.agg(*[statistic(s, F.col("value")).alias(f"_s{i}") for i, s in enumerate(stat)])
+    cells = F.array(
+        *[
+            F.struct(F.lit(s).alias("statistic"), F.col(f"_s{i}").cast("double").alias("value"))
+            for i, s in enumerate(stat)
+        ]
     )
+    return wide.select(*by, start, F.inline(cells))
 
 
 # --- labels -------------------------------------------------------------------------
@@ -50,7 +63,8 @@ def label(name: str) -> Column:
     """A label by name; identity columns can be named like labels."""
     if name in IDENTITY:
         return F.col(name)
-    return F.try_element_at(F.col("labels"), F.lit(name))
+    # a plain map access: Spark resolves it at plan time when the map is built in the plan
+    return F.col("labels")[name]
 
 
 def match_labels(

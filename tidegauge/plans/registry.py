@@ -716,16 +716,11 @@ def _exact(rows: DataFrame) -> DataFrame:
 
 
 def _five_statistics(rows: DataFrame, period_s: int, by: list[str]) -> DataFrame:
-    parts = []
-    for stat in ("Average", "Minimum", "Maximum", "Sum", "SampleCount"):
-        rolled = op.rollup(rows, period_s, stat, by)
-        parts.append(
-            rolled.select(
-                *by, F.lit(stat).alias("statistic"), to_millis(F.col("period_start")).alias("start_ms"),
-                F.round(F.col("value").cast("double"), 6).alias("value"),
-            )
-        )
-    return op.merge_streams(*parts)
+    names = ("Average", "Minimum", "Maximum", "Sum", "SampleCount")
+    return op.rollup(rows, period_s, names, by).select(
+        *by, "statistic", to_millis(F.col("period_start")).alias("start_ms"),
+        F.round("value", 6).alias("value"),
+    )
 
 
 _STATS = """
@@ -758,7 +753,7 @@ FROM (SELECT l_returnflag AS flag, epoch_us(l_shipdate) // 604800000000 * 604800
 def rollup_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five period statistics per week of shipping and return flag."""
     metrics = t.lineitem_metrics(t.table(spark, sf_dir, "lineitem"))
-    flagged = metrics.withColumn("flag", F.try_element_at("labels", F.lit("flag")))
+    flagged = metrics.withColumn("flag", F.col("labels")["flag"])
     return _five_statistics(_exact(flagged), 7 * 86_400, ["flag"])
 
 
