@@ -39,7 +39,7 @@ def counters(metrics):
     return metrics(*rows), samples
 
 
-@pytest.mark.parametrize("block_ms", [None, 60_000, 10_000_000])
+@pytest.mark.parametrize("block_ms", [None, 60_000, 10_000_000, 7_000, 25_000])
 def test_counter_rate_equals_brute_force(counters, block_ms):
     frame, samples = counters
     window = 60_000
@@ -79,6 +79,8 @@ def test_extrapolated_rates_equal_brute_force(counters):
                 at_samples.append(((org, g), stretched(inside, g - window, g) / 300))
     close(out(op.rate_grid(frame, start, end, step, window, extrapolate=True)), sorted(grid))
     close(out(op.counter_rate(frame, window, extrapolate=True)), sorted(at_samples))
+    small = op.counter_rate(frame, window, block_ms=20_000, extrapolate=True)
+    close(out(small), sorted(at_samples))
 
 
 def test_counter_rate_window_is_open_at_its_start(metrics):
@@ -95,9 +97,12 @@ def test_rate_grid_equals_brute_force(counters):
             inside = [v for ms, v in points if g - window < ms <= g]
             if len(inside) > 1:
                 expected.append(((org, g), increase(inside) / 300))
-    close(out(op.rate_grid(frame, start, end, step, window)), sorted(expected))
+    for fold in (None, 10_000, 1_000):
+        close(out(op.rate_grid(frame, start, end, step, window, fold_ms=fold)), sorted(expected))
     with pytest.raises(ValueError):
         op.rate_grid(frame, start, end, step, 45_000)
+    with pytest.raises(ValueError):
+        op.rate_grid(frame, start, end, step, window, fold_ms=7_000)
 
 
 @pytest.mark.parametrize("lookback", [300_000, 20_000])

@@ -55,6 +55,18 @@ def test_stream_equals_batch_and_resumes(spark, pages, landed, tmp_path):
     assert spark.read.parquet(out.path).count() == 33
 
 
+@pytest.mark.parametrize("combine", [True, False])
+def test_stream_dedupe_of_a_much_copied_event(spark, pages, tmp_path, combine):
+    path = str(tmp_path / "copies")
+    copies = [0] * 400 + list(range(5)) + [0] * 400
+    pages("cloudwatch", "logs", body(copies), body(copies), stream_key="app").write.parquet(path)
+    events = build_flow(spark, FlowSpec([SPEC]), read_pages(spark, path, streaming=True)).events
+    unique = op.dedupe_events(events, "1 hour", combine=combine)
+    out = str(tmp_path / "out")
+    run_available(stream_to(unique, "table", str(tmp_path / "ck"), path=out, available_now=True), 120)
+    assert [r[0] for r in rows(spark.read.parquet(out))] == [f"e{i}" for i in range(5)]
+
+
 def test_http_stream_sends_each_event(spark, landed, tmp_path):
     folder = str(tmp_path / "box")
 

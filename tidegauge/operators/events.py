@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,29 @@ def merge_streams(*streams: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), streams)
 
 
-def dedupe_events(events: DataFrame, watermark: str | None = None) -> DataFrame:
+def _drop_local_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keep the first event of each key within an Arrow batch."""
+    for batch in batches:
+        keys = pd.DataFrame({c: batch.column(c).to_pandas() for c in EVENT_KEY})
+        yield batch.filter(pa.array(~keys.duplicated().to_numpy()))
+
+
+def dedupe_events(
+    events: DataFrame, watermark: str | None = None, combine: bool = True
+) -> DataFrame:
     """One event per stream and idempotency key.
 
     In batch the smallest row of the copies is kept, so a rerun keeps the same one; copies
     collapse within each task before the shuffle, so a much repeated event is no hot spot.
-    A stream needs a ``watermark`` delay, which bounds the keys held in state.
+    A stream needs a ``watermark`` delay, which bounds the keys held in state. Streaming
+    de-duplication has no step before its shuffle, so ``combine`` adds one that drops copies
+    batch by batch; turn it off where copies are known to be few.
     """
     if events.isStreaming:
         if watermark is None:
             raise ValueError("de-duplicating a stream needs a watermark delay")
+        if combine:
+            events = events.mapInArrow(_drop_local_copies, events.schema)
         return events.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(
             list(EVENT_KEY)
         )

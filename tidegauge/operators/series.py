@@ -241,6 +241,71 @@ def _extrapolated(
     return increase * F.try_divide(sampled + before + reach(to_end), sampled)
 
 
+def _increase(value: Column, previous: Column) -> Column:
+    """Increase of a counter over its previous reading; a drop is a reset, after which the
+    reading counts whole."""
+    return (
+        F.when(previous.isNull(), F.lit(0.0)).when(value < previous, value)
+        .otherwise(value - previous)
+    )
+
+
+def _up_to_here(*keys: str, order: Sequence[Column]):
+    return (
+        Window.partitionBy(*keys).orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
+def _running_increase(rows: DataFrame) -> DataFrame:
+    """Add ``sum`` and ``no``: increase and number of samples since the start of the block."""
+    order = Window.partitionBy("series", "block").orderBy("at", "value")
+    step = rows.withColumn("step", _increase(F.col("value"), F.lag("value").over(order)))
+    running = _up_to_here("series", "block", order=[F.col("at"), F.col("value")])
+    return step.withColumn("sum", F.sum("step").over(running)).withColumn(
+        "no", F.row_number().over(order).cast("bigint")
+    )
+
+
+def _running_increase_over_blocks(rows: DataFrame) -> DataFrame:
+    """The same since the start of the series: each block's own sums, plus what the earlier
+    blocks add up to, which takes one row per block."""
+    local = _running_increase(rows)
+    totals = local.groupBy("series", "block").agg(
+        F.sum("step").alias("inside"),
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("at", "value")).getField("value").alias("first_value"),
+        F.max(F.struct("at", "value")).getField("value").alias("last_value"),
+    )
+    order = Window.partitionBy("series").orderBy("block")
+    bridge = _increase(F.col("first_value"), F.lag("last_value").over(order))
+    bridged = totals.withColumn("bridge", bridge)
+    to_here = _up_to_here("series", order=[F.col("block")])
+    starts = bridged.select(
+        "series",
+        "block",
+        (F.sum(F.col("inside") + F.col("bridge")).over(to_here) - F.col("inside")).alias("_sum0"),
+        (F.sum("n").over(to_here) - F.col("n")).alias("_no0"),
+    )
+    return local.join(starts, ["series", "block"]).select(
+        "series", "block", "at", "value",
+        (F.col("sum") + F.col("_sum0")).alias("sum"), (F.col("no") + F.col("_no0")).alias("no"),
+    )
+
+
+def _first_in_window(posed: DataFrame) -> DataFrame:
+    """Per question, ``first``: the first sample behind its ``pos`` within the block, found by
+    reading the block backwards and keeping the last sample passed."""
+    backwards = _up_to_here(
+        "series", "block",
+        # at one instant questions come first: a window does not hold its left end
+        order=[F.desc("pos"), F.desc("is_question"), F.desc("value")],
+    )
+    sample = F.when(F.col("is_question") == 0, F.struct("at", "value", "sum", "no"))
+    first = F.last(sample, ignorenulls=True).over(backwards)
+    return posed.withColumn("first", first).where(F.col("is_question") == 1)
+
+
 def counter_rate(
     metrics: DataFrame, window_ms: int, block_ms: int | None = None, extrapolate: bool = False
 ) -> DataFrame:
@@ -250,53 +315,37 @@ def counter_rate(
     ``extrapolate`` stretches the increase to the window borders as Prometheus does, and
     leaves out windows with a single sample.
 
-    Two passes over sorted blocks and one shuffle: running sums of the increase, then for
-    each sample the running sum at the first sample of its window. The cost is linear in
-    the samples, whatever the window holds.
+    Every sample knows the running increase, and asks for it at the first sample of its
+    window; the difference is the answer. The cost is linear in the samples, whatever the
+    window holds. Blocks of time spread a long series over tasks. By default they span four
+    windows, and one shuffle does. For a series so dense that a window of it is too much
+    for one task, give a ``block_ms`` below the window: blocks are then summed up on their
+    own and linked through one row per block, at the price of a second shuffle.
     """
-    width = max(block_ms or 4 * window_ms, window_ms) * 1000
     window_us = window_ms * 1000
+    width = (block_ms or 4 * window_ms) * 1000
     rows = metrics.select(
         _series_key().alias("series"), F.unix_micros("event_ts").alias("at"), "value"
     )
-    blocks = _in_blocks(rows, "at", width, before=window_us)
-    order = Window.partitionBy("series", "block").orderBy("at", "value")
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    previous = F.lag("value").over(order)
-    increase = (
-        F.when(previous.isNull(), F.lit(0.0))
-        .when(F.col("value") < previous, F.col("value"))
-        .otherwise(F.col("value") - previous)
-    )
-    summed = (
-        blocks.withColumn("_step", increase)
-        .withColumn("_sum", F.sum("_step").over(running))
-        .withColumn("_no", F.row_number().over(order))
-    )
-    # Every sample also poses the question "which is the first sample after t - window?".
-    # Reading time backwards, the answer is the last sample passed before the question.
-    asked = F.array(
-        F.struct(F.col("at").alias("pos"), F.lit(0).alias("is_question")),
-        F.struct((F.col("at") - window_us).alias("pos"), F.lit(1).alias("is_question")),
-    )
-    posed = summed.withColumn("_p", F.explode(asked)).select(
-        "series", "block", "own", "at", "value", "_sum", "_no", "_p.pos", "_p.is_question"
-    ).where((F.col("is_question") == 0) | F.col("own"))
-    backwards = (
-        Window.partitionBy("series", "block")
-        # at one instant questions come first: the window does not hold its left end
-        .orderBy(F.desc("pos"), F.desc("is_question"), F.desc("value"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    sample = F.when(F.col("is_question") == 0, F.struct("at", "value", "_sum", "_no"))
-    first = F.last(sample, ignorenulls=True).over(backwards)
-    answered = posed.withColumn("_first", first).where(F.col("is_question") == 1)
-    total = F.col("_sum") - F.col("_first._sum")
+    if width >= window_us:
+        summed = _running_increase(_in_blocks(rows, "at", width, before=window_us))
+        asked = F.array(
+            F.struct(F.col("at").alias("pos"), F.lit(0).alias("is_question")),
+            F.struct((F.col("at") - window_us).alias("pos"), F.lit(1).alias("is_question")),
+        )
+        posed = summed.withColumn("_p", F.explode(asked)).select(
+            "series", "block", "own", "at", "value", "sum", "no", "_p.*"
+        )
+        answered = _first_in_window(posed.where((F.col("is_question") == 0) | F.col("own")))
+    else:
+        home = rows.withColumn("block", F.floor(F.col("at") / F.lit(width)))
+        answered = _asked_across_blocks(_running_increase_over_blocks(home), window_us, width)
+    total = F.col("sum") - F.col("first.sum")
     if extrapolate:
-        n = F.col("_no") - F.col("_first._no") + 1
+        n = F.col("no") - F.col("first.no") + 1
         answered = answered.where(n > 1)
         total = _extrapolated(
-            total, n, F.col("_first.at"), F.col("at"), F.col("_first.value"),
+            total, n, F.col("first.at"), F.col("at"), F.col("first.value"),
             F.col("at") - window_us, F.col("at"),
         )
     return answered.select(
@@ -306,6 +355,31 @@ def counter_rate(
     ).select(*_series_columns())
 
 
+def _asked_across_blocks(summed: DataFrame, window_us: int, width: int) -> DataFrame:
+    """Samples moved forward by the window meet the questions of that time. A question with
+    no sample behind it in its block takes the first sample of the next block that has one."""
+    asked = F.array(
+        F.struct((F.col("at") + window_us).alias("pos"), F.lit(0).alias("is_question")),
+        F.struct(F.col("at").alias("pos"), F.lit(1).alias("is_question")),
+    )
+    posed = (
+        summed.withColumn("_p", F.explode(asked))
+        .select("series", "at", "value", "sum", "no", "_p.*")
+        .withColumn("block", F.floor(F.col("pos") / F.lit(width)))
+    )
+    sample = F.when(F.col("is_question") == 0, F.struct("at", "value", "sum", "no"))
+    heads = posed.groupBy("series", "block").agg(F.min(sample).alias("head"))
+    later = (
+        Window.partitionBy("series").orderBy(F.desc("block"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    following = heads.select(
+        "series", "block", F.last("head", ignorenulls=True).over(later).alias("next")
+    )
+    answered = _first_in_window(posed).join(following, ["series", "block"])
+    return answered.withColumn("first", F.coalesce("first", "next"))
+
+
 def step_grid(
     metrics: DataFrame, start_ms: int, end_ms: int, step_ms: int, lookback_ms: int = 300_000
 ) -> DataFrame:
@@ -347,37 +421,33 @@ def step_grid(
 
 def rate_grid(
     metrics: DataFrame, start_ms: int, end_ms: int, step_ms: int, window_ms: int,
-    extrapolate: bool = False,
+    extrapolate: bool = False, fold_ms: int | None = None,
 ) -> DataFrame:
     """Counter rate at ``start, start + step, ...`` up to ``end``, over the samples in
     ``(t - window, t]``; ``window_ms`` is a multiple of ``step_ms``. Instants whose window
     holds fewer than two samples have no row. ``extrapolate`` is as in ``counter_rate``.
 
-    Samples are folded per step first. The folded rows number at most one per series and
-    step, however many samples a hot series has, and the window then runs over those.
+    Samples are folded to one row per series and ``fold_ms`` first, a step by default and
+    otherwise a part of one. The windows then run over those rows, however many samples a
+    hot series has.
     """
-    if window_ms % step_ms:
-        raise ValueError("window_ms must be a multiple of step_ms")
-    first_us, step_us = start_ms * 1000, step_ms * 1000
-    slots, span = (end_ms - start_ms) // step_ms, window_ms // step_ms
+    fold_ms = fold_ms or step_ms
+    if window_ms % step_ms or step_ms % fold_ms:
+        raise ValueError("window_ms must be a multiple of step_ms, and step_ms of fold_ms")
+    first_us, step_us, fold_us = start_ms * 1000, step_ms * 1000, fold_ms * 1000
+    steps, parts = (end_ms - start_ms) // step_ms, step_ms // fold_ms
+    span, slots = window_ms // fold_ms, steps * parts
     at = F.unix_micros("event_ts")
-    slot = F.ceil((at - F.lit(first_us)) / F.lit(float(step_us))).cast("bigint")
+    slot = F.ceil((at - F.lit(first_us)) / F.lit(float(fold_us))).cast("bigint")
     rows = metrics.select(
         _series_key().alias("series"), at.alias("at"), "value", slot.alias("slot")
     ).where((F.col("slot") > -span) & (F.col("slot") <= slots))
     in_slot = Window.partitionBy("series", "slot").orderBy("at", "value")
-
-    def increase(value: Column, previous: Column) -> Column:
-        return (
-            F.when(previous.isNull(), F.lit(0.0)).when(value < previous, value)
-            .otherwise(value - previous)
-        )
-
     folded = (
-        rows.withColumn("_step", increase(F.col("value"), F.lag("value").over(in_slot)))
+        rows.withColumn("step", _increase(F.col("value"), F.lag("value").over(in_slot)))
         .groupBy("series", "slot")
         .agg(
-            F.sum("_step").alias("inside"),
+            F.sum("step").alias("inside"),
             F.count(F.lit(1)).alias("n"),
             F.min(F.struct("at", "value")).getField("value").alias("first_value"),
             F.max(F.struct("at", "value")).getField("value").alias("last_value"),
@@ -385,19 +455,21 @@ def rate_grid(
             F.max("at").alias("last_at"),
         )
     )
-    # a step is seen by the windows ending at it and at the next span - 1 steps
-    width = max(16 * span, 1024)
-    blocks = _in_blocks(folded, "slot", width, before=span)
+    # a window looks back over `span` slots, so a block needs as many of its predecessor
+    blocks = _in_blocks(folded, "slot", max(16 * span, 1024), before=span)
     order = Window.partitionBy("series", "block").orderBy("slot")
-    bridge = increase(F.col("first_value"), F.lag("last_value").over(order))
-    bridged = blocks.withColumn("bridge", bridge)
-    # each folded step serves `span` instants; combine them per instant
-    reach = F.sequence(
-        F.greatest(F.col("slot"), F.lit(0)), F.least(F.col("slot") + span - 1, F.lit(slots))
+    bridged = blocks.withColumn(
+        "bridge", _increase(F.col("first_value"), F.lag("last_value").over(order))
+    )
+    # instants (in steps) whose window holds the slot; rows of one series and block sit in one
+    # task, where they combine per instant before the shuffle
+    earliest = F.greatest(F.ceil(F.col("slot") / F.lit(float(parts))).cast("bigint"), F.lit(0))
+    latest = F.least(
+        F.floor((F.col("slot") + span - 1) / F.lit(float(parts))).cast("bigint"), F.lit(steps)
     )
-    owned = bridged.where(F.col("own") & (F.least(F.col("slot") + span - 1, F.lit(slots)) >= 0))
     windows = (
-        owned.withColumn("instant", F.explode(reach))
+        bridged.where(F.col("own") & (earliest <= latest))
+        .withColumn("instant", F.explode(F.sequence(earliest, latest)))
         .groupBy("series", "instant")
         .agg(
             F.sum(F.col("inside") + F.col("bridge")).alias("total"),

@@ -549,7 +549,7 @@ FROM numbered GROUP BY stream_key, batch_no
 """)
 def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests of fifty events per stream in event order."""
-    return op.request_batches(op.to_payload(_typed_events(spark, sf_dir)), slice_ms=3_600_000)
+    return op.request_batches(op.to_payload(_typed_events(spark, sf_dir)))
 
 
 @registered("SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS oversized FROM events")
@@ -796,7 +796,7 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts
 def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate of a counter with resets over five days, at every sample."""
     series = t.user_series(t.table(spark, sf_dir, "events"))
-    return op.counter_rate(series, 5 * 86_400_000).select(
+    return op.counter_rate(series, 5 * 86_400_000, block_ms=60_000).select(
         "organization_id", F.unix_micros("event_ts").alias("event_us"),
         F.round("value", 9).alias("value"),
     )
@@ -834,7 +834,9 @@ GROUP BY g.user_id, g.at HAVING count(*) > 1
 def rate_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate of a counter over three days on a six hour grid."""
     series = t.user_series(t.table(spark, sf_dir, "events"))
-    rates = op.rate_grid(series, _GRID_START, _GRID_END, 21_600_000, 3 * 86_400_000)
+    rates = op.rate_grid(
+        series, _GRID_START, _GRID_END, 21_600_000, 3 * 86_400_000, fold_ms=60_000
+    )
     return rates.select(
         "organization_id", to_millis(F.col("event_ts")).alias("event_ms"),
         F.round("value", 9).alias("value"),
