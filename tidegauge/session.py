@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +29,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="tidegauge-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the storage all executors see.
 
@@ -39,9 +44,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="tidegauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip(os.sep)}/tidegauge/{purpose}-{uuid.uuid4().hex}"
+        base = _local_base()
+    return f"{base.rstrip('/')}/tidegauge/{purpose}-{uuid.uuid4().hex}"
 
 
 def config_table(spark: SparkSession, rows: list[dict], schema: str | T.StructType) -> DataFrame:
