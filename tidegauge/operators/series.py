@@ -206,6 +206,12 @@ def _series_columns(has_labels: str = "series.labels") -> list[Column]:
     ]
 
 
+def _home_block(at: str, width: int) -> Column:
+    """Block of an instant. Never null, so that joins on it add no null filters, which would
+    keep Spark from sharing one shuffle between both sides."""
+    return F.coalesce(F.floor(F.col(at) / F.lit(width)), F.lit(0).cast("bigint"))
+
+
 def _in_blocks(rows: DataFrame, at: str, width: int, before: int = 0, after: int = 0) -> DataFrame:
     """Assign rows to blocks ``[b*width, (b+1)*width)`` of ``at``.
 
@@ -214,7 +220,7 @@ def _in_blocks(rows: DataFrame, at: str, width: int, before: int = 0, after: int
     """
     first = F.floor((F.col(at) - F.lit(after)) / F.lit(width))
     last = F.floor((F.col(at) + F.lit(before)) / F.lit(width))
-    home = F.floor(F.col(at) / F.lit(width))
+    home = _home_block(at, width)
     return rows.withColumn("block", F.explode(F.sequence(first, last))).withColumn(
         "own", F.col("block") == home
     )
@@ -293,6 +299,11 @@ def _running_increase_over_blocks(rows: DataFrame) -> DataFrame:
     )
 
 
+def _sample() -> Column:
+    """The row as a sample, null when it is a question."""
+    return F.when(F.col("is_question") == 0, F.struct("pos", "at", "value", "sum", "no"))
+
+
 def _first_in_window(posed: DataFrame) -> DataFrame:
     """Per question, ``first``: the first sample behind its ``pos`` within the block, found by
     reading the block backwards and keeping the last sample passed."""
@@ -301,8 +312,7 @@ def _first_in_window(posed: DataFrame) -> DataFrame:
         # at one instant questions come first: a window does not hold its left end
         order=[F.desc("pos"), F.desc("is_question"), F.desc("value")],
     )
-    sample = F.when(F.col("is_question") == 0, F.struct("at", "value", "sum", "no"))
-    first = F.last(sample, ignorenulls=True).over(backwards)
+    first = F.last(_sample(), ignorenulls=True).over(backwards)
     return posed.withColumn("first", first).where(F.col("is_question") == 1)
 
 
@@ -338,7 +348,7 @@ def counter_rate(
         )
         answered = _first_in_window(posed.where((F.col("is_question") == 0) | F.col("own")))
     else:
-        home = rows.withColumn("block", F.floor(F.col("at") / F.lit(width)))
+        home = rows.withColumn("block", _home_block("at", width))
         answered = _asked_across_blocks(_running_increase_over_blocks(home), window_us, width)
     total = F.col("sum") - F.col("first.sum")
     if extrapolate:
@@ -365,10 +375,11 @@ def _asked_across_blocks(summed: DataFrame, window_us: int, width: int) -> DataF
     posed = (
         summed.withColumn("_p", F.explode(asked))
         .select("series", "at", "value", "sum", "no", "_p.*")
-        .withColumn("block", F.floor(F.col("pos") / F.lit(width)))
+        .withColumn("block", _home_block("pos", width))
+        # shuffled once, for the heads as well as for the answers
+        .repartition("series", "block")
     )
-    sample = F.when(F.col("is_question") == 0, F.struct("at", "value", "sum", "no"))
-    heads = posed.groupBy("series", "block").agg(F.min(sample).alias("head"))
+    heads = posed.groupBy("series", "block").agg(F.min(_sample()).alias("head"))
     later = (
         Window.partitionBy("series").orderBy(F.desc("block"))
         .rowsBetween(Window.unboundedPreceding, -1)
