@@ -182,6 +182,12 @@ def test_filter_selects_and_hashes_labels(metrics):
     assert got[3.0].reject_reason == "no_labels_matched"
 
 
+def test_select_labels(metrics):
+    fields = (MetricField("environment", True), MetricField("region"), MetricField("absent"))
+    chosen = metrics(("m", 1.0, "o", 0.0, LABELS)).select(op.select_labels(F.col("labels"), fields))
+    assert chosen.first()[0] == {"environment": sha("prod"), "region": "eu"}
+
+
 def test_a_label_named_like_the_metric_overwrites_it(metrics):
     labels = F.create_map(F.lit("a-b"), F.lit("x"), F.lit("a b"), F.lit("y"))
     frame = metrics(("a.b", 1.0, "o", 0.0, None)).withColumn("labels", labels)

@@ -805,7 +805,7 @@ def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GRID_START = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 _GRID_END = _GRID_START + 30 * 86_400_000
 _GRID = f"""
-  g AS (SELECT u.user_id, make_timestamp(x * 1000) AS at
+  g AS (SELECT u.user_id, make_timestamp(x * 1000) AS moment
         FROM (SELECT DISTINCT user_id FROM events) u,
              (SELECT unnest(range({_GRID_START}, {_GRID_END} + 1, 21600000)) AS x))
 """
@@ -813,9 +813,9 @@ _GRID = f"""
 
 @registered(f"""
 WITH {_GRID}
-SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.at) // 1000 AS event_ms, e.value AS value
-FROM g ASOF JOIN events e ON g.user_id = e.user_id AND g.at >= e.ts
-WHERE e.ts > g.at - INTERVAL 24 HOUR
+SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.moment) // 1000 AS event_ms, e.value AS value
+FROM g ASOF JOIN events e ON g.user_id = e.user_id AND g.moment >= e.ts
+WHERE e.ts > g.moment - INTERVAL 24 HOUR
 """)
 def step_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series on a six hour grid with a day of lookback."""
@@ -826,10 +826,10 @@ def step_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""
 WITH {_DELTA}, {_GRID}
-SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.at) // 1000 AS event_ms,
+SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.moment) // 1000 AS event_ms,
        round((sum(delta) - arg_min(delta, d.ts)) / 259200.0, 9) AS value
-FROM g JOIN d ON g.user_id = d.user_id AND d.ts <= g.at AND d.ts > g.at - INTERVAL 3 DAY
-GROUP BY g.user_id, g.at HAVING count(*) > 1
+FROM g JOIN d ON g.user_id = d.user_id AND d.ts <= g.moment AND d.ts > g.moment - INTERVAL 3 DAY
+GROUP BY g.user_id, g.moment HAVING count(*) > 1
 """)
 def rate_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate of a counter over three days on a six hour grid."""
@@ -843,6 +843,36 @@ def rate_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered(f"""
+WITH {_DELTA}, {_GRID},
+w AS (SELECT g.user_id, g.moment, count(*) AS n, sum(delta) - arg_min(delta, d.ts) AS inc,
+             arg_min(value, d.ts) AS first_value,
+             CAST(epoch_us(max(d.ts)) - epoch_us(min(d.ts)) AS DOUBLE) AS sampled,
+             CAST(epoch_us(min(d.ts)) - epoch_us(g.moment) + 259200000000 AS DOUBLE) AS to_start,
+             CAST(epoch_us(g.moment) - epoch_us(max(d.ts)) AS DOUBLE) AS to_end
+      FROM g JOIN d ON g.user_id = d.user_id AND d.ts <= g.moment AND d.ts > g.moment - INTERVAL 3 DAY
+      GROUP BY g.user_id, g.moment HAVING count(*) > 1),
+x AS (SELECT *, sampled / (n - 1) AS apart FROM w),
+y AS (SELECT *, CASE WHEN to_start >= apart * 1.1 THEN apart / 2 ELSE to_start END AS head,
+             CASE WHEN to_end >= apart * 1.1 THEN apart / 2 ELSE to_end END AS tail FROM x)
+SELECT CAST(user_id AS VARCHAR) AS organization_id, epoch_us(moment) // 1000 AS event_ms,
+       round(inc * (sampled + least(head, CASE WHEN inc > 0 AND first_value >= 0
+                                               THEN sampled * first_value / inc ELSE head END) + tail)
+             / sampled / 259200.0, 12) AS value
+FROM y
+""")
+def rate_grid_extrapolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rate stretched to the window borders."""
+    series = t.user_series(t.table(spark, sf_dir, "events"))
+    rates = op.rate_grid(
+        series, _GRID_START, _GRID_END, 21_600_000, 3 * 86_400_000, extrapolate=True, fold_ms=60_000
+    )
+    return rates.select(
+        "organization_id", to_millis(F.col("event_ts")).alias("event_ms"),
+        F.round("value", 12).alias("value"),
+    )
+
+
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples at the start of their day, with the type as a label of one metric."""
     events = t.table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("day", "ts"))
