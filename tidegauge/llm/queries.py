@@ -175,13 +175,13 @@ select page_id, host, path, best.rule as rule,
 from judged""",
     "op10_top_k": """
 with vectors as (
-  select distinct vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as q
+  select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 pairs as (
   select a.vec_id as query_id, a.q, b.vec_id,
-    cast(coalesce(list_sum(list_transform(range(1, len(a.q) + 1), i -> a.q[i] * b.q[i])), 0) as bigint) as score
+    cast(coalesce(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])), 0) as bigint) as score
   from vectors a join vectors b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
   where a.vec_id % 50 = 0),
 ranked as (
