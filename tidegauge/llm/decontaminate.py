@@ -14,18 +14,22 @@ from tidegauge.llm.arrow import map_texts
 from tidegauge.llm.words import WordHashes
 
 #: Items, and characters of items, about, that are sent to the tasks at once; more are taken in turn.
-BLOCK_ITEMS = 2000
+BLOCK_ITEMS = 1000
 BLOCK_CHARS = 4_000_000
 
 
 @dataclass(frozen=True)
 class Retrieval:
-    """Parameters: passages of ``stride`` times two words, latent dimensions, thresholds."""
+    """Parameters: passages of two strides of words, latent dimensions, thresholds."""
 
     stride: int = 16
-    dims: int = 48
-    oversample: int = 8
-    cosine: float = 0.55
+    dims: int = 384
+    oversample: int = 16
+    frequent: float = 0.01  # words of a larger share of the documents weigh nothing
+    prior: int = 1000  # documents without the word that each word's share is smoothed by
+    rare_words: int = 4  # words of an item that weigh something in any case, its rarest
+    together: int = 3  # weighty words without which a passage is not looked at
+    cosine: float = 0.45
     verbatim: float = 0.8  # share of an item's words in common order that makes a leak
     paraphrase: float = 0.6  # share that makes one if the answer is there too
     answer: float = 0.6  # share of the answer's words in common order
@@ -34,32 +38,37 @@ class Retrieval:
 
 
 class Passages:
-    """Stride-wise runs of words of several texts, laid end to end."""
-
-    def __init__(self, texts: list[np.ndarray], stride: int):
-        sizes = np.array([len(t) for t in texts])
-        counts = -(-sizes // stride)  # strides of each text
-        begins = np.cumsum(sizes) - sizes
-        self.words = np.concatenate(texts) if texts else np.empty(0, np.int64)
-        self.owner = np.repeat(np.arange(len(texts)), counts)
+    """Runs of two strides of words over several texts, as sums of rows of a matrix.
+
+    Words without weight are skipped. ``text`` and ``number`` name each passage's text and its
+    first stride; ``rows`` holds the sums. Passages of too few weighty words are left out.
+    """
+
+    def __init__(
+        self, texts: list[np.ndarray], stride: int, matrix: np.ndarray, weighty: np.ndarray, least: int
+    ):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        counts = -(-sizes // stride)
+        owner = np.repeat(np.arange(len(texts)), counts)
         first = np.cumsum(counts) - counts
-        self.number = np.arange(len(self.owner)) - np.repeat(first, counts)
-        self.starts = begins[self.owner] + self.number * stride
-        #: whether a stride has a following one in its text, or is all of it
-        last = np.append(self.owner[1:] != self.owner[:-1], True) if len(self.owner) else []
-        self.last = np.asarray(last, bool)
-        self.alone = self.last & (self.number == 0)
-
-    def vectors(self, projection: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums over each passage (two strides, or a text of one), and its first stride."""
-        if not len(self.owner):
-            return np.empty((0, projection.shape[1]), np.float32), np.empty(0, np.int64)
-        sums = np.add.reduceat(projection[self.words], self.starts, 0)
-        at = np.flatnonzero(~self.last | self.alone)
-        both = sums[at]
-        pairs = ~self.alone[at]
-        both[pairs] += sums[at[pairs] + 1]
-        return both, at
+        words = np.concatenate(texts) if texts else np.empty(0, np.int64)
+        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.repeat(first, sizes) + place // stride
+        used = weighty[words]
+        words, at = words[used], at[used]
+        held = np.bincount(at, minlength=len(owner) + 1)  # weighty words of each stride
+        follows = np.append(owner[1:] == owner[:-1], False) if len(owner) else np.empty(0, bool)
+        both = held[:-1] + np.where(follows, held[1:], 0)
+        chosen = np.flatnonzero(both >= least)
+        begins = np.flatnonzero(np.diff(at, prepend=-1))
+        # a row of zeros behind the sums stands for a stride without weighty words
+        sums = np.zeros((len(begins) + 1, matrix.shape[1]), matrix.dtype)
+        if len(begins):
+            np.add.reduceat(matrix[words], begins, 0, out=sums[:-1])
+        row = np.full(len(owner) + 1, len(begins))
+        row[at[begins]] = np.arange(len(begins))
+        self.rows = sums[row[chosen]] + sums[np.where(follows[chosen], row[chosen + 1], len(begins))]
+        self.text, self.number = owner[chosen], chosen - first[owner[chosen]]
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -112,35 +121,52 @@ class Benchmark:
         at[at == size] = 0
         return np.where(self.vocabulary[at] == hashes, at, size) if size else at
 
+    def weights(self, counts: np.ndarray, documents: int) -> np.ndarray:
+        """Inverse document frequencies above that of a frequent word; frequent words get 0."""
+        how = self.how
+        share = (counts + 1) / (documents + how.prior)
+        idf = np.maximum(0, np.log(how.frequent) - np.log(share))
+        for item in self.items:  # an item of frequent words only must be found too
+            words = np.unique(item)
+            if (idf[words] > 0).sum() < how.rare_words:
+                rarest = words[np.argsort(counts[words], kind="stable")[: how.rare_words]]
+                idf[rarest] = np.maximum(idf[rarest], 1.0)
+        return idf
+
     def place(self, idf: np.ndarray, basis: np.ndarray) -> None:
-        """Fix the latent space: words by weights, passages of the items by unit vectors."""
-        weighted = (idf[:, None] * basis).astype(np.float32)
-        self.projection = np.vstack([weighted, np.zeros((1, weighted.shape[1]), np.float32)])
-        passages = Passages(self.items, self.how.stride)
-        vectors, at = passages.vectors(self.projection)
-        self.passages = np.ascontiguousarray(unit(vectors).T)
-        self.passage_item = passages.owner[at]
+        """Fix the latent space: words by rows, passages of the items by unit vectors.
+
+        The last column of a word's row is its squared weight, for the norms of passages.
+        """
+        self.weighty = np.append(idf > 0, False)
+        rows = np.hstack([idf[:, None] * basis, (idf**2)[:, None]])
+        self.rows = np.vstack([rows, np.zeros((1, rows.shape[1]))]).astype(np.float32)
+        held = [int(self.weighty[np.unique(i)].sum()) for i in self.items]
+        self.least = min([self.how.together, *held])
+        passages = Passages(self.items, self.how.stride, self.rows, self.weighty, 1)
+        self.passages = np.ascontiguousarray(unit(passages.rows[:, :-1]).T)
+        self.passage_item = passages.text
 
     def find(self, texts: list[np.ndarray]) -> list[list[tuple[int, float, float, str]]]:
         """For each text the items it holds: ``(item, cosine, overlap, kind)``."""
         found: list[dict[int, tuple]] = [{} for _ in texts]
         stride = self.how.stride
-        passages = Passages(texts, stride)
-        vectors, at = passages.vectors(self.projection)
+        passages = Passages(texts, stride, self.rows, self.weighty, self.least)
         tried: dict[tuple[int, int], int] = {}
-        for begin in range(0, len(vectors), 4096):
-            cosines = unit(vectors[begin : begin + 4096]) @ self.passages
+        for begin in range(0, len(passages.text), 4096):
+            rows = passages.rows[begin : begin + 4096]
+            norms = np.sqrt(np.maximum(rows[:, -1:], 1e-9))
+            cosines = (rows[:, :-1] / norms) @ self.passages
             for row, column in zip(*np.nonzero(cosines >= self.how.cosine), strict=True):
-                first = at[begin + row]
-                text, item = int(passages.owner[first]), int(self.passage_item[column])
-                number = int(passages.number[first])
-                # the region of this passage holds that of the next one but for a stride
-                if tried.get((text, item), -2) >= number - 1 or item in found[text]:
+                text, number = int(passages.text[begin + row]), int(passages.number[begin + row])
+                item = int(self.passage_item[column])
+                # the region of a passage holds that of the next one but for a stride
+                if tried.get((text, item), -2) >= number or item in found[text]:
                     continue
                 tried[text, item] = number
                 size = len(self.items[item])
                 middle = number * stride
-                region = texts[text][max(0, middle - size) : middle + 3 * stride + size]
+                region = texts[text][max(0, middle - size) : middle + 2 * stride + size]
                 hit = self.compare(item, region.tolist())
                 if hit:
                     cosine = float(min(1.0, cosines[row, column]))
@@ -217,6 +243,7 @@ def latent_basis(items: DataFrame, block: Benchmark, idf: np.ndarray) -> np.ndar
     size = len(idf)
     rank = min(block.how.dims + block.how.oversample, size)
     context = items.sparkSession.sparkContext
+    weighty = np.append(idf > 0, False)
 
     def gram(test: np.ndarray) -> np.ndarray:
         shared = context.broadcast((block.vocabulary, idf, test, block.how))
@@ -224,28 +251,41 @@ def latent_basis(items: DataFrame, block: Benchmark, idf: np.ndarray) -> np.ndar
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary, weights, matrix, how = shared.value
             hashes, total = WordHashes(), np.zeros(matrix.shape)
+            weighted = np.vstack([weights[:, None] * matrix, np.zeros((1, matrix.shape[1]))])
             for batch in batches:
                 texts = [hashes.of(t or "") for t in batch.column(0).to_pylist()]
-                words = [np.searchsorted(vocabulary, t) for t in texts if len(t)]
-                passages = Passages(words, how.stride)
-                vectors, at = passages.vectors(weights[:, None] * matrix)
-                for start, row, alone in zip(
-                    passages.starts[at], vectors, passages.alone[at], strict=True
+                words = [np.searchsorted(vocabulary, t) for t in texts]
+                passages = Passages(words, how.stride, weighted, weighty, 1)
+                for text, number, row in zip(
+                    passages.text, passages.number, passages.rows, strict=True
                 ):
-                    run = passages.words[start : start + (1 if alone else 2) * how.stride]
+                    run = words[text][number * how.stride : (number + 2) * how.stride]
                     np.add.at(total, run, weights[run, None] * row)
-            used = np.flatnonzero(np.abs(total).sum(1))
+            used = np.flatnonzero(weights)
             yield pa.RecordBatch.from_pydict(
-                {"word": used, "row": pa.array(total[used].tolist(), pa.list_(pa.float64()))}
+                {"word": used, "row": [r.tobytes() for r in total[used]]}
+            )
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                rows = batch.to_pydict()
+                for word, row in zip(rows["word"], rows["row"], strict=True):
+                    sums[word] = sums.get(word, 0.0) + np.frombuffer(row)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "word": pa.array(list(sums), pa.int64()),
+                    "row": pa.array([r.tobytes() for r in sums.values()], pa.binary()),
+                }
             )
 
-        parts = items.select("text").mapInArrow(multiply, "word bigint, row array<double>")
-        sums = (
-            parts.select("word", F.posexplode("row").alias("place", "value"))
-            .groupBy("word", "place").agg(F.sum("value").alias("value")).toPandas()
-        )
+        schema = "word bigint, row binary"
+        parts = items.select("text").mapInArrow(multiply, schema)
+        # a row for each word of the block: bounded by the block's characters
+        sums = parts.repartition("word").mapInArrow(add, schema).toArrow()
         out = np.zeros((size, rank))
-        out[sums["word"].to_numpy(int), sums["place"].to_numpy(int)] = sums["value"]
+        for word, row in zip(sums["word"].to_pylist(), sums["row"].to_pylist(), strict=True):
+            out[word] = np.frombuffer(row)
         return out
 
     rng = np.random.default_rng(block.how.seed)
@@ -274,7 +314,7 @@ def _blocks(frame: DataFrame, benchmark: DataFrame, how: Retrieval) -> Iterator[
         if not block.ids:
             continue
         counts, documents = _document_frequencies(frame, block)
-        idf = np.log(1 + documents / (1 + counts))
+        idf = block.weights(counts, documents)
         block.place(idf, latent_basis(mine, block, idf))
         yield block
 
