@@ -70,7 +70,7 @@ def test_foreign_values(spark):
     ]
 
 
-@pytest.mark.parametrize("n, sizes", [(3, [3]), (100, [50, 50]), (80, [50, 30]), (0, [])])
+@pytest.mark.parametrize("n, sizes", [(49, [49]), (50, [50]), (51, [50, 1]), (149, [50, 50, 49]), (0, [])])
 def test_batches_of_fifty(events, n, sizes):
     batches = op.request_batches(op.to_payload(events(n)), slice_ms=1_000).orderBy("batch_no").collect()
     assert [b.n for b in batches] == sizes
@@ -131,7 +131,7 @@ def test_table_delivery_can_be_rerun(spark, events, tmp_path):
     path = str(tmp_path / "delivered")
     op.deliver(events(40), "table", path=path, run_id="r1")
     op.deliver(events(40), "table", path=path, run_id="r1")
-    table = spark.read.parquet(path)
+    table = op.read_delivered(spark, path)
     assert table.count() == 40
     assert {"event_date", "stream_key", "run_id", "ingested_at"} <= set(table.columns)
     op.deliver(events(5, key="t"), "table", path=path, run_id="r2")
@@ -140,9 +140,8 @@ def test_table_delivery_can_be_rerun(spark, events, tmp_path):
     assert latest.replace(tzinfo=timezone.utc) == START + timedelta(milliseconds=3900)
 
 
-def test_console_noop_and_unknown_modes(events, capsys):
+def test_console_noop_and_unknown_modes(events):
     op.deliver(events(1), "console")
-    assert "idempotency_key" in capsys.readouterr().out
     op.deliver(events(1), "noop")
     with pytest.raises(ValueError, match="unknown delivery mode"):
         op.deliver(events(1), "null")
@@ -155,3 +154,45 @@ def test_entries_survive_the_table(spark, events, tmp_path):
     back = spark.read.parquet(path).select(object_text(F.col("entries"))).first()[0]
     assert back == '{"a": 1.5, "b": "\\u00e9"}'
     assert spark.range(1).select(json_string(F.lit("é"))).first()[0] == '"\\u00e9"'
+
+
+def test_a_changed_retry_leaves_nothing_of_the_first_attempt(spark, events, tmp_path):
+    path = str(tmp_path / "t")
+    first = events(9, "007").withColumn("event_ts", F.col("event_ts") + F.expr("interval 3 days"))
+    op.write_table(first, path, "r")
+    op.write_table(events(5, "007"), path, "r")
+    stored = op.read_delivered(spark, path)
+    assert {(r.stream_key, r.idempotency_key) for r in stored.collect()} == {
+        ("007", f"id-{i:05d}") for i in range(5)
+    }
+    assert op.read_delivered(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError, match="run_id"):
+        op.write_table(events(1), path, "a/b")
+
+
+def test_only_new_events_of_an_overlapping_run(spark, events, tmp_path):
+    path = str(tmp_path / "t")
+    op.write_table(events(6), path, "r1")
+    stored = op.read_delivered(spark, path)
+    assert op.not_delivered(events(10), stored).count() == 4
+    assert op.not_delivered(events(10), stored, "r1").count() == 10
+
+
+class Lines:
+    """Appends each payload to a file of its own."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def __call__(self, payload):
+        import os
+        import uuid
+
+        with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as out:
+            out.write(payload)
+
+
+def test_console_writes_every_payload_uncut(events, tmp_path):
+    op.deliver(events(60), "console", write=Lines(tmp_path))
+    payloads = [json.loads(f.read_text()) for f in tmp_path.iterdir()]
+    assert sorted(p["idempotency_key"] for p in payloads) == [f"id-{i:05d}" for i in range(60)]

@@ -33,40 +33,49 @@ def values(events):
 
 # --- logs -------------------------------------------------------------------------------
 
+# records of a parcel scanner: a barcode, where it was scanned, what it weighs, when it leaves
 FIELDS = (
-    LogField("example", path="example"),
-    LogField("organization_id", path="data.org"),
-    LogField("secret", path="secret", field_type="integer", hash=True),
-    LogField("amount", path="amount", field_type="float"),
-    LogField("seen at", path="seen", field_type="timestamp", format="%Y-%m-%d %H:%M:%S"),
+    LogField("departs at", path="route.leaves", field_type="timestamp", format="%d.%m.%Y %H:%M"),
+    LogField("grams", path="parcel.grams", field_type="float"),
+    LogField("organization_id", path="depot.tenant"),
+    LogField("barcode", path="parcel.code", field_type="integer", hash=True),
+    LogField("belt", path="belt"),
 )
 
 
+def scan(number):
+    """A generated record, and the values expected of it: every part may be missing."""
+    record = {"depot": {"tenant": f"t{number % 4}"}, "shift": number}
+    expected = {"organization_id": f"t{number % 4}"}
+    if number % 2:
+        record["parcel"] = {"code": 90_000 + number, "grams": number / 8}
+        expected |= {"barcode": sha(90_000 + number), "grams": number / 8}
+    elif number % 4:
+        record["parcel"] = {"code": None}
+    if number % 3:
+        record["belt"] = expected["belt"] = chr(945 + number)
+        record["route"] = {"leaves": f"{1 + number:02d}.07.2023 06:{number:02d}"}
+        expected["departs_at"] = f"2023-07-{1 + number:02d}T06:{number:02d}:00+00:00"
+    return record, expected
+
+
 def test_json_fields_types_hash_and_missing(logs):
-    events = op.extract_log_events(
-        logs(
-            {"example": "one", "secret": 1, "data": {"org": "c1"}, "amount": 100.50, "extra": 1},
-            {"example": "two", "data": {"org": "c2"}, "seen": "2024-01-02 03:04:05", "secret": None},
-        ),
-        LogFilter(FIELDS),
-    )
-    got = values(events)
-    assert json.loads(got["0"]["text"]) == {
-        "example": "one", "organization_id": "c1", "secret": sha(1), "amount": 100.5
-    }
-    assert json.loads(got["1"]["text"]) == {
-        "example": "two", "organization_id": "c2", "seen_at": "2024-01-02T03:04:05+00:00"
-    }
-    assert [e["k"] for e in got["0"]["entries"]] == sorted(e["k"] for e in got["0"]["entries"])
-    assert got["0"]["organization_id"] == "c1" and got["0"]["reject_reason"] is None
+    scans = [scan(number) for number in range(18)]
+    got = values(op.extract_log_events(logs(*[record for record, _ in scans]), LogFilter(FIELDS)))
+    for number, (_, expected) in enumerate(scans):
+        event = got[str(number)]
+        assert json.loads(event["text"]) == expected
+        assert [e["k"] for e in event["entries"]] == sorted(expected)
+        assert event["organization_id"] == expected["organization_id"]
+        assert event["reject_reason"] is None
 
 
 def test_rejects_carry_a_reason_and_never_fail_the_job(logs):
-    good = {"data": {"org": "c"}}
+    good = {"depot": {"tenant": "c"}}
     events = op.extract_log_events(
         logs(
-            good, "not json", {"data": {"org": ""}}, {"data": {"org": None}}, {}, {"data": 5},
-            {"data": {"org": "c"}, "secret": "x"}, "[1]", "5", None,
+            good, "not json", {"depot": {"tenant": ""}}, {"depot": {"tenant": None}}, {}, {"depot": 5},
+            {"depot": {"tenant": "c"}, "parcel": {"code": "x"}}, "[1]", "5", None,
             json.dumps(good) + " tail", json.dumps(good) + "," + json.dumps(good),
         ),
         LogFilter(FIELDS),
@@ -85,10 +94,10 @@ def test_rejects_carry_a_reason_and_never_fail_the_job(logs):
 
 def test_cast_errors_can_null_the_field(logs):
     events = op.extract_log_events(
-        logs({"data": {"org": "c"}, "secret": "x", "amount": 1}), LogFilter(FIELDS),
+        logs({"depot": {"tenant": "c"}, "parcel": {"code": "x", "grams": 1}}), LogFilter(FIELDS),
         on_cast_error="null_field",
     )
-    assert json.loads(values(events)["0"]["text"]) == {"organization_id": "c", "amount": 1.0}
+    assert json.loads(values(events)["0"]["text"]) == {"organization_id": "c", "grams": 1.0}
     with pytest.raises(ValueError, match="on_cast_error"):
         op.extract_json_fields(logs({}), FIELDS, on_cast_error="other")
 
@@ -140,7 +149,7 @@ def test_text_fields(logs):
 
 
 def test_content_is_parsed_once_even_below_a_filter(logs):
-    events, _ = op.split_rejects(op.extract_log_events(logs({"data": {"org": "c"}}), LogFilter(FIELDS)))
+    events, _ = op.split_rejects(op.extract_log_events(logs({"depot": {"tenant": "c"}}), LogFilter(FIELDS)))
     plan = events._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
 
@@ -237,7 +246,7 @@ def test_dedupe_keeps_the_same_row_whatever_the_order(spark):
 
 
 def test_observed_counters(logs):
-    rows = op.extract_log_events(logs({"data": {"org": "c"}}, "x"), LogFilter(FIELDS))
+    rows = op.extract_log_events(logs({"depot": {"tenant": "c"}}, "x"), LogFilter(FIELDS))
     from pyspark.sql import Observation
 
     seen = Observation("run")

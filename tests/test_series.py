@@ -201,11 +201,26 @@ def test_aggregate_by_and_ratio(metrics):
     assert means == {"o1": 2.0, "o2": 6.0}
 
 
+def test_ratio_stays_within_a_stream_and_refuses_duplicates(metrics):
+    one, two = (metrics(("a", v, "p", 0.0, None), stream_key=k) for k, v in (("x", 2.0), ("y", 8.0)))
+    both = op.merge_streams(one, two)
+    got = op.series_ratio(both, both, ["organization_id"]).collect()
+    assert sorted((r.stream_key, r.value) for r in got) == [("x", 1.0), ("y", 1.0)]
+    with pytest.raises(Exception, match="several values"):
+        op.series_ratio(both, op.merge_streams(one, one), ["organization_id"]).collect()
+
+
+def test_select_series_refuses_a_spec_of_unlisted_dimensions(spark, metrics):
+    specs = spark.createDataFrame([(1, {"zone": "a"})], "spec_id int, dims map<string,string>")
+    with pytest.raises(Exception, match="not in dimension_sets"):
+        op.select_series(metrics(("m", 1.0, "p", 0.0, {"host": "a"})), specs, [["host"]]).collect()
+
+
 def test_ratio_divides_like_floating_point(metrics):
     left = metrics(("a", 1.0, "p", 0.0, None), ("a", 0.0, "q", 0.0, None), ("a", -1.0, "r", 0.0, None),
                    ("a", 6.0, "s", 0.0, None), ("a", 1.0, "alone", 0.0, None))
     right = metrics(("b", 0.0, "p", 0.0, None), ("b", 0.0, "q", 0.0, None), ("b", 0.0, "r", 0.0, None),
-                    ("b", 4.0, "s", 0.0, None), ("b", 4.0, "s", 60.0, None), stream_key="other")
+                    ("b", 4.0, "s", 0.0, None), ("b", 4.0, "s", 60.0, None))
     got = {r.organization_id: r.value for r in
            op.series_ratio(left, right, ["organization_id"]).collect()}
     assert got["p"] == math.inf and got["r"] == -math.inf and math.isnan(got["q"]) and got["s"] == 1.5

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -192,13 +193,22 @@ def timeseries(indices, times, values):
 
 
 def test_datadog_timeseries(spark, pages):
-    body = timeseries([0, 1], [1000, 2000, 3000], [[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]])
-    rows = sources.normalize_datadog_metrics(pages("datadog", "metrics", body), query_plan(spark, DD))
-    assert samples(rows) == [
-        ("app.m", c, ms, v, None) for c, ms, v in
-        [("c1", 1000, 1.0), ("c1", 2000, 2.0), ("c1", 3000, 3.0), ("c2", 1000, 4.0), ("c2", 2000, 5.0),
-         ("c2", 3000, 6.0)]
-    ]
+    rng = random.Random(17)
+    bodies, expected = [], []
+    for page in range(4):
+        times = sorted(rng.sample(range(1, 90_000), 7))
+        columns = [[rng.uniform(0.5, 99) for _ in times] for _ in range(2)]
+        order = [1, 0] if page % 2 else [0, 1]
+        bodies.append(timeseries(order, times, [columns[k] for k in order]))
+        expected += [
+            ("app.m", f"c{k + 1}", ms, v, None)
+            for k in order
+            for ms, v in zip(times, columns[k], strict=True)
+        ]
+    rows = sources.normalize_datadog_metrics(
+        pages("datadog", "metrics", *bodies), query_plan(spark, DD)
+    )
+    assert sorted(samples(rows)) == sorted(expected)
 
 
 def test_datadog_drops_nulls_and_zeros_and_cuts_to_the_shorter(spark, pages):

@@ -47,12 +47,12 @@ def test_stream_equals_batch_and_resumes(spark, pages, landed, tmp_path):
         run_available(flow.stream(str(tmp_path / "ck"), watermark="1 hour", available_now=True), 120)
 
     run()
-    assert rows(spark.read.parquet(out.path)) == rows(batch)
+    assert rows(op.read_delivered(spark, out.path)) == rows(batch)
     run()  # nothing new, nothing repeated
-    assert spark.read.parquet(out.path).count() == 30
+    assert op.read_delivered(spark, out.path).count() == 30
     pages("cloudwatch", "logs", body(range(28, 33)), stream_key="app").coalesce(1).write.mode("append").parquet(landed)
     run()
-    assert spark.read.parquet(out.path).count() == 33
+    assert op.read_delivered(spark, out.path).count() == 33
 
 
 @pytest.mark.parametrize("combine", [True, False])
@@ -64,7 +64,7 @@ def test_stream_dedupe_of_a_much_copied_event(spark, pages, tmp_path, combine):
     unique = op.dedupe_events(events, "1 hour", combine=combine)
     out = str(tmp_path / "out")
     run_available(stream_to(unique, "table", str(tmp_path / "ck"), path=out, available_now=True), 120)
-    assert [r[0] for r in rows(spark.read.parquet(out))] == [f"e{i}" for i in range(5)]
+    assert [r[0] for r in rows(op.read_delivered(spark, out))] == [f"e{i}" for i in range(5)]
 
 
 def test_http_stream_sends_each_event(spark, landed, tmp_path):
@@ -161,7 +161,7 @@ def test_pulled_stream_resumes_from_its_checkpoint(spark, tmp_path, limit):
     for now in (3 * HOUR + 50_000, 3 * HOUR + 120_000):
         # the second run starts from the checkpoint
         run(now)
-        stored = spark.read.parquet(out)
+        stored = op.read_delivered(spark, out)
         expected = now // 10_000
         assert stored.count() == stored.select("idempotency_key").distinct().count() == expected
 
@@ -179,5 +179,36 @@ def test_limited_stream_plans_whole_windows():
         ("late", 3 * HOUR, 4 * HOUR), ("late", 4 * HOUR, 4 * HOUR + 24_000),
     ]
     later = reader.latestOffset()["heads"]
-    assert later == {"app": 4 * HOUR, "late": 4 * HOUR + 72_000}
+    assert later == {"app|cloudwatch|logs|0": 4 * HOUR, "late|cloudwatch|logs|1": 4 * HOUR + 72_000}
     assert reader.partitions(end, end) == []
+
+
+def test_an_input_that_lags_behind_a_live_one_loses_nothing(spark, tmp_path):
+    day = 86_400
+    schema = "stream_key string, idempotency_key string, event_ts timestamp"
+    folders = {name: str(tmp_path / name) for name in ("live", "lag")}
+
+    def land(name, *seconds):
+        rows = [(name, f"{name}-{s}", s) for s in seconds]
+        frame = spark.createDataFrame(rows, "stream_key string, idempotency_key string, s bigint")
+        frame = frame.withColumn("event_ts", F.timestamp_seconds("s")).drop("s")
+        frame.write.mode("append").parquet(folders[name])
+
+    land("live", 30 * day, 30 * day + 5)
+    land("lag", 0)
+    parts = [spark.readStream.schema(schema).parquet(f) for f in folders.values()]
+    got = []
+    for seconds in ((), (1, 2, 3), (day,)):
+        if seconds:
+            land("lag", *seconds)
+            land("live", 31 * day + seconds[0])
+        query = (
+            op.dedupe_events(parts, "1 hour").writeStream
+            .foreachBatch(lambda batch, _: got.extend(r.idempotency_key for r in batch.collect()))
+            .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination(120)
+    assert sorted(got) == sorted(
+        [f"lag-{s}" for s in (0, 1, 2, 3, day)]
+        + [f"live-{s}" for s in (30 * day, 30 * day + 5, 31 * day + 1, 32 * day)]
+    )

@@ -1,6 +1,13 @@
 """DataFrame to DataFrame operators. None runs an action except delivery."""
 
-from tidegauge.operators.deliver import deliver, send_requests, write_table
+from tidegauge.operators.deliver import (
+    deliver,
+    not_delivered,
+    print_events,
+    read_delivered,
+    send_requests,
+    write_table,
+)
 from tidegauge.operators.events import (
     dedupe_events,
     merge_streams,
@@ -58,7 +65,7 @@ __all__ = [
     "extract_log_events", "extract_text_fields", "filter_logs", "histogram_quantile",
     "json_equals", "latest_ingested", "match_labels", "merge_streams", "metric_events",
     "metric_org", "metric_query_plan", "number_rows", "observed", "offset_keys",
-    "offsets_from_delivered", "payload_struct", "plan_ranges", "prefix_values", "quarantine",
+    "not_delivered", "offsets_from_delivered", "payload_struct", "plan_ranges", "prefix_values", "print_events", "quarantine", "read_delivered",
     "rate_grid", "request_batches", "require_org", "reserved_fields", "resolve_offsets",
     "rollup", "run_stats", "select_labels", "select_series", "send_requests", "series_ratio",
     "shift_series", "split_rejects", "step_grid", "to_payload", "write_table",

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.payload import BATCH_SIZE, to_payload
+from tidegauge.schema import EVENT, ddl
 
 # Fixed value: attempts per request before the task fails.
 ATTEMPTS = 5
@@ -76,20 +79,52 @@ def delivered_table(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date("event_ts"))
 
 
+#: Columns of the delivered table; those it is partitioned by come last.
+DELIVERED = EVENT | {"ingested_at": "timestamp", "run_id": "string", "event_date": "date"}
+_RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
+
 def write_table(events: DataFrame, path: str, run_id: str) -> None:
-    """Write one run's events under ``run_id``, replacing what an earlier attempt of the
+    """Write one run's events under ``run_id``, replacing all that an earlier attempt of the
     same run left. The rebalance hint keeps files even and splits a hot stream and date."""
-    rows = delivered_table(events).withColumn("run_id", F.lit(run_id))
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"run_id {run_id!r} can't name a folder")
     (
-        rows.hint("rebalance", "stream_key", "event_date")
+        delivered_table(events)
+        .hint("rebalance", "stream_key", "event_date")
         .withColumn("ingested_at", F.current_timestamp())
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "stream_key", "event_date")
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("stream_key", "event_date")
+        .parquet(f"{path.rstrip('/')}/run_id={run_id}")
     )
 
 
+def read_delivered(spark: SparkSession, path: str) -> DataFrame:
+    """The delivered table with its declared types, so that a stream named ``007`` keeps its
+    name; no rows if nothing was delivered yet."""
+    try:
+        return spark.read.schema(ddl(DELIVERED)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl(DELIVERED))
+
+
+def not_delivered(events: DataFrame, delivered: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Events whose key is not in the delivered table yet; rows of ``run_id`` itself, left by an
+    earlier attempt, don't count. The date is part of the join, since a repeated event has its
+    time again: only stored partitions of the dates at hand are read."""
+    known = delivered if run_id is None else delivered.where(F.col("run_id") != run_id)
+    key = ["stream_key", "event_date", "idempotency_key"]
+    return delivered_table(events).join(known.select(*key), key, "left_anti").select(*events.columns)
+
+
+def print_events(events: DataFrame, write: Callable[[str], None]) -> DataFrame:
+    """``(n, attempts)`` per payload, each written whole by the task that holds it."""
+    return send_requests(events, lambda body: write(body[1:-1]), size=1, attempts=1)
+
+
 def deliver(
     events: DataFrame,
     mode: str,
@@ -99,11 +134,12 @@ def deliver(
     size: int = BATCH_SIZE,
     attempts: int = ATTEMPTS,
     backoff_s: float = 0.1,
-    rows: int = 20,
+    write: Callable[[str], None] = print,
 ) -> None:
     """Deliver a batch of events: ``table``, ``http``, ``console`` or ``noop``.
 
-    ``console`` shows ``rows`` payloads. For a stream use ``streaming.stream_to``.
+    ``console`` writes every payload, uncut, from the task that holds it. For a stream use
+    ``streaming.stream_to``.
     """
     if events.isStreaming:
         raise ValueError("use tidegauge.streaming.stream_to for a stream")
@@ -114,7 +150,7 @@ def deliver(
             "overwrite"
         ).save()
     elif mode == "console":
-        to_payload(events).select("payload").show(rows, truncate=False)
+        print_events(events, write).write.format("noop").mode("overwrite").save()
     elif mode == "noop":
         to_payload(events).write.format("noop").mode("overwrite").save()
     else:

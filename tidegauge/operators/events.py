@@ -31,16 +31,27 @@ def _drop_local_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def dedupe_events(
-    events: DataFrame, watermark: str | None = None, combine: bool = True
+    events: DataFrame | Sequence[DataFrame], watermark: str | None = None, combine: bool = False
 ) -> DataFrame:
     """One event per stream and idempotency key.
 
     In batch the smallest row of the copies is kept, so a rerun keeps the same one; copies
     collapse within each task before the shuffle, so a much repeated event is no hot spot.
-    A stream needs a ``watermark`` delay, which bounds the keys held in state. Streaming
-    de-duplication has no step before its shuffle, so ``combine`` adds one that drops copies
-    batch by batch; turn it off where copies are known to be few.
+    A stream needs a ``watermark`` delay, which bounds the keys held in state. Give several
+    streams one by one: each then has its own watermark, and the slowest one counts, so an input
+    that catches up beside a live one loses nothing. Streaming de-duplication has no step before
+    its shuffle; ``combine`` adds one, in Python, that drops copies batch by batch.
     """
+    if not isinstance(events, DataFrame):
+        parts = list(events)
+        if watermark is not None:
+            parts = [p.withWatermark("event_ts", watermark) if p.isStreaming else p for p in parts]
+        merged = merge_streams(*parts)
+        if not merged.isStreaming:
+            return dedupe_events(merged)
+        if watermark is None:
+            raise ValueError("de-duplicating a stream needs a watermark delay")
+        return merged.dropDuplicatesWithinWatermark(list(EVENT_KEY))
     if events.isStreaming:
         if watermark is None:
             raise ValueError("de-duplicating a stream needs a watermark delay")

@@ -108,7 +108,12 @@ def select_series(
 
     names_of = {no: F.array(*[F.lit(n) for n in names]) for no, names in enumerate(sets)}
     own_names = F.sort_array(F.map_keys("dims"))
-    own_set = F.coalesce(*[F.when(own_names == v, F.lit(no)) for no, v in names_of.items()])
+    unlisted = F.raise_error(
+        F.concat(F.lit("dimension names not in dimension_sets: "), F.to_json("dims"))
+    )
+    own_set = F.coalesce(
+        *[F.when(own_names == v, F.lit(no)) for no, v in names_of.items()], unlisted.cast("int")
+    )
     lookup = specs.select(
         "spec_id",
         own_set.alias("_set"),
@@ -157,17 +162,24 @@ def _rebuilt(grouped: DataFrame, keys: Mapping[str, str], metric_name: str | Non
 def series_ratio(
     left: DataFrame, right: DataFrame, labels: Sequence[str], metric_name: str = "ratio"
 ) -> DataFrame:
-    """``left / right`` where label values and instant agree, in floating point: division by
-    zero gives an infinity or NaN. Each side holds one row per label set and instant."""
+    """``left / right`` where stream, label values and instant agree, in floating point:
+    division by zero gives an infinity or NaN. Several rows of a side for one stream, label set
+    and instant fail the job."""
     keys = {f"_l{i}": name for i, name in enumerate(labels)}
 
-    def side(df: DataFrame, value: str, *kept: str) -> DataFrame:
-        return df.select(
-            *kept, "event_ts", F.col("value").alias(value),
+    by = ["stream_key", "event_ts", *keys]
+
+    def side(df: DataFrame, value: str) -> DataFrame:
+        named = df.select(
+            "stream_key", "event_ts", "value",
             *[F.coalesce(label(n), F.lit("")).alias(k) for k, n in keys.items()],
         )
+        several = F.raise_error(F.lit("a label set has several values at one instant"))
+        once = F.when(F.count(F.lit(1)) == 1, F.max("value")).otherwise(several.cast("double"))
+        return named.groupBy(*by).agg(once.alias(value))
 
-    joined = side(left, "_a", "stream_key").join(side(right, "_b"), ["event_ts", *keys])
+    # the sums' shuffle serves the join
+    joined = side(left, "_a").join(side(right, "_b"), by)
     a, b = F.col("_a"), F.col("_b")
     nan, inf = F.lit(float("nan")), F.lit(float("inf"))
     by_zero = F.when(F.isnan(a) | (a == 0), nan).when(a > 0, inf).otherwise(-inf)

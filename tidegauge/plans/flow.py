@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators.deliver import deliver
+from tidegauge.operators.deliver import deliver, not_delivered, read_delivered
 from tidegauge.operators.events import dedupe_events, merge_streams, split_rejects
 from tidegauge.operators.extract import extract_log_events, filter_logs
 from tidegauge.operators.metrics import metric_events
@@ -18,7 +18,7 @@ from tidegauge.operators.ranges import (
     commit_offsets,
     duplicate_streams,
     offset_keys,
-    offsets_from_delivered,
+    latest_ingested,
     plan_ranges,
     resolve_offsets,
 )
@@ -100,17 +100,23 @@ class Flow:
     rows: DataFrame
     events: DataFrame
     rejects: DataFrame
+    parts: tuple[DataFrame, ...]  # the accepted events of each input
 
     def deliver(self, run_id: str = "batch", dedupe: bool = True) -> None:
-        """Deliver a batch to the specified output."""
+        """Deliver a batch to the specified output. With ``dedupe`` an event that a table holds
+        from another run is not delivered to it again."""
         events = dedupe_events(self.events) if dedupe else self.events
         out = self.spec.output
+        if dedupe and out.type == "table":
+            stored = read_delivered(events.sparkSession, out.path)
+            events = not_delivered(events, stored, run_id)
         deliver(events, out.type, path=out.path, post=out.post, run_id=run_id)
 
     def stream(self, checkpoint: str, watermark: str | None = None, available_now: bool = False):
         """A writer that delivers the stream to the specified output; with ``watermark``
-        repeated events within that delay are dropped."""
-        events = dedupe_events(self.events, watermark) if watermark else self.events
+        repeated events within that delay are dropped, each input having a watermark of its
+        own."""
+        events = dedupe_events(self.parts, watermark) if watermark else self.events
         out = self.spec.output
         return stream_to(
             events, out.type, checkpoint, path=out.path, post=out.post, available_now=available_now
@@ -125,9 +131,14 @@ def build_flow(
 ) -> Flow:
     """Compose all inputs of a specification over landed pages, batch or streaming."""
     configure(spark)
-    rows = merge_streams(*[input_events(spark, i, pages, transforms) for i in spec.inputs])
+    names = [(i.stream_key, i.provider, i.kind) for i in spec.inputs]
+    if len(set(names)) < len(names):
+        # landed pages don't tell such inputs apart, and each would take them all
+        raise ValueError("two inputs share stream key, provider and kind: give them own keys")
+    inputs = [input_events(spark, i, pages, transforms) for i in spec.inputs]
+    rows = merge_streams(*inputs)
     events, rejects = split_rejects(rows)
-    return Flow(spec, rows, events, rejects)
+    return Flow(spec, rows, events, rejects, tuple(split_rejects(i)[0] for i in inputs))
 
 
 # --- resuming -------------------------------------------------------------------------
@@ -177,10 +188,17 @@ def next_ranges(
         if delivered is None:
             raise ValueError("an input resumes from delivered events, but none are given")
         derived = inputs.where(F.col("store") == "delivered")
-        resolved = offsets_from_delivered(
-            derived.dropDuplicates(["stream_key"]), delivered
-        ).join(derived, "stream_key")
-        parts.append(resolved.withColumn("stream_key", F.col("offset_key")))
+        # each input by its own start and override, also among those of one stream
+        seen = latest_ingested(delivered).select(
+            "stream_key", F.unix_millis("event_ts").alias("offset_ms")
+        )
+        own = derived.join(seen, "stream_key", "left").select(
+            F.col("offset_key").alias("stream_key"), "offset_ms"
+        )
+        keyed = derived.withColumn("stream_key", F.col("offset_key"))
+        parts.append(
+            resolve_offsets(keyed, own.where("offset_ms is not null")).join(keyed, "stream_key")
+        )
     rows = merge_streams(*[p.select("stream_key", "offset_ms", "step_ms") for p in parts])
     return plan_ranges(rows, now_ms, F.col("step_ms"), overlap_ms=overlap_ms)
 

@@ -573,12 +573,29 @@ SELECT event_type AS stream_key, CAST(event_id AS VARCHAR) AS idempotency_key,
 FROM events
 """)
 def delivered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written twice under one run id to the table sink, read back once."""
+    """Events written twice under one run id to the table sink, read back once. The first
+    attempt put them a day later, into partitions that the second must clear."""
     path = shared_dir(spark, "delivered")
     events = _typed_events(spark, sf_dir)
+    later = events.withColumn("event_ts", F.col("event_ts") + F.expr("interval 1 day"))
+    op.write_table(later, path, "run-1")
     op.write_table(events, path, "run-1")
-    op.write_table(events, path, "run-1")
-    return spark.read.parquet(path).select(
+    return op.read_delivered(spark, path).select(
+        "stream_key", "idempotency_key", "organization_id", F.col("event_date").cast("string")
+    )
+
+@registered(ORACLES["delivered_table"])
+def delivered_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that overlap by half of the events, and a third from a stream's batch: each
+    event is stored once."""
+    path = shared_dir(spark, "overlap")
+    events = _typed_events(spark, sf_dir)
+    half = F.pmod(F.xxhash64("idempotency_key"), F.lit(2)) == 0
+    op.write_table(events.where(half), path, "run-1")
+    for run_id in ("run-2", "stream-0-0000000000"):
+        rest = op.not_delivered(events, op.read_delivered(spark, path), run_id)
+        op.write_table(rest, path, run_id)
+    return op.read_delivered(spark, path).select(
         "stream_key", "idempotency_key", "organization_id", F.col("event_date").cast("string")
     )
 
@@ -1000,4 +1017,4 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         unique, "table", f"{base}/checkpoint", path=f"{base}/events", available_now=True
     )
     run_available(writer)
-    return _shown(spark.read.parquet(f"{base}/events"))
+    return _shown(op.read_delivered(spark, f"{base}/events"))

@@ -192,9 +192,9 @@ class PrometheusQuery:
         )
         if self.step is not None:
             _one_of(self.step[1], tuple(STEP_UNITS), "step unit")
-            seconds = self.step[0] * STEP_UNITS[self.step[1]] // 1000
-            _require(1 <= seconds <= 60, "step must be between 1 and 60 seconds")
-            _require(60 % seconds == 0, "step must divide 60 seconds evenly")
+            millis = self.step[0] * STEP_UNITS[self.step[1]]
+            _require(1000 <= millis <= 60_000, "step must be between 1 and 60 seconds")
+            _require(60_000 % millis == 0, "step must divide 60 seconds evenly")
 
     @property
     def step_ms(self) -> int | None:

@@ -49,6 +49,11 @@ class _Inputs:
             options.get("max_ranges_per_trigger") or options.get("maxRangesPerTrigger") or 0
         )
 
+    def named(self) -> Iterator[tuple[str, dict]]:
+        """The inputs by names that also tell inputs of one stream key apart."""
+        for pos, row in enumerate(self.rows):
+            yield f"{row['stream_key']}|{row['provider']}|{row['kind']}|{pos}", row
+
     def now(self) -> int:
         return int(self.fixed_now) if self.fixed_now else time.time_ns() // 1_000_000
 
@@ -87,41 +92,39 @@ class _BatchReader(DataSourceReader):
 
 
 class _StreamReader(DataSourceStreamReader):
-    """Offsets are ``{"heads": {stream_key: next unread ms}, "now": planning time}``. With
-    the planning time in the offset, a replayed batch is cut into the same ranges."""
+    """Offsets are ``{"heads": {input: next unread ms}, "now": planning time}``; an input is
+    named by its stream key, provider, kind and place. With the planning time in the offset, a
+    replayed batch is cut into the same ranges."""
 
     def __init__(self, fetch: PageFetcher, options: dict[str, str]):
         self.fetch, self.inputs = fetch, _Inputs(options)
         self.reached: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
-        return {"heads": {r["stream_key"]: r["start_from"] for r in self.inputs.rows}, "now": 0}
+        return {"heads": {k: r["start_from"] for k, r in self.inputs.named()}, "now": 0}
 
     def latestOffset(self) -> dict:
         now, limit = self.inputs.now(), self.inputs.limit
         heads = {}
-        for row in self.inputs.rows:
-            at = max(self.reached.get(row["stream_key"], 0), row["start_from"])
+        for name, row in self.inputs.named():
+            at = max(self.reached.get(name, 0), row["start_from"])
             if not limit:
                 at = max(at, now)
             # a limited trigger advances every input by up to `limit` ranges
             for _ in range(limit):
                 if at < now:
                     at = next_head(at, now, STEP_MS[row["kind"]])
-            heads[row["stream_key"]] = at
+            heads[name] = at
         return {"heads": heads, "now": now}
 
     def partitions(self, start: dict, end: dict) -> list[TimeRange]:
         self.reached = dict(end["heads"])
         return [
             part
-            for row in self.inputs.rows
-            if row["stream_key"] in end["heads"]
+            for name, row in self.inputs.named()
+            if name in end["heads"]
             for part in self.inputs.ranges(
-                row,
-                start["heads"].get(row["stream_key"], row["start_from"]),
-                end["heads"][row["stream_key"]],
-                end["now"],
+                row, start["heads"].get(name, row["start_from"]), end["heads"][name], end["now"]
             )
         ]
 

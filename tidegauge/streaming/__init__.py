@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidegauge.operators.deliver import ATTEMPTS, delivered_table, send_requests
+from tidegauge.operators.deliver import ATTEMPTS, print_events, send_requests, write_table
 from tidegauge.operators.payload import BATCH_SECONDS, BATCH_SIZE, to_payload
 from tidegauge.plans.spec import STEP_MS
 
@@ -28,19 +30,22 @@ def stream_to(
     attempts: int = ATTEMPTS,
     backoff_s: float = 0.1,
     trigger_seconds: int = BATCH_SECONDS,
+    write: Callable[[str], None] = print,
 ) -> DataStreamWriter:
     """A writer that delivers an event stream: ``table``, ``http``, ``console`` or ``noop``.
 
     Offsets advance in the checkpoint only after a batch is delivered. The table sink
-    commits each batch once; a replayed http batch carries the same idempotency keys.
+    writes each batch as a run of its own, in the layout of a batch delivery, and a replayed
+    batch over its earlier attempt; a replayed http batch carries the same idempotency keys.
     """
     if mode == "table":
-        writer = (
-            delivered_table(events)
-            .writeStream.format("parquet")
-            .option("path", path)
-            .partitionBy("stream_key", "event_date")
-        )
+        # streams into one table differ by their checkpoints
+        stream_id = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            write_table(batch, path, f"{stream_id}-{batch_id:010d}")
+
+        writer = events.writeStream.foreachBatch(write_batch)
     elif mode == "http":
 
         def post_batch(batch: DataFrame, batch_id: int) -> None:
@@ -49,7 +54,11 @@ def stream_to(
 
         writer = events.writeStream.foreachBatch(post_batch)
     elif mode == "console":
-        writer = to_payload(events).select("payload").writeStream.format("console")
+
+        def print_batch(batch: DataFrame, batch_id: int) -> None:
+            print_events(batch, write).write.format("noop").mode("overwrite").save()
+
+        writer = events.writeStream.foreachBatch(print_batch)
     elif mode == "noop":
         writer = to_payload(events).writeStream.format("noop")
     else:
@@ -61,11 +70,30 @@ def stream_to(
 
 
 def run_available(writer: DataStreamWriter, timeout_s: int | None = None) -> StreamingQuery:
-    """Process everything that is available and return when done."""
-    query = writer.start()
-    if timeout_s is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"stream still running after {timeout_s} s")
-    return query
+    """Process everything that is available and return when done.
+
+    A pull source that plans a limited number of ranges per trigger ends such a run early, so
+    runs follow until it has reached the moment it planned from.
+    """
+    while True:
+        query = writer.start()
+        if timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_s):
+            query.stop()
+            raise TimeoutError(f"stream still running after {timeout_s} s")
+        if not _lags(query):
+            return query
+
+
+def _lags(query: StreamingQuery) -> bool:
+    progress = query.lastProgress
+    for source in progress["sources"] if progress else []:
+        try:
+            offset = json.loads(source["endOffset"] or "null")
+        except (TypeError, ValueError):
+            offset = source["endOffset"]
+        if isinstance(offset, dict) and "heads" in offset:
+            if any(head < offset["now"] for head in offset["heads"].values()):
+                return True
+    return False
