@@ -195,10 +195,10 @@ def test_an_input_that_lags_behind_a_live_one_loses_nothing(spark, tmp_path):
         frame.write.mode("append").parquet(folders[name])
 
     land("live", 30 * day, 30 * day + 5)
-    land("lag", 0)
+    land("lag", 10)
     parts = [spark.readStream.schema(schema).parquet(f) for f in folders.values()]
     got = []
-    for seconds in ((), (1, 2, 3), (day,)):
+    for seconds in ((), (11, 12, 13), (day,)):
         if seconds:
             land("lag", *seconds)
             land("live", 31 * day + seconds[0])
@@ -209,6 +209,6 @@ def test_an_input_that_lags_behind_a_live_one_loses_nothing(spark, tmp_path):
         )
         query.awaitTermination(120)
     assert sorted(got) == sorted(
-        [f"lag-{s}" for s in (0, 1, 2, 3, day)]
-        + [f"live-{s}" for s in (30 * day, 30 * day + 5, 31 * day + 1, 32 * day)]
+        [f"lag-{s}" for s in (10, 11, 12, 13, day)]
+        + [f"live-{s}" for s in (30 * day, 30 * day + 5, 31 * day + 11, 32 * day)]
     )
