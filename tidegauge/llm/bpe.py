@@ -9,6 +9,7 @@ prefix at once, so bytes can be appended, cut off or replaced without starting o
 from __future__ import annotations
 
 import base64
+import re
 import struct
 from collections.abc import Callable
 
@@ -19,14 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm.arrow import map_texts
 
-#: Pieces kept with their ids by a task, and the longest piece kept.
-KEPT_PIECES = 500_000
+#: Words kept with their ids by a task, and the longest word or piece kept.
+KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
 #: Prefixes of such pieces, and pairs of neighbours, kept by a task.
 KEPT_PREFIXES = 1_000_000
 KEPT_PAIRS = 1_000_000
 #: How many pieces at the end of a text may change when text is appended ("'l" + "l").
 LOOSE_PIECES = 2
+_SPACE_BEFORE_BLANK = re.compile(r"\s ")
+_CUT = re.compile(r"(?<=\S)(?= )")
 
 
 class Vocabulary:
@@ -188,9 +191,11 @@ class PrefixStore(dict):
 
 
 class TextEncoder(dict):
-    """Whole texts: pieces by a pattern, each encoded by itself; maps a piece to packed ids.
+    """Whole texts: pieces by a pattern, each encoded by itself.
 
-    A piece that is itself a token is that token, as in the tiktoken library.
+    No piece holds a blank behind a character that isn't white space, so a text may be cut before
+    such blanks. Maps what stands behind a blank to the packed ids of both. A piece that is itself
+    a token is that token, as in the tiktoken library.
     """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
@@ -199,26 +204,35 @@ class TextEncoder(dict):
         self.prefixes = PrefixStore(vocabulary)
         self.split: Callable[[str], list[str]] = regex.compile(pattern).findall
 
-    def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8", "surrogatepass")
-        whole = self.vocabulary.ranks.get(data)
-        kept = len(piece) <= KEPT_LENGTH
-        if whole is not None:
-            ids = [whole]
-        elif kept:
-            ids = self.prefixes.ids(data)
-        else:
-            ids = PrefixEncoder(self.vocabulary, data).ids()
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if kept:
-            if len(self) >= KEPT_PIECES:
+    def __missing__(self, word: str) -> bytes:
+        packed = self._pieces(f" {word}")
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
                 self.clear()
-            self[piece] = packed
+            self[word] = packed
         return packed
 
+    def _pieces(self, text: str) -> bytes:
+        ids: list[int] = []
+        for piece in self.split(text):
+            data = piece.encode("utf-8", "surrogatepass")
+            whole = self.vocabulary.ranks.get(data)
+            if whole is not None:
+                ids.append(whole)
+            elif len(data) <= KEPT_LENGTH:
+                ids += self.prefixes.ids(data)
+            else:
+                ids += PrefixEncoder(self.vocabulary, data).ids()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.__getitem__, self.split(text)))
+        if _SPACE_BEFORE_BLANK.search(text):
+            first, *rest = _CUT.split(text)
+            rest = [part[1:] for part in rest]
+        else:
+            first, *rest = text.split(" ")
+        return self._pieces(first) + b"".join(map(self.__getitem__, rest))
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(
@@ -228,7 +242,7 @@ class TextEncoder(dict):
     def append(self, text: str, packed: bytes, more: str) -> bytes:
         """The encoding of ``text + more`` from that of ``text``: only its end is redone."""
         pieces = self.split(text)[-LOOSE_PIECES:]
-        redone = sum(len(self[p]) for p in pieces)
+        redone = sum(len(self._pieces(p)) for p in pieces)
         return packed[: len(packed) - redone] + self.encode("".join(pieces) + more)
 
 
