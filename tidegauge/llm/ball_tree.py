@@ -108,8 +108,8 @@ class BallTree:
         return ids, scores
 
 
-_SCHEMA = T.StructType.fromDDL(
-    "query_id bigint, query_no bigint, vec_id bigint, score bigint"
+_SCHEMA = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("query_id", "query_no", "vec_id", "score")]
 )
 
 

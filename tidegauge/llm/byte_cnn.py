@@ -7,6 +7,8 @@ from numpy.lib.stride_tricks import sliding_window_view
 
 #: Byte value that fills windows behind the end of a text; its embedding stays zero.
 PAD = 256
+#: Steps that training takes at least.
+LEAST_STEPS = 200
 
 
 def windows(texts: list[bytes], length: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,6 +108,11 @@ class Adam:
             self.weights[k] -= (self.rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
 
 
+def rounds(epochs: int, rows: int, batch: int) -> int:
+    """So many epochs, or more of a small sample, for ``LEAST_STEPS`` steps in all."""
+    return max(epochs, min(100, -(-LEAST_STEPS // max(1, -(-rows // batch)))))
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     z = np.exp(z - z.max(1, keepdims=True))
     return z / z.sum(1, keepdims=True)
@@ -124,7 +131,7 @@ class WindowClassifier:
         x, owner = windows(texts, self.length, self.overlap)
         y, weights = np.asarray(labels)[owner], self.conv.weights
         adam, rng = Adam(weights, rate), np.random.default_rng(self.seed)
-        for _ in range(epochs):
+        for _ in range(rounds(epochs, len(x), batch)):
             order = rng.permutation(len(x))
             for at in range(0, len(x), batch):
                 pick = order[at : at + batch]
@@ -174,7 +181,7 @@ class DocumentScorer:
         cost = np.where(y == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
         weights, size = self.conv.weights, self.conv.size
         adam, rng = Adam(weights, rate), np.random.default_rng(self.seed)
-        for _ in range(epochs):
+        for _ in range(rounds(epochs, len(texts), batch)):
             order = rng.permutation(len(texts))
             for at in range(0, len(texts), batch):
                 pick = order[at : at + batch]

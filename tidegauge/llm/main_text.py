@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidegauge.llm.arrow import map_texts
 
@@ -195,4 +196,5 @@ def extract_main_text(
 
     kinds = [f"`{n}` {frame.schema[n].dataType.simpleString()}" for n in keep]
     schema = ", ".join([*kinds, "text string"])
-    return map_texts(frame.select(*keep, html_column), html_column, make, schema)
+    pages = frame.select(*keep, F.col(html_column).alias("_page"))
+    return map_texts(pages, "_page", make, schema)
