@@ -3,9 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidegauge import operators as op
 from tidegauge.functions import object_text
 from tidegauge.operators import OffsetTable
-from tidegauge.plans.flow import build_flow, input_table, next_ranges
+from tidegauge.plans.flow import build_flow, commit_ranges, fetch_ranges, input_table, next_ranges
 from tidegauge.plans.spec import (
     CloudwatchMetrics,
     DatadogMetrics,
@@ -173,3 +174,88 @@ def test_offsets_and_outputs():
     refused("output type", lambda: OutputSpec("null"))
     refused("path", lambda: OutputSpec("table"))
     refused("poster", lambda: OutputSpec("http"))
+
+
+# --- inputs that share a stream key, resuming ------------------------------------------------
+
+
+def record(key, at):
+    return {"eventId": f"{key}-{at}", "timestamp": at, "message": json.dumps({"user": key, "level": "L"})}
+
+
+def hourly(input_key, start_ms, end_ms):
+    """One record at every full minute of the range."""
+    times = range(-(-start_ms // 60_000) * 60_000, end_ms, 60_000)
+    yield None, json.dumps({"events": [record(input_key, t) for t in times]})
+
+
+def test_resumed_pulls_deliver_each_event_once(spark, tmp_path):
+    minute = 60_000
+    out = OutputSpec("table", path=str(tmp_path / "out"))
+    spec = FlowSpec([
+        InputSpec("cw", "cloudwatch", "logs", OffsetSpec(0), filters=LOGS),
+        InputSpec("cw", "cloudwatch", "logs", OffsetSpec(50 * minute, store="keyed_table", suffix="at"),
+                  filters=LOGS),
+    ], out)
+    offsets = OffsetTable(spark, str(tmp_path / "offsets"))
+    for no, now in enumerate((70 * minute, 71 * minute, 200 * minute)):
+        ranges = next_ranges(spark, spec, now, offsets=offsets)
+        pulled = fetch_ranges(spark, spec, ranges, hourly)
+        build_flow(spark, spec, pulled).deliver(run_id=f"run-{no}")
+        commit_ranges(spark, spec, ranges, offsets)
+        stored = op.read_delivered(spark, out.path).collect()
+        wanted = [("cw_0", f"cw_0-{t}") for t in range(0, now, minute)]
+        wanted += [("cw_1", f"cw_1-{t}") for t in range(50 * minute, now, minute)]
+        assert sorted((r.organization_id, r.idempotency_key) for r in stored) == sorted(wanted)
+    log = offsets.log().select("stream_key").distinct().collect()
+    assert {r.stream_key for r in log} == {"cw_0", "cw_1:at"}
+
+
+def test_an_override_counts_once(spark, tmp_path):
+    spec = FlowSpec([InputSpec("cw", "cloudwatch", "logs", OffsetSpec(1_000, override_start_from=True),
+                               filters=LOGS)])
+    offsets = OffsetTable(spark, str(tmp_path / "o"))
+    commit_ranges(spark, spec, next_ranges(spark, spec, 9_000, offsets=offsets), offsets)
+    again = next_ranges(spark, spec, 9_500, offsets=offsets)
+    assert [(r.start_ms, r.end_ms) for r in again.collect()] == [(1_000, 9_500)]
+    later = next_ranges(spark, spec, 9_500, offsets=offsets, override=False)
+    assert [(r.start_ms, r.end_ms) for r in later.collect()] == [(9_000, 9_500)]
+
+
+def test_pages_of_shared_inputs_name_theirs(spark, pages):
+    spec = FlowSpec([CW_LOGS, InputSpec("cw", "cloudwatch", "logs", START, filters=LOGS)])
+    landed = pages("cloudwatch", "logs", {"events": [record("u", 1_000)]}, stream_key="cw")
+    with pytest.raises(ValueError, match="input_key"):
+        build_flow(spark, spec, landed)
+    named = [landed.withColumn("input_key", F.lit(k).cast("string")) for k in ("cw_0", "cw_1", "cw_7", None)]
+    flow = build_flow(spark, spec, op.merge_streams(*named))
+    assert flow.events.count() == 2
+    strays = [(r.reject_reason, json.loads(r.content)["events"][0]["eventId"]) for r in flow.rejects.collect()]
+    assert strays == [("unknown_input", "u-1000")] * 2
+
+
+def test_derived_offsets_by_organisation(spark):
+    def of(org):
+        offset = OffsetSpec(10_000, store="delivered", organization_id=org)
+        return InputSpec("cw", "cloudwatch", "logs", offset, filters=LOGS)
+
+    delivered = spark.createDataFrame(
+        [("cw", "a", 100_000), ("cw", "b", 900_000), ("other", "a", 950_000)],
+        "stream_key string, organization_id string, ms bigint",
+    ).withColumn("event_ts", F.timestamp_millis("ms"))
+    spec = FlowSpec([of("a"), of("b"), of("c"), of(None), of(" ")])
+    ranges = next_ranges(spark, spec, 1_000_000, delivered=delivered)
+    starts = {r.stream_key: r.at for r in ranges.groupBy("stream_key").agg(F.min("start_ms").alias("at")).collect()}
+    assert starts == {"cw_0": 100_000, "cw_1": 900_000, "cw_2": 10_000, "cw_3": 900_000, "cw_4": 900_000}
+
+
+def test_rejects_go_to_quarantine_with_their_content(spark, mixed, tmp_path):
+    out = OutputSpec("table", path=str(tmp_path / "out"), quarantine=str(tmp_path / "rejects"))
+    flow = build_flow(spark, FlowSpec([CW_LOGS, DD_METRICS, PROM], out), mixed)
+    for _ in range(2):  # an attempt replaces the one before
+        flow.deliver(run_id="r")
+        assert op.read_delivered(spark, out.path).count() == 7
+        held = op.read_rejects(spark, out.quarantine).collect()
+        assert [(r.stream_key, r.idempotency_key, r.reject_reason, r.content) for r in held] == [
+            ("cw", "l3", "parse_error", "noise")
+        ]

@@ -99,8 +99,14 @@ def test_rate_grid_equals_brute_force(counters):
                 expected.append(((org, g), increase(inside) / 300))
     for fold in (None, 10_000, 1_000):
         close(out(op.rate_grid(frame, start, end, step, window, fold_ms=fold)), sorted(expected))
-    with pytest.raises(ValueError):
-        op.rate_grid(frame, start, end, step, 45_000)
+    # a window that is no multiple of the step
+    uneven = [
+        ((org, g), increase(inside) / 250)
+        for org, points in samples.items()
+        for g in range(start, end + 1, step)
+        if len(inside := [v for ms, v in points if g - 250_000 < ms <= g]) > 1
+    ]
+    close(out(op.rate_grid(frame, start, end, step, 250_000)), sorted(uneven))
     with pytest.raises(ValueError):
         op.rate_grid(frame, start, end, step, window, fold_ms=7_000)
 

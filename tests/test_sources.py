@@ -117,6 +117,21 @@ def test_cloudwatch_metric_pages(spark, pages):
     assert reasons(rows) == []
 
 
+def test_cloudwatch_metric_times_as_numbers(spark, pages):
+    seconds = 1_712_345_670
+    numbers = [seconds, seconds + 30.5, (seconds + 60) * 1000, f"{seconds + 90}", "1e999"]
+    page = {"MetricDataResults": [
+        {"Id": "cpu_query_0", "Timestamps": numbers, "Values": [float(i) for i in range(5)]}
+    ]}
+    rows = sources.normalize_cloudwatch_metrics(
+        pages("cloudwatch", "metrics", page), query_plan(spark, CW)
+    )
+    assert [(at - seconds * 1000, v) for _, _, at, v, _ in samples(rows)] == [
+        (0, 0.0), (30_500, 1.0), (60_000, 2.0), (90_000, 3.0)
+    ]
+    assert reasons(rows) == ["bad_timestamp"]
+
+
 def test_cloudwatch_metric_rejects(spark, pages):
     bad = {"MetricDataResults": [
         {"Id": "cpu_query_0", "Timestamps": ["2024-01-01T00:00:00Z"], "Values": [1.0, 2.0]},

@@ -5,7 +5,9 @@ from tidegauge.operators.deliver import (
     not_delivered,
     print_events,
     read_delivered,
+    read_rejects,
     send_requests,
+    write_rejects,
     write_table,
 )
 from tidegauge.operators.events import (
@@ -65,8 +67,10 @@ __all__ = [
     "extract_log_events", "extract_text_fields", "filter_logs", "histogram_quantile",
     "json_equals", "latest_ingested", "match_labels", "merge_streams", "metric_events",
     "metric_org", "metric_query_plan", "number_rows", "observed", "offset_keys",
-    "not_delivered", "offsets_from_delivered", "payload_struct", "plan_ranges", "prefix_values", "print_events", "quarantine", "read_delivered",
+    "not_delivered", "offsets_from_delivered", "payload_struct", "plan_ranges", "prefix_values", "print_events", "quarantine",
+    "read_delivered", "read_rejects",
     "rate_grid", "request_batches", "require_org", "reserved_fields", "resolve_offsets",
     "rollup", "run_stats", "select_labels", "select_series", "send_requests", "series_ratio",
-    "shift_series", "split_rejects", "step_grid", "to_payload", "write_table",
+    "shift_series", "split_rejects", "step_grid", "to_payload", "write_rejects",
+    "write_table",
 ]

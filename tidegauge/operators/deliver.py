@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.payload import BATCH_SIZE, to_payload
-from tidegauge.schema import EVENT, ddl
+from tidegauge.schema import CONTENT, EVENT, REJECT, ddl
 
 # Fixed value: attempts per request before the task fails.
 ATTEMPTS = 5
@@ -81,6 +81,10 @@ def delivered_table(events: DataFrame) -> DataFrame:
 
 #: Columns of the delivered table; those it is partitioned by come last.
 DELIVERED = EVENT | {"ingested_at": "timestamp", "run_id": "string", "event_date": "date"}
+#: Columns of the quarantine table.
+QUARANTINED = EVENT | {
+    CONTENT: "string", "ingested_at": "timestamp", "run_id": "string", REJECT: "string"
+}
 _RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 
@@ -100,6 +104,30 @@ def write_table(events: DataFrame, path: str, run_id: str) -> None:
     )
 
 
+def write_rejects(rejects: DataFrame, path: str, run_id: str) -> None:
+    """Write one run's rejected rows with reason and content, replacing an earlier attempt's."""
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"run_id {run_id!r} can't name a folder")
+    (
+        rejects.hint("rebalance", "stream_key", REJECT)
+        .withColumn("ingested_at", F.current_timestamp())
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("stream_key", REJECT)
+        .parquet(f"{path.rstrip('/')}/run_id={run_id}")
+    )
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantined rows of all runs, with their declared types; none if there are none yet."""
+    try:
+        return spark.read.schema(ddl(QUARANTINED)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl(QUARANTINED))
+
+
 def read_delivered(spark: SparkSession, path: str) -> DataFrame:
     """The delivered table with its declared types, so that a stream named ``007`` keeps its
     name; no rows if nothing was delivered yet."""

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.schema import REJECT
+from tidegauge.schema import CONTENT, REJECT
 
 #: What makes two events the same event.
 EVENT_KEY = ("stream_key", "idempotency_key")
@@ -71,7 +71,7 @@ def dedupe_events(
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted rows and quarantined rows, as two lazy filters of one plan."""
-    good = rows.where(F.col(REJECT).isNull()).drop(REJECT)
+    good = rows.where(F.col(REJECT).isNull()).drop(REJECT, CONTENT)
     return good, quarantine(rows)
 
 

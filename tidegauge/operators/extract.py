@@ -18,7 +18,7 @@ from tidegauge.functions import (
     strptime_pattern,
 )
 from tidegauge.plans.spec import LogField, LogFilter
-from tidegauge.schema import REJECT
+from tidegauge.schema import CONTENT, REJECT
 from tidegauge.sources.pages import with_record
 
 
@@ -215,7 +215,7 @@ def extract_log_events(
     """Log entries to events plus ``reject_reason``.
 
     The provider's log id is the idempotency key and its event time is kept. Declared
-    fields that a log lacks are left out of its entries.
+    fields that a log lacks are left out of its entries. A rejected row keeps its ``content``.
     """
     extract = extract_text_fields if spec.log_format == "raw_text" else extract_json_fields
     rows = extract(entries, spec.fields, on_cast_error)
@@ -231,6 +231,9 @@ def extract_log_events(
         "event_ts",
         (org_value if org.hash else _plain(org_value, org)).alias("organization_id"),
         entry_list(pairs).alias("entries"),
+        F.col("content").alias(CONTENT),
         REJECT,
     )
-    return require_org(events, numeric)
+    # accepted rows let their text go
+    rejected = F.when(F.col(REJECT).isNotNull(), F.col(CONTENT))
+    return require_org(events, numeric).withColumn(CONTENT, rejected)

@@ -20,7 +20,7 @@ from tidegauge.functions import (
     sorted_entries,
 )
 from tidegauge.plans.spec import MetricField, MetricFilter
-from tidegauge.schema import REJECT
+from tidegauge.schema import CONTENT, REJECT
 
 
 def select_labels(labels: Column, fields: Sequence[MetricField]) -> Column:
@@ -73,7 +73,8 @@ def metric_events(
 
     Values are the metric under its sanitised name and the chosen labels; a label of the
     same name overwrites the metric. The key hashes the organisation as it came, before
-    any hashing of the column. Rows with labels of which none is listed are rejected.
+    any hashing of the column. Rows with labels of which none is listed are rejected; a
+    rejected row keeps its sample as JSON text in ``content``.
     """
     fields = spec.fields if spec else ()
     labels = F.coalesce(F.col("labels"), F.create_map().cast("map<string,string>"))
@@ -98,6 +99,9 @@ def metric_events(
         "organization_id",
         "organization_identifier",
         F.concat(base, chosen).alias("_listed"),
+        F.when(reason.isNotNull(), F.to_json(F.struct("metric_name", "value", "labels"))).alias(
+            CONTENT
+        ),
         reason.alias(REJECT),
     ).withColumn("entries", sorted_entries(last_per_key(F.col("_listed"))))
     return rows.select(
@@ -110,5 +114,6 @@ def metric_events(
             "organization_id"
         ),
         "entries",
+        CONTENT,
         REJECT,
     )

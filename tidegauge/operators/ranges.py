@@ -126,11 +126,36 @@ def latest_ingested(
 
 def offsets_from_delivered(inputs: DataFrame, delivered: DataFrame) -> DataFrame:
     """Offsets derived from delivered events: latest event time in whole milliseconds, or
-    ``start_from`` for a stream with none; ``override`` skips the lookup."""
-    seen = latest_ingested(delivered).select(
-        "stream_key", F.unix_millis("event_ts").alias("offset_ms")
+    ``start_from`` for an input with none; ``override`` skips the lookup.
+
+    An input that names an ``organization_id`` looks at that organisation's events only
+    (``hash:v`` at the digest of ``v``), any other at the whole stream's. Inputs with an
+    ``offset_key`` are resolved one by one and returned under it as ``stream_key``; otherwise
+    ``stream_key`` names one input.
+    """
+    key = "offset_key" if "offset_key" in inputs.columns else "stream_key"
+    if "organization_id" in inputs.columns:
+        org = resolve_org_filter(F.col("organization_id"))
+    else:
+        org = F.lit(None).cast("string")
+    asked = inputs.withColumn("_org", org)
+    # one small row per stream and organisation; the maxima combine before the shuffle
+    latest = delivered.groupBy("stream_key", F.col("organization_id").alias("_org")).agg(
+        F.unix_millis(F.max("event_ts")).alias("_at")
+    )
+    whole = latest.groupBy("stream_key").agg(F.max("_at").alias("offset_ms"))
+    of_org = latest.where(F.col("_org").isNotNull()).withColumnRenamed("_at", "offset_ms")
+    seen = (
+        asked.where(F.col("_org").isNull())
+        .join(whole, "stream_key")
+        .select(F.col(key).alias("stream_key"), "offset_ms")
+        .unionAll(
+            asked.join(of_org, ["stream_key", "_org"]).select(
+                F.col(key).alias("stream_key"), "offset_ms"
+            )
+        )
     )
-    return resolve_offsets(inputs, seen)
+    return resolve_offsets(inputs.withColumn("stream_key", F.col(key)), seen)
 
 
 def commit_offsets(ranges: DataFrame, delivered_streams: DataFrame | None = None) -> DataFrame:
@@ -181,7 +206,7 @@ class OffsetTable:
             self._stored_key().alias("stream_key"),
             F.col("offset_ms").cast("bigint").alias("offset_ms"),
             "updated_at",
-        ).coalesce(1).write.mode("append").parquet(self.path)
+        ).repartition(1).write.mode("append").parquet(self.path)
 
     def seed(self, inputs: DataFrame) -> None:
         """Store the resolved start of inputs that have no offset yet, lie behind their

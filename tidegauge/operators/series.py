@@ -7,6 +7,7 @@ many tasks; the few samples a block needs from its neighbour are sent there as w
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -447,16 +448,16 @@ def rate_grid(
     extrapolate: bool = False, fold_ms: int | None = None,
 ) -> DataFrame:
     """Counter rate at ``start, start + step, ...`` up to ``end``, over the samples in
-    ``(t - window, t]``; ``window_ms`` is a multiple of ``step_ms``. Instants whose window
-    holds fewer than two samples have no row. ``extrapolate`` is as in ``counter_rate``.
+    ``(t - window, t]``. Instants whose window holds fewer than two samples have no row.
+    ``extrapolate`` is as in ``counter_rate``.
 
-    Samples are folded to one row per series and ``fold_ms`` first, a step by default and
-    otherwise a part of one. The windows then run over those rows, however many samples a
-    hot series has.
+    Samples are folded to one row per series and ``fold_ms`` first, which divides step and
+    window; by default it is the longest time that does. The windows then run over those
+    rows, however many samples a hot series has.
     """
-    fold_ms = fold_ms or step_ms
-    if window_ms % step_ms or step_ms % fold_ms:
-        raise ValueError("window_ms must be a multiple of step_ms, and step_ms of fold_ms")
+    fold_ms = fold_ms or math.gcd(step_ms, window_ms)
+    if window_ms % fold_ms or step_ms % fold_ms:
+        raise ValueError("fold_ms must divide window_ms and step_ms")
     first_us, step_us, fold_us = start_ms * 1000, step_ms * 1000, fold_ms * 1000
     steps, parts = (end_ms - start_ms) // step_ms, step_ms // fold_ms
     span, slots = window_ms // fold_ms, steps * parts

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators.deliver import deliver, not_delivered, read_delivered
+from tidegauge.operators.deliver import deliver, not_delivered, read_delivered, write_rejects
 from tidegauge.operators.events import dedupe_events, merge_streams, split_rejects
 from tidegauge.operators.extract import extract_log_events, filter_logs
 from tidegauge.operators.metrics import metric_events
@@ -17,14 +17,15 @@ from tidegauge.operators.ranges import (
     OffsetTable,
     commit_offsets,
     duplicate_streams,
-    offset_keys,
-    latest_ingested,
+    offsets_from_delivered,
     plan_ranges,
     resolve_offsets,
 )
-from tidegauge.plans.spec import STEP_MS, FlowSpec, InputSpec
-from tidegauge.session import config_table, configure
+from tidegauge.plans.spec import STEP_MS, FlowSpec, InputSpec, input_keys
+from tidegauge.schema import CONTENT, REJECT
+from tidegauge.session import config_table, configure, shared_dir
 from tidegauge.sources import normalizer_for
+from tidegauge.sources.pull import PageFetcher, pull_ranges
 from tidegauge.streaming import stream_to
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -70,16 +71,27 @@ def query_plan(spark: SparkSession, spec: InputSpec) -> DataFrame | None:
     return None
 
 
-def input_events(
-    spark: SparkSession, spec: InputSpec, pages: DataFrame, transforms: Sequence[Transform] = ()
-) -> DataFrame:
-    """Events of one input plus ``reject_reason``. The three conditions on the pages are on
-    plain columns, so they prune partitions and row groups of the landed table."""
-    own = pages.where(
+def _pages_of(spec: InputSpec) -> Column:
+    return (
         (F.col("stream_key") == spec.stream_key)
         & (F.col("provider") == spec.provider)
         & (F.col("kind") == spec.kind)
     )
+
+
+def input_events(
+    spark: SparkSession,
+    spec: InputSpec,
+    pages: DataFrame,
+    transforms: Sequence[Transform] = (),
+    input_key: str | None = None,
+) -> DataFrame:
+    """Events of one input plus ``content`` and ``reject_reason``. The conditions on the pages
+    are on plain columns, so they prune partitions and row groups of the landed table. With
+    ``input_key`` only pages fetched for that input are taken."""
+    own = pages.where(_pages_of(spec))
+    if input_key is not None:
+        own = own.where(F.col("input_key") == input_key)
     rows = normalizer_for(spec.provider, spec.kind)(own, spec, query_plan(spark, spec))
     if spec.predicate:
         rows = filter_logs(rows, F.col("reject_reason").isNotNull() | F.expr(spec.predicate))
@@ -103,10 +115,21 @@ class Flow:
     parts: tuple[DataFrame, ...]  # the accepted events of each input
 
     def deliver(self, run_id: str = "batch", dedupe: bool = True) -> None:
-        """Deliver a batch to the specified output. With ``dedupe`` an event that a table holds
-        from another run is not delivered to it again."""
-        events = dedupe_events(self.events) if dedupe else self.events
+        """Deliver a batch to the specified output, and rejected rows to its quarantine. With
+        ``dedupe`` an event that a table holds from another run is not delivered to it again."""
         out = self.spec.output
+        accepted = self.events
+        if out.quarantine:
+            # both halves from one pass over the pages, which are decoded once
+            landed = shared_dir(accepted.sparkSession, f"flow-{run_id}")
+            rows = self.rows.withColumn("_accepted", F.col(REJECT).isNull())
+            rows.write.partitionBy("_accepted").parquet(landed)
+            rows = accepted.sparkSession.read.schema(rows.schema).parquet(landed)
+            write_rejects(
+                rows.where(~F.col("_accepted")).drop("_accepted"), out.quarantine, run_id
+            )
+            accepted = rows.where("_accepted").select(*accepted.columns)
+        events = dedupe_events(accepted) if dedupe else accepted
         if dedupe and out.type == "table":
             stored = read_delivered(events.sparkSession, out.path)
             events = not_delivered(events, stored, run_id)
@@ -129,40 +152,79 @@ def build_flow(
     pages: DataFrame,
     transforms: Sequence[Transform] = (),
 ) -> Flow:
-    """Compose all inputs of a specification over landed pages, batch or streaming."""
+    """Compose all inputs of a specification over landed pages, batch or streaming.
+
+    Inputs that share stream key, provider and kind take the pages that name them in
+    ``input_key``; pages of theirs that name none of them are rejected as ``unknown_input``.
+    """
     configure(spark)
     names = [(i.stream_key, i.provider, i.kind) for i in spec.inputs]
-    if len(set(names)) < len(names):
-        # landed pages don't tell such inputs apart, and each would take them all
-        raise ValueError("two inputs share stream key, provider and kind: give them own keys")
-    inputs = [input_events(spark, i, pages, transforms) for i in spec.inputs]
-    rows = merge_streams(*inputs)
+    shared = {n for n in names if names.count(n) > 1}
+    if shared and "input_key" not in pages.columns:
+        # nothing tells such inputs apart, and each would take all their pages
+        raise ValueError("inputs share stream key, provider and kind: pages need an input_key")
+    keys = input_keys([i.stream_key for i in spec.inputs])
+    inputs = [
+        input_events(spark, i, pages, transforms, key if name in shared else None)
+        for i, name, key in zip(spec.inputs, names, keys, strict=True)
+    ]
+    stray = []
+    for name in sorted(shared):
+        known = [k for k, n in zip(keys, names, strict=True) if n == name]
+        one = spec.inputs[names.index(name)]
+        stray.append(_unknown_input(pages.where(_pages_of(one)), known, inputs[0]))
+    rows = merge_streams(*inputs, *stray)
     events, rejects = split_rejects(rows)
     return Flow(spec, rows, events, rejects, tuple(split_rejects(i)[0] for i in inputs))
 
 
+def _unknown_input(pages: DataFrame, known: list[str], like: DataFrame) -> DataFrame:
+    """Rejected rows, in the columns of ``like``, for pages that name none of the inputs."""
+    named = F.coalesce(F.col("input_key").isin(*known), F.lit(False))
+    values = {
+        "stream_key": F.col("stream_key"),
+        CONTENT: F.col("body"),
+        REJECT: F.lit("unknown_input"),
+    }
+    return pages.where(~named).select(
+        *[
+            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in like.schema.fields
+        ]
+    )
+
+
 # --- resuming -------------------------------------------------------------------------
 
 
 def input_table(spark: SparkSession, spec: FlowSpec) -> DataFrame:
-    """The inputs as rows, with the offset key that tells inputs of one stream apart."""
+    """The inputs as rows, with the offset key that tells inputs of one stream apart, and the
+    key that their offset is stored by."""
+    keys = input_keys([i.stream_key for i in spec.inputs])
     rows = [
         {
             "pos": pos,
             "stream_key": i.stream_key,
+            "provider": i.provider,
             "kind": i.kind,
+            "organization_id": i.offset.organization_id,
+            "offset_key": key,
+            "stored_key": (
+                f"{key}:{i.offset.suffix}" if i.offset.store == "keyed_table" else key
+            ),
             "start_from": i.offset.start_from,
             "override": i.offset.override_start_from,
             "step_ms": STEP_MS[i.kind],
             "store": i.offset.store,
         }
-        for pos, i in enumerate(spec.inputs)
+        for pos, (i, key) in enumerate(zip(spec.inputs, keys, strict=True))
     ]
     schema = (
-        "pos bigint, stream_key string, kind string, start_from bigint, override boolean, "
+        "pos bigint, stream_key string, provider string, kind string, organization_id string, "
+        "offset_key string, stored_key string, start_from bigint, override boolean, "
         "step_ms bigint, store string"
     )
-    return offset_keys(config_table(spark, rows, schema))
+    return config_table(spark, rows, schema)
 
 
 def next_ranges(
@@ -172,38 +234,61 @@ def next_ranges(
     offsets: OffsetTable | None = None,
     delivered: DataFrame | None = None,
     overlap_ms: int = 0,
+    override: bool = True,
 ) -> DataFrame:
     """Ranges every input has to fetch next, from the store its offset names. Inputs that
-    share a stream key are told apart by ``offset_key``, returned as ``stream_key``."""
+    share a stream key are told apart by ``offset_key``, returned as ``stream_key``.
+    ``override=False`` resumes inputs that override their offset like any other: a loop passes
+    it after its first round. Offsets of a ``keyed_table`` are stored under ``key:suffix``, in a
+    table opened without a suffix."""
     inputs = input_table(spark, spec)
+    if not override:
+        inputs = inputs.withColumn("override", F.lit(False))
     parts = []
     if any(i.offset.store != "delivered" for i in spec.inputs):
         if offsets is None:
             raise ValueError("an input resumes from the offset table, but none is given")
         keyed = inputs.where(F.col("store") != "delivered").withColumn(
-            "stream_key", F.col("offset_key")
+            "stream_key", F.col("stored_key")
         )
         parts.append(resolve_offsets(keyed, offsets.current()).join(keyed, "stream_key"))
     if any(i.offset.store == "delivered" for i in spec.inputs):
         if delivered is None:
             raise ValueError("an input resumes from delivered events, but none are given")
         derived = inputs.where(F.col("store") == "delivered")
-        # each input by its own start and override, also among those of one stream
-        seen = latest_ingested(delivered).select(
-            "stream_key", F.unix_millis("event_ts").alias("offset_ms")
-        )
-        own = derived.join(seen, "stream_key", "left").select(
-            F.col("offset_key").alias("stream_key"), "offset_ms"
-        )
+        # each input by its own start, organisation and override, also among those of one stream
         keyed = derived.withColumn("stream_key", F.col("offset_key"))
-        parts.append(
-            resolve_offsets(keyed, own.where("offset_ms is not null")).join(keyed, "stream_key")
-        )
-    rows = merge_streams(*[p.select("stream_key", "offset_ms", "step_ms") for p in parts])
+        parts.append(offsets_from_delivered(derived, delivered).join(keyed, "stream_key"))
+    rows = merge_streams(
+        *[p.select(F.col("offset_key").alias("stream_key"), "offset_ms", "step_ms") for p in parts]
+    )
     return plan_ranges(rows, now_ms, F.col("step_ms"), overlap_ms=overlap_ms)
 
 
+def fetch_ranges(
+    spark: SparkSession, spec: FlowSpec, ranges: DataFrame, fetch: PageFetcher
+) -> DataFrame:
+    """The pages of ranges that ``next_ranges`` planned, each naming the input it is for."""
+    inputs = input_table(spark, spec).select("stream_key", "provider", "kind", "offset_key")
+    named = ranges.withColumnRenamed("stream_key", "offset_key").join(inputs, "offset_key")
+    return pull_ranges(named.withColumnRenamed("offset_key", "input_key"), fetch)
+
+
+def commit_ranges(
+    spark: SparkSession, spec: FlowSpec, ranges: DataFrame, offsets: OffsetTable
+) -> None:
+    """Store how far each input has come once its ranges are delivered, by the key of its store.
+    Inputs that resume from delivered events store nothing."""
+    kept = (
+        input_table(spark, spec)
+        .where(F.col("store") != "delivered")
+        .select(F.col("offset_key").alias("stream_key"), "stored_key")
+    )
+    done = commit_offsets(ranges).join(kept, "stream_key")
+    offsets.commit(done.withColumn("stream_key", F.col("stored_key")))
+
+
 __all__ = [
-    "Flow", "build_flow", "commit_offsets", "duplicate_streams", "input_events", "input_table",
-    "next_ranges", "query_plan",
+    "Flow", "build_flow", "commit_offsets", "commit_ranges", "duplicate_streams", "fetch_ranges",
+    "input_events", "input_table", "next_ranges", "query_plan",
 ]

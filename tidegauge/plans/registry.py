@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -165,6 +166,27 @@ def log_hashed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.extract_json_fields(logs, fields).select("log_id", "fields.*")
 
 
+@registered("""
+SELECT CAST(o_orderkey AS VARCHAR) AS log_id,
+       CASE WHEN o_orderstatus <> 'P' THEN epoch_us(CAST(o_orderdate AS TIMESTAMP)) END AS placed_us,
+       CASE WHEN o_orderstatus = 'P' THEN 'parse_error' END AS reject_reason
+FROM orders
+""")
+def log_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamp fields by a format; dates in another form are rejected."""
+    form = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(
+        F.date_format("o_orderdate", "dd/MM/yyyy HH:mm")
+    )
+    logs = t.table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("stream_key"), F.col("o_orderkey").cast("string").alias("log_id"),
+        F.to_json(F.struct(form.alias("placed"))).alias("content"),
+    )
+    field = LogField("placed", path="placed", field_type="timestamp", format="%d/%m/%Y %H:%M")
+    return op.extract_json_fields(logs, (field,)).select(
+        "log_id", F.unix_micros("fields.placed").alias("placed_us"), "reject_reason"
+    )
+
+
 @registered("""
 SELECT CAST(event_id AS VARCHAR) AS log_id, epoch_us(ts) // 1000 AS event_ms
 FROM events WHERE event_type IN ('purchase', 'error') AND value >= 10
@@ -209,6 +231,10 @@ SELECT 'documents', 'parse_error', CAST(count(*) AS BIGINT) FROM documents
 """)
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per stream and reason, over log lines and over texts that are not JSON."""
+    return op.run_stats(_rows_with_rejects(spark, sf_dir))
+
+
+def _rows_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     org = F.when(F.col("event_type") != "signup", F.col("user_id").cast("string"))
     logs = t.event_logs(t.table(spark, sf_dir, "events"), "app_logs", org)
     texts = t.table(spark, sf_dir, "documents").select(
@@ -217,10 +243,9 @@ def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("content"),
         F.lit(None).cast("timestamp").alias("event_ts"),
     )
-    both = op.merge_streams(
+    return op.merge_streams(
         op.extract_log_events(logs, EVENT_FILTER), op.extract_log_events(texts, EVENT_FILTER)
     )
-    return op.run_stats(both)
 
 
 @registered(r"""
@@ -357,6 +382,31 @@ def metric_query_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.metric_query_plan(specs)
 
 
+@registered("""
+SELECT s_name AS stream_key, 'stock' AS metric_name, CAST(n AS INT) AS query_index, s_name AS query_id,
+       s_name AS organization_id,
+       'avg:stock{supplier:' || s_name || CASE n WHEN 0 THEN '' ELSE ',nation:' || s_nationkey END || '}'
+         AS query_text,
+       0 AS chunk_no
+FROM supplier, (VALUES (0), (1)) q(n)
+""")
+def tag_query_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query texts of tag sets: one query per set, found again by its place."""
+    name, nation = F.col("s_name"), F.col("s_nationkey").cast("string")
+
+    def tagged(text) -> F.Column:
+        return F.struct(name.alias("customer_value"), text.alias("tag_string"))
+
+    supplier = F.concat(F.lit("supplier:"), name)
+    specs = t.table(spark, sf_dir, "supplier").select(
+        name.alias("stream_key"), F.lit("stock").alias("metric_name"), F.lit("avg").alias("statistic"),
+        F.array(tagged(supplier), tagged(F.concat(supplier, F.lit(",nation:"), nation))).alias(
+            "metric_tag_data"
+        ),
+    )
+    return op.metric_query_plan(specs)
+
+
 @registered(f"""
 WITH {_EVENTS}
 SELECT 'app_metrics' AS stream_key, CAST(user_id AS VARCHAR) AS organization_id,
@@ -418,6 +468,40 @@ def metric_labels_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.run_stats(rows).select("reject_reason", "n")
 
 
+@registered(f"""
+WITH {_EVENTS}, c AS (SELECT *, CASE WHEN event_type = 'view' AND value < 1 THEN 0.0::DOUBLE ELSE value END AS v FROM e)
+SELECT CAST(event_id AS VARCHAR) AS idempotency_key,
+       CASE WHEN event_type IN ('click', 'error') THEN CAST(user_id AS VARCHAR) ELSE event_type END
+         AS organization_id
+FROM e
+UNION ALL
+SELECT sha256(iso || '|org-' || event_type || '|{{"Value": ' || CAST(v AS VARCHAR) || '}}'),
+       'org-' || event_type
+FROM c
+""")
+def shared_key_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two log inputs and a metric input of one stream key, each with pages of its own: one log
+    input takes the user as organisation, the other the type."""
+    events = t.table(spark, sf_dir, "events")
+    by_user = LogFilter((LogField("organization_id", path="user.id"),))
+    by_type = LogFilter((LogField("organization_id", path="event_type"),))
+    spec = FlowSpec([
+        InputSpec("shop", "cloudwatch", "logs", START, filters=by_user),
+        InputSpec("shop", "cloudwatch", "logs", START, filters=by_type),
+        InputSpec("shop", "cloudwatch", "metrics", START, cloudwatch=CW_METRICS.cloudwatch),
+    ])
+    first = F.col("event_type").isin("click", "error")
+    parts = [
+        t.cloudwatch_log_pages(events.where(first), "shop"),
+        t.cloudwatch_log_pages(events.where(~first), "shop"),
+        t.cloudwatch_metric_pages(events, "shop", "Value"),
+    ]
+    pages = op.merge_streams(
+        *[p.withColumn("input_key", F.lit(f"shop_{n}")) for n, p in enumerate(parts)]
+    )
+    return build_flow(spark, spec, pages).events.select("idempotency_key", "organization_id")
+
+
 # --- event streams --------------------------------------------------------------------
 
 
@@ -600,6 +684,28 @@ def delivered_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SIGNUP_TEXT = """'{"event_type":"signup","value":' || CAST(value AS VARCHAR)
+       || ',"user":{},"props":{"k":' || k || '}}'"""
+
+
+@registered(f"""
+WITH {_EVENTS}
+SELECT 'app_logs' AS stream_key, CAST(event_id AS VARCHAR) AS idempotency_key,
+       'missing_org' AS reject_reason, sha256({_SIGNUP_TEXT}) AS content_sha256
+FROM e WHERE event_type = 'signup'
+UNION ALL
+SELECT 'documents', CAST(doc_id AS VARCHAR), 'parse_error', sha256(text) FROM documents
+""")
+def quarantined_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records as the quarantine table keeps them, with reason and whole content."""
+    path = shared_dir(spark, "quarantine")
+    rows = _rows_with_rejects(spark, sf_dir)
+    op.write_rejects(op.split_rejects(rows)[1], path, "run-1")
+    return op.read_rejects(spark, path).select(
+        "stream_key", "idempotency_key", "reject_reason", F.sha2("content", 256).alias("content_sha256")
+    )
+
+
 # --- offsets and ranges ---------------------------------------------------------------
 
 
@@ -665,6 +771,27 @@ def latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resumed.join(logged, "stream_key", "left").select("stream_key", "offset_ms", "logged")
 
 
+@registered("""
+WITH last AS (SELECT o_custkey, max(epoch_us(o_orderdate) // 1000) AS moment FROM orders GROUP BY o_custkey),
+     whole AS (SELECT max(epoch_us(o_orderdate) // 1000) AS moment FROM orders)
+SELECT CAST(c_custkey AS VARCHAR) AS stream_key,
+       CAST(CASE WHEN c_acctbal < 0 THEN 852076800000
+            WHEN c_mktsegment = 'BUILDING' THEN greatest(whole.moment, 852076800000)
+            ELSE greatest(coalesce(last.moment, 852076800000), 852076800000) END AS BIGINT) AS offset_ms
+FROM customer LEFT JOIN last ON c_custkey = o_custkey, whole
+""")
+def offsets_by_org(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs of one stream that resume after the last delivered event of their own
+    organisation; those of one segment name none and resume after the stream's last."""
+    customers = t.table(spark, sf_dir, "customer").withColumn("stream_key", F.col("c_custkey").cast("string"))
+    own = F.when(F.col("c_mktsegment") != "BUILDING", F.col("stream_key"))
+    inputs = _customer_inputs(spark, sf_dir).join(
+        customers.select("stream_key", own.alias("organization_id")), "stream_key"
+    )
+    inputs = inputs.withColumnRenamed("stream_key", "offset_key").withColumn("stream_key", F.lit("orders"))
+    return op.offsets_from_delivered(inputs, t.order_metrics(t.table(spark, sf_dir, "orders")))
+
+
 @registered("""
 SELECT 'orders' AS stream_key, organization_id, max(epoch_us(o_orderdate) // 1000) AS latest_ms
 FROM (SELECT sha256(CAST(o_custkey AS VARCHAR)) AS organization_id, o_orderdate FROM orders)
@@ -724,6 +851,32 @@ def committed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.commit_offsets(_user_ranges(spark, sf_dir)).select("stream_key", "offset_ms")
 
 
+@registered(f"""
+WITH {_RANGES}
+SELECT stream_key, stream_key || '@' || CAST(start_ms AS BIGINT) AS idempotency_key,
+       CAST(start_ms AS BIGINT) AS event_ms, CAST(end_ms - start_ms AS BIGINT) AS width
+FROM r
+""")
+def pulled_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned ranges of every user fetched by tasks, one record each, and decoded."""
+    ranges = _user_ranges(spark, sf_dir).withColumns(
+        {"input_key": F.col("stream_key"), "provider": F.lit("cloudwatch"), "kind": F.lit("logs")}
+    )
+    logs = sources.normalize_cloudwatch_logs(sources.pull_ranges(ranges, _range_record))
+    found = op.extract_json_fields(logs, (LogField("width", path="width", field_type="integer"),))
+    return found.select(
+        "stream_key", F.col("log_id").alias("idempotency_key"),
+        to_millis(F.col("event_ts")).alias("event_ms"), "fields.width",
+    )
+
+
+def _range_record(input_key: str, start_ms: int, end_ms: int):
+    """A fetcher that answers a range with a page of one record at its start."""
+    message = json.dumps({"width": end_ms - start_ms})
+    event = {"eventId": f"{input_key}@{start_ms}", "timestamp": start_ms, "message": message}
+    yield None, json.dumps({"events": [event]})
+
+
 # --- series ---------------------------------------------------------------------------
 
 
@@ -890,6 +1043,23 @@ def rate_grid_extrapolated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered(f"""
+WITH {_DELTA}, {_GRID}
+SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.moment) // 1000 AS event_ms,
+       round((sum(delta) - arg_min(delta, d.ts)) / 144000.0, 9) AS value
+FROM g JOIN d ON g.user_id = d.user_id AND d.ts <= g.moment AND d.ts > g.moment - INTERVAL 40 HOUR
+GROUP BY g.user_id, g.moment HAVING count(*) > 1
+""")
+def rate_grid_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate over forty hours on a six hour grid, a window that is no multiple of the step."""
+    series = t.user_series(t.table(spark, sf_dir, "events"))
+    rates = op.rate_grid(series, _GRID_START, _GRID_END, 21_600_000, 40 * 3_600_000)
+    return rates.select(
+        "organization_id", to_millis(F.col("event_ts")).alias("event_ms"),
+        F.round("value", 9).alias("value"),
+    )
+
+
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples at the start of their day, with the type as a label of one metric."""
     events = t.table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("day", "ts"))

@@ -40,6 +40,18 @@ STEP_MS = {"logs": 24_000, "metrics": 60_000}
 CATCH_UP_MS = 3_600_000
 
 
+def input_keys(stream_keys: Sequence[str]) -> list[str]:
+    """A key per input: its stream key, with ``_0``, ``_1``, ... in their order where several
+    inputs share one."""
+    seen: dict[str, int] = {}
+    keys = []
+    for key in stream_keys:
+        shared = stream_keys.count(key) > 1
+        keys.append(f"{key}_{seen.get(key, 0)}" if shared else key)
+        seen[key] = seen.get(key, 0) + 1
+    return keys
+
+
 def _require(ok: bool, message: str) -> None:
     if not ok:
         raise ValueError(message)
@@ -222,9 +234,12 @@ class OffsetSpec:
 
 @dataclass(frozen=True)
 class OutputSpec:
+    """Where events go; ``quarantine`` is a folder for rejected rows, which are dropped without."""
+
     type: str = "table"
     path: str | None = None
     post: Callable[[str], None] | None = None
+    quarantine: str | None = None
 
     def __post_init__(self) -> None:
         _one_of(self.type, OUTPUTS, "output type")

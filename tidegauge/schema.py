@@ -18,6 +18,10 @@ RAW_PAGES = {
     "body": "string",
 }
 
+#: A page that also names the input it was fetched for, which inputs of one stream key,
+#: provider and kind need.
+INPUT_PAGES = RAW_PAGES | {"input_key": "string"}
+
 #: A time range to fetch, ``[start_ms, end_ms)``.
 FETCH_RANGE = {"stream_key": "string", "start_ms": "bigint", "end_ms": "bigint"}
 
@@ -67,3 +71,6 @@ QUERY_PLAN = {
 }
 
 REJECT = "reject_reason"
+
+#: The record a rejected row was made from; null for accepted rows.
+CONTENT = "content"

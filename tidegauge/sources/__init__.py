@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.schema import RAW_PAGES, ddl
+from tidegauge.schema import INPUT_PAGES, ddl
 from tidegauge.sources.cloudwatch import normalize_cloudwatch_logs, normalize_cloudwatch_metrics
 from tidegauge.sources.datadog import normalize_datadog_logs, normalize_datadog_metrics
 from tidegauge.sources.prometheus import normalize_prometheus_metrics, resolve_org
-from tidegauge.sources.pull import paged_pull_source, register_paged_pull
+from tidegauge.sources.pull import paged_pull_source, pull_ranges, register_paged_pull
 
 #: (provider, kind) -> function of (pages, input spec, query plan or None)
 _NORMALIZERS: dict[tuple[str, str], Callable] = {
@@ -44,14 +44,17 @@ def read_pages(
     spark: SparkSession, path: str, streaming: bool = False, fmt: str = "parquet", **options: str
 ) -> DataFrame:
     """The landed page table, as a batch or as a stream of newly landed files."""
-    reader = (spark.readStream if streaming else spark.read).schema(ddl(RAW_PAGES)).format(fmt)
+    reader = (spark.readStream if streaming else spark.read).schema(ddl(INPUT_PAGES)).format(fmt)
     return reader.options(**options).load(path)
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
     """Append pages to the landed table, partitioned so that one input reads only its own.
     The rebalance hint evens out file sizes and splits a hot input over several tasks."""
-    columns = [F.col(c).cast(t).alias(c) for c, t in RAW_PAGES.items()]
+    columns = [
+        (F.col(c) if c in pages.columns else F.lit(None)).cast(t).alias(c)
+        for c, t in INPUT_PAGES.items()
+    ]
     pages.select(*columns).hint("rebalance", "stream_key").write.mode("append").partitionBy(
         "stream_key"
     ).parquet(path)
@@ -69,5 +72,5 @@ __all__ = [
     "land_pages", "normalize_cloudwatch_logs", "normalize_cloudwatch_metrics",
     "normalize_datadog_logs", "normalize_datadog_metrics", "normalize_prometheus_metrics",
     "normalizer_for", "paged_pull_source", "read_pages", "read_ranges", "register_normalizer",
-    "register_paged_pull", "resolve_org",
+    "pull_ranges", "register_paged_pull", "resolve_org",
 ]

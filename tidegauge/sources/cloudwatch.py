@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import from_millis
@@ -52,6 +52,14 @@ def normalize_cloudwatch_logs(pages: DataFrame, strict: bool = False) -> DataFra
     return fail_on(out) if strict else out
 
 
+def _instant(text: Column) -> Column:
+    """A point's time: ISO text, or an epoch number in seconds or, from 1e11 on, milliseconds."""
+    number = F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE]\+?[0-9]+)?$"), text.try_cast("double"))
+    micros = F.when(F.abs(number) < 1e11, number * 1e6).otherwise(number * 1e3)
+    epoch = F.timestamp_micros(F.round(micros).try_cast("bigint"))
+    return F.when(number.isNotNull(), epoch).otherwise(text.try_cast("timestamp"))
+
+
 def normalize_cloudwatch_metrics(
     pages: DataFrame, plan: DataFrame, strict: bool = False
 ) -> DataFrame:
@@ -93,7 +101,7 @@ def normalize_cloudwatch_metrics(
         F.arrays_zip("times", "samples"),
         "struct<times:string,samples:double>",
     )
-    when = F.col("point.times").try_cast("timestamp")
+    when = _instant(F.col("point.times"))
     out = points.select(
         "stream_key",
         "metric_name",

@@ -1,6 +1,7 @@
 """A data source that pulls pages per time range, in batch and as a stream.
 
-The transport is a callable the user supplies: ``fetch(stream_key, start_ms, end_ms)``
+The transport is a callable the user supplies: ``fetch(input_key, start_ms, end_ms)``, where
+the input key is the stream key, numbered if several inputs share one (``input_keys``). It
 yields ``(query_index, body)`` for every page of that range, both ends as in
 ``[start, end)``. One range is one Spark partition, so a long catch-up runs on all
 executors, and a lost executor re-reads only its own ranges. The stream's offset is the
@@ -13,7 +14,8 @@ import json
 import time
 from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -21,16 +23,18 @@ from pyspark.sql.datasource import (
     InputPartition,
 )
 
-from tidegauge.plans.spec import CATCH_UP_MS, STEP_MS
-from tidegauge.schema import RAW_PAGES, ddl
+from tidegauge.plans.spec import CATCH_UP_MS, STEP_MS, input_keys
+from tidegauge.schema import INPUT_PAGES, ddl
 
 PageFetcher = Callable[[str, int, int], Iterable[tuple[int | None, str]]]
 
 
 class TimeRange(InputPartition):
-    def __init__(self, stream_key: str, provider: str, kind: str, start_ms: int, end_ms: int):
+    def __init__(
+        self, stream_key: str, provider: str, kind: str, input_key: str, start_ms: int, end_ms: int
+    ):
         self.stream_key, self.provider, self.kind = stream_key, provider, kind
-        self.start_ms, self.end_ms = start_ms, end_ms
+        self.input_key, self.start_ms, self.end_ms = input_key, start_ms, end_ms
 
 
 def next_head(at: int, now: int, step_ms: int) -> int:
@@ -44,6 +48,8 @@ class _Inputs:
 
     def __init__(self, options: dict[str, str]):
         self.rows = json.loads(options["inputs"])
+        for row, key in zip(self.rows, input_keys([r["stream_key"] for r in self.rows]), strict=True):
+            row.setdefault("input_key", key)
         self.fixed_now = options.get("now_ms") or options.get("nowMs") or options.get("nowms")
         self.limit = int(
             options.get("max_ranges_per_trigger") or options.get("maxRangesPerTrigger") or 0
@@ -62,19 +68,47 @@ class _Inputs:
         step, at = STEP_MS[row["kind"]], start
         while at < end:
             head = min(next_head(at, now, step), end)
-            yield TimeRange(row["stream_key"], row["provider"], row["kind"], at, head)
+            yield TimeRange(
+                row["stream_key"], row["provider"], row["kind"], row["input_key"], at, head
+            )
             at = head
 
 
 def _read(fetch: PageFetcher, part: TimeRange) -> Iterator[tuple]:
-    pages = fetch(part.stream_key, part.start_ms, part.end_ms)
+    pages = fetch(part.input_key, part.start_ms, part.end_ms)
     for page_no, (query_index, body) in enumerate(pages):
         yield (
             part.stream_key, part.provider, part.kind, query_index,
-            part.start_ms, part.end_ms, page_no, body,
+            part.start_ms, part.end_ms, page_no, body, part.input_key,
         )
 
 
+def pull_ranges(ranges: DataFrame, fetch: PageFetcher, tasks: int | None = None) -> DataFrame:
+    """The pages of planned ranges ``(stream_key, provider, kind, input_key, start_ms, end_ms)``.
+
+    The ranges are dealt to ``tasks`` tasks, as many as there are shuffle partitions by
+    default, which fetch one range after another; a task holds one page at a time. The ranges
+    themselves never pass through the driver, however long the lag is.
+    """
+    columns = ["stream_key", "provider", "kind", "input_key", "start_ms", "end_ms"]
+    schema = pa.schema(
+        [(c, {"bigint": pa.int64(), "int": pa.int32()}.get(t, pa.string())) for c, t in INPUT_PAGES.items()]
+    )
+
+    def pull(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                for page in _read(fetch, TimeRange(**row)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v], f.type) for v, f in zip(page, schema, strict=True)],
+                        schema=schema,
+                    )
+
+    tasks = tasks or int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ranges.select(*columns).repartition(tasks, "input_key", "start_ms")
+    return dealt.mapInArrow(pull, ddl(INPUT_PAGES))
+
+
 class _BatchReader(DataSourceReader):
     def __init__(self, fetch: PageFetcher, options: dict[str, str]):
         self.fetch, self.inputs = fetch, _Inputs(options)
@@ -144,7 +178,7 @@ def paged_pull_source(fetch: PageFetcher, source: str = "paged_pull") -> type[Da
             return source
 
         def schema(self):
-            return ddl(RAW_PAGES)
+            return ddl(INPUT_PAGES)
 
         def reader(self, schema) -> DataSourceReader:
             return _BatchReader(fetch, self.options)
