@@ -272,6 +272,28 @@ def text_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.extract_text_fields(logs, fields).select("log_id", "fields.*")
 
 
+@registered(r"""
+SELECT CAST(page_id AS VARCHAR) AS log_id,
+       nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
+       nullif(regexp_extract(html, '<h1[^>]*>([^<]*)<', 1), '') AS heading,
+       nullif(regexp_extract(html, 'href="([^"]*)"', 1), '') AS first_link
+FROM pages
+""")
+def markup_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of whole raw pages by pattern."""
+    logs = t.table(spark, sf_dir, "pages").select(
+        F.lit("web").alias("stream_key"),
+        F.col("page_id").cast("string").alias("log_id"),
+        F.col("html").alias("content"),
+    )
+    fields = (
+        LogField("title", value=r"<title>([^<]*)</title>"),
+        LogField("heading", value=r"<h1[^>]*>([^<]*)<"),
+        LogField("first_link", value=r'href="([^"]*)"'),
+    )
+    return op.extract_text_fields(logs, fields).select("log_id", "fields.*")
+
+
 @registered(r"""
 SELECT 'url' AS kind, page_id AS id, regexp_replace(url, '[^\p{L}\p{N}_/]', '_', 'g') AS name
 FROM pages
