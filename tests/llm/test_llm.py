@@ -283,6 +283,28 @@ def test_paraphrases_and_odd_items(spark, odd):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_every_item_is_found_at_all_alignments(spark):
+    rng = random.Random(10)
+    items = [(i, " ".join(f"w{rng.randrange(8000)}" for _ in range(rng.randint(20, 60)))) for i in range(1000)]
+    docs = [
+        (16 * i + k, " ".join(f"z{rng.randrange(500)}" for _ in range(16 + k)) + f" {text} " + "z1 z2 z3 " * 9)
+        for i, text in items for k in range(i % 4, 16, 4)
+    ]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(8)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    # passages keep their whole length in their latent space
+    for block in decontaminate._blocks(frame, bench, decontaminate.Retrieval()):
+        for number, space in enumerate(block.spaces):
+            members = [m for m in block.members(number) if block.weighty[block.run(*m)].any()]
+            for member, unit_vector in zip(members, space.passages.T, strict=True):
+                run = block.run(*member)
+                run = run[block.weighty[run]]
+                length = np.linalg.norm(np.bincount(run, minlength=len(block.idf)) * block.idf)
+                assert unit_vector @ space.rows[space.place[run]].sum(0) == pytest.approx(length, rel=1e-3)
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect())
+    assert got == [(d, d // 16) for d, _ in docs]
+
+
 # --- classifiers ---------------------------------------------------------------------------
 
 

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.arrow import map_texts
-from tidegauge.llm.words import WordHashes
+from tidegauge.llm.words import KEPT_TOKENS, WordHashes
 
 #: Items, and characters of items, about, that are sent to the tasks at once; more are taken in turn.
 BLOCK_ITEMS = 1000
 BLOCK_CHARS = 4_000_000
+#: Latent spaces of a block, about.
+BLOCK_SPACES = 8
 
 
 @dataclass(frozen=True)
@@ -37,38 +39,80 @@ class Retrieval:
     seed: int = 5
 
 
+class Places(dict):
+    """Raw token to its place in a vocabulary of word hashes.
+
+    The vocabulary's length stands for any other word, -1 for a token without letters or digits.
+    """
+
+    def __init__(self, vocabulary: np.ndarray):
+        self.known = {h: i for i, h in enumerate(vocabulary.tolist())}
+        self.hashes = WordHashes()
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= KEPT_TOKENS:
+            self.clear()
+        word = self.hashes.__missing__(token)
+        self.hashes.clear()
+        value = self.known.get(word, len(self.known)) if word else -1
+        self[token] = value
+        return value
+
+    def of(self, text: str) -> np.ndarray:
+        """Places of the words of a whole text, in order."""
+        tokens = text.split()
+        places = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        return places[places >= 0]
+
+
 class Passages:
-    """Runs of two strides of words over several texts, as sums of rows of a matrix.
+    """Runs of two strides of words over several texts, of which weighty words count.
 
-    Words without weight are skipped. ``text`` and ``number`` name each passage's text and its
-    first stride; ``rows`` holds the sums. Passages of too few weighty words are left out.
+    ``text`` and ``number`` name each passage's text and its first stride.
     """
 
-    def __init__(
-        self, texts: list[np.ndarray], stride: int, matrix: np.ndarray, weighty: np.ndarray, least: int
-    ):
+    def __init__(self, texts: list[np.ndarray], stride: int, weighty: np.ndarray):
         sizes = np.array([len(t) for t in texts], np.int64)
         counts = -(-sizes // stride)
-        owner = np.repeat(np.arange(len(texts)), counts)
+        self.text = np.repeat(np.arange(len(texts)), counts)
         first = np.cumsum(counts) - counts
+        self.number = np.arange(len(self.text)) - first[self.text]
         words = np.concatenate(texts) if texts else np.empty(0, np.int64)
-        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.repeat(first, sizes) + place // stride
-        used = weighty[words]
-        words, at = words[used], at[used]
-        held = np.bincount(at, minlength=len(owner) + 1)  # weighty words of each stride
-        follows = np.append(owner[1:] == owner[:-1], False) if len(owner) else np.empty(0, bool)
-        both = held[:-1] + np.where(follows, held[1:], 0)
-        chosen = np.flatnonzero(both >= least)
+        used = np.flatnonzero(weighty[words])
+        owner = np.searchsorted(np.cumsum(sizes), used, "right")
+        place = used - (np.cumsum(sizes) - sizes)[owner]
+        self.words, self.at = words[used], first[owner] + place // stride
+        self.follows = np.append(self.text[1:] == self.text[:-1], False)[: len(self.text)]
+
+    def total(self, values: np.ndarray | None = None, of: np.ndarray | None = None) -> np.ndarray:
+        """For each passage the sum of a value of its weighty words, or their number."""
+        at = self.at if of is None else self.at[of]
+        sums = np.bincount(at, values, minlength=len(self.text) + 1)
+        return sums[:-1] + np.where(self.follows, sums[1:], 0)
+
+    def rows(self, words: np.ndarray, at: np.ndarray, matrix: np.ndarray, chosen: np.ndarray):
+        """Sums of the rows of a matrix over some of the words, for the chosen passages."""
         begins = np.flatnonzero(np.diff(at, prepend=-1))
-        # a row of zeros behind the sums stands for a stride without weighty words
+        # a row of zeros behind the sums stands for a stride without such words
         sums = np.zeros((len(begins) + 1, matrix.shape[1]), matrix.dtype)
         if len(begins):
             np.add.reduceat(matrix[words], begins, 0, out=sums[:-1])
-        row = np.full(len(owner) + 1, len(begins))
+        row = np.full(len(self.text) + 1, len(begins))
         row[at[begins]] = np.arange(len(begins))
-        self.rows = sums[row[chosen]] + sums[np.where(follows[chosen], row[chosen + 1], len(begins))]
-        self.text, self.number = owner[chosen], chosen - first[owner[chosen]]
+        return sums[row[chosen]] + sums[
+            np.where(self.follows[chosen], row[chosen + 1], len(begins))
+        ]
+
+
+@dataclass
+class Space:
+    """A latent space of some passages of items, no more than its dimensions: nothing is cut."""
+
+    place: np.ndarray  # row of each word of the vocabulary, -1 for words of no passage
+    rows: np.ndarray  # words by dimensions
+    passages: np.ndarray  # dimensions by passages, of length 1
+    passage_item: np.ndarray
+    least: int  # weighty words of a passage without which none of the items is there
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -93,7 +137,10 @@ def bit_masks(words: list[int]) -> dict[int, int]:
 
 
 class Benchmark:
-    """A block of items as word numbers of their own vocabulary, with its latent space."""
+    """A block of items as word numbers of their own vocabulary, with its latent spaces.
+
+    Passages are dealt to spaces by their order, ``dims`` to each, those of equal items once.
+    """
 
     def __init__(self, ids: list, texts: list[str], answers: list[str | None], how: Retrieval):
         hashes, self.how = WordHashes(), how
@@ -113,6 +160,13 @@ class Benchmark:
                 self.answers.append(known[known < len(self.vocabulary)].tolist())
         self.masks = [bit_masks(i.tolist()) for i in self.items]
         self.answer_masks = [bit_masks(a) for a in self.answers]
+        self.first: dict[bytes, int] = {}  # first passage of each sequence of words
+        number = 0
+        for item in self.items:
+            if item.tobytes() not in self.first:
+                self.first[item.tobytes()] = number
+                number += -(-len(item) // how.stride)
+        self.count = -(-number // how.dims)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Places in the vocabulary; its length stands for any other word."""
@@ -133,46 +187,87 @@ class Benchmark:
                 idf[rarest] = np.maximum(idf[rarest], 1.0)
         return idf
 
-    def place(self, idf: np.ndarray, basis: np.ndarray) -> None:
-        """Fix the latent space: words by rows, passages of the items by unit vectors.
-
-        The last column of a word's row is its squared weight, for the norms of passages.
-        """
-        self.weighty = np.append(idf > 0, False)
-        rows = np.hstack([idf[:, None] * basis, (idf**2)[:, None]])
-        self.rows = np.vstack([rows, np.zeros((1, rows.shape[1]))]).astype(np.float32)
-        held = [int(self.weighty[np.unique(i)].sum()) for i in self.items]
-        self.least = min([self.how.together, *held])
-        passages = Passages(self.items, self.how.stride, self.rows, self.weighty, 1)
-        self.passages = np.ascontiguousarray(unit(passages.rows[:, :-1]).T)
-        self.passage_item = passages.text
+    def members(self, space: int) -> list[tuple[int, int]]:
+        """The passages of a space as items and numbers."""
+        dims, stride = self.how.dims, self.how.stride
+        return [
+            (i, k)
+            for i, item in enumerate(self.items)
+            for k in range(-(-len(item) // stride))
+            if (self.first[item.tobytes()] + k) // dims == space
+        ]
+
+    def run(self, item: int, number: int) -> np.ndarray:
+        stride = self.how.stride
+        return self.items[item][number * stride : (number + 2) * stride]
+
+    def own_words(self, space: int, idf: np.ndarray) -> np.ndarray:
+        """The weighty words of the passages of a space."""
+        runs = [self.run(*m) for m in self.members(space)]
+        words = np.unique(np.concatenate(runs))
+        return words[idf[words] > 0]
+
+    def place(self, idf: np.ndarray, spaces: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Fix the latent spaces, each given by its words and their rows of its basis."""
+        self.idf = np.append(idf, 0.0)
+        self.weighty = self.idf > 0
+        self.spaces = []
+        for number, (words, basis) in enumerate(spaces):
+            place = np.full(len(self.idf), -1)
+            place[words] = np.arange(len(words))
+            rows = (idf[words, None] * basis).astype(np.float32)
+            members = [m for m in self.members(number) if self.weighty[self.run(*m)].any()]
+            if not members:
+                continue
+            sums = []
+            for member in members:
+                run = place[self.run(*member)]
+                sums.append(rows[run[run >= 0]].sum(0))
+            owner = np.array([i for i, _ in members])
+            held = [int(self.weighty[np.unique(self.items[i])].sum()) for i in np.unique(owner)]
+            least = min([self.how.together, *held])
+            passages = np.ascontiguousarray(unit(np.array(sums)).T)
+            self.spaces.append(Space(place, rows, passages, owner, max(1, least)))
 
     def find(self, texts: list[np.ndarray]) -> list[list[tuple[int, float, float, str]]]:
         """For each text the items it holds: ``(item, cosine, overlap, kind)``."""
         found: list[dict[int, tuple]] = [{} for _ in texts]
-        stride = self.how.stride
-        passages = Passages(texts, stride, self.rows, self.weighty, self.least)
-        tried: dict[tuple[int, int], int] = {}
-        for begin in range(0, len(passages.text), 4096):
-            rows = passages.rows[begin : begin + 4096]
-            norms = np.sqrt(np.maximum(rows[:, -1:], 1e-9))
-            cosines = (rows[:, :-1] / norms) @ self.passages
-            for row, column in zip(*np.nonzero(cosines >= self.how.cosine), strict=True):
-                text, number = int(passages.text[begin + row]), int(passages.number[begin + row])
-                item = int(self.passage_item[column])
-                # the region of a passage holds that of the next one but for a stride
-                if tried.get((text, item), -2) >= number or item in found[text]:
-                    continue
-                tried[text, item] = number
-                size = len(self.items[item])
-                middle = number * stride
-                region = texts[text][max(0, middle - size) : middle + 2 * stride + size]
-                hit = self.compare(item, region.tolist())
-                if hit:
-                    cosine = float(min(1.0, cosines[row, column]))
-                    found[text][item] = (self.ids[item], cosine, *hit)
+        self.find_near(texts, found)
         return [list(f.values()) for f in found]
 
+    def region(self, text: np.ndarray, begin: int, item: int) -> list[int]:
+        size = len(self.items[item])
+        return text[max(0, begin - size) : begin + 2 * self.how.stride + size].tolist()
+
+    def find_near(self, texts: list[np.ndarray], found: list[dict[int, tuple]]) -> None:
+        """Add the items of which a passage comes close to one of a text in a latent space."""
+        passages = Passages(texts, self.how.stride, self.weighty)
+        norms = np.sqrt(np.maximum(passages.total(self.idf[passages.words] ** 2), 1e-9))
+        held = passages.total()
+        tried: set[tuple[int, int, int]] = set()
+        for space in self.spaces:
+            row = space.place[passages.words]
+            own = np.flatnonzero(row >= 0)
+            # what lies in the words of a space bounds the cosine with any of its passages
+            inside = passages.total(self.idf[passages.words[own]] ** 2, own)
+            reach = np.sqrt(inside) >= (self.how.cosine - 1e-3) * norms
+            chosen = np.flatnonzero((held >= space.least) & reach)
+            for begin in range(0, len(chosen), 4096):
+                part = chosen[begin : begin + 4096]
+                lo, hi = np.searchsorted(passages.at[own], [part[0], part[-1] + 2])
+                rows = passages.rows(row[own[lo:hi]], passages.at[own[lo:hi]], space.rows, part)
+                cosines = (rows / norms[part, None].astype(np.float32)) @ space.passages
+                for at, column in zip(*np.nonzero(cosines >= self.how.cosine), strict=True):
+                    text, number = int(passages.text[part[at]]), int(passages.number[part[at]])
+                    item = int(space.passage_item[column])
+                    if item in found[text] or (text, item, number) in tried:
+                        continue
+                    tried.add((text, item, number))
+                    hit = self.compare(item, self.region(texts[text], number * self.how.stride, item))
+                    if hit:
+                        cosine = float(min(1.0, cosines[at, column]))
+                        found[text][item] = (self.ids[item], cosine, *hit)
+
     def compare(self, item: int, region: list[int]) -> tuple[float, str] | None:
         """Overlap and kind if the region holds the item word for word, nearly, or in other words."""
         words = self.items[item]
@@ -233,78 +328,105 @@ def _document_frequencies(frame: DataFrame, block: Benchmark) -> tuple[np.ndarra
     return counts[:-1], int(counts[-1])
 
 
-def latent_basis(items: DataFrame, block: Benchmark, idf: np.ndarray) -> np.ndarray:
-    """Right singular vectors of the items' TF-IDF passages, by a distributed randomised SVD.
+def latent_bases(
+    items: DataFrame, block: Benchmark, idf: np.ndarray
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The words of each space of a block and right singular vectors of its TF-IDF passages.
 
-    The tasks multiply their passages with a test matrix and with the transpose; what comes back
-    has a row for each word of the block's vocabulary, whatever the number of passages. Two such
-    rounds (one power iteration) are followed by a small eigenproblem.
+    A distributed randomised SVD: the tasks multiply their passages with a test matrix and with
+    the transpose; what comes back has a row for each word of a space, whatever the number of
+    passages. Two such rounds (one power iteration) are followed by a small eigenproblem. A space
+    has no more passages than dimensions, so the vectors span every passage.
     """
-    size = len(idf)
-    rank = min(block.how.dims + block.how.oversample, size)
+    own = [block.own_words(s, idf) for s in range(block.count)]
     context = items.sparkSession.sparkContext
-    weighty = np.append(idf > 0, False)
 
-    def gram(test: np.ndarray) -> np.ndarray:
-        shared = context.broadcast((block.vocabulary, idf, test, block.how))
+    def gram(tests: list[np.ndarray]) -> list[np.ndarray]:
+        shared = context.broadcast((block.vocabulary, idf, own, tests, block.first, block.how))
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary, weights, matrix, how = shared.value
-            hashes, total = WordHashes(), np.zeros(matrix.shape)
-            weighted = np.vstack([weights[:, None] * matrix, np.zeros((1, matrix.shape[1]))])
+            vocabulary, weights, own, tests, first, how = shared.value
+            hashes, totals = WordHashes(), [np.zeros(t.shape) for t in tests]
             for batch in batches:
-                texts = [hashes.of(t or "") for t in batch.column(0).to_pylist()]
-                words = [np.searchsorted(vocabulary, t) for t in texts]
-                passages = Passages(words, how.stride, weighted, weighty, 1)
-                for text, number, row in zip(
-                    passages.text, passages.number, passages.rows, strict=True
-                ):
-                    run = words[text][number * how.stride : (number + 2) * how.stride]
-                    np.add.at(total, run, weights[run, None] * row)
-            used = np.flatnonzero(weights)
-            yield pa.RecordBatch.from_pydict(
-                {"word": used, "row": [r.tobytes() for r in total[used]]}
+                for text in batch.column(0).to_pylist():
+                    words = np.searchsorted(vocabulary, hashes.of(text or ""))
+                    begin = first.get(words.tobytes(), 0)
+                    for number in range(-(-len(words) // how.stride)):
+                        run = words[number * how.stride : (number + 2) * how.stride]
+                        run = run[weights[run] > 0]
+                        space = (begin + number) // how.dims
+                        at = np.searchsorted(own[space], run)
+                        weight = weights[run, None]
+                        row = (weight * tests[space][at]).sum(0)
+                        np.add.at(totals[space], at, weight * row)
+            found = [
+                (space, word, row.tobytes())
+                for space, total in enumerate(totals)
+                for word, row in enumerate(total)
+                if row.any()
+            ]
+            names = ("space", "word", "row")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([f[k] for f in found], kind)
+                    for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))
+                ],
+                names,
             )
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
+            sums: dict[tuple[int, int], np.ndarray] = {}
             for batch in batches:
                 rows = batch.to_pydict()
-                for word, row in zip(rows["word"], rows["row"], strict=True):
-                    sums[word] = sums.get(word, 0.0) + np.frombuffer(row)
+                for *key, row in zip(rows["space"], rows["word"], rows["row"], strict=True):
+                    sums[tuple(key)] = sums.get(tuple(key), 0.0) + np.frombuffer(row)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "word": pa.array(list(sums), pa.int64()),
+                    "space": pa.array([s for s, _ in sums], pa.int64()),
+                    "word": pa.array([w for _, w in sums], pa.int64()),
                     "row": pa.array([r.tobytes() for r in sums.values()], pa.binary()),
                 }
             )
 
-        schema = "word bigint, row binary"
+        schema = "space bigint, word bigint, row binary"
         parts = items.select("text").mapInArrow(multiply, schema)
-        # a row for each word of the block: bounded by the block's characters
-        sums = parts.repartition("word").mapInArrow(add, schema).toArrow()
-        out = np.zeros((size, rank))
-        for word, row in zip(sums["word"].to_pylist(), sums["row"].to_pylist(), strict=True):
-            out[word] = np.frombuffer(row)
+        # a row for each word of a space: bounded by the block's characters
+        sums = parts.repartition("space", "word").mapInArrow(add, schema).toArrow().to_pydict()
+        out = [np.zeros(t.shape) for t in tests]
+        for space, word, row in zip(sums["space"], sums["word"], sums["row"], strict=True):
+            out[space][word] = np.frombuffer(row)
         return out
 
     rng = np.random.default_rng(block.how.seed)
-    basis, _ = np.linalg.qr(gram(rng.normal(size=(size, rank))))
-    basis, _ = np.linalg.qr(gram(basis))
-    image = gram(basis)
-    values, vectors = np.linalg.eigh(basis.T @ image)
-    best = np.argsort(-values)[: block.how.dims]
-    return basis @ vectors[:, best]
+    width = block.how.dims + block.how.oversample
+    tests = [rng.normal(size=(len(w), min(width, len(w)))) for w in own]
+    bases = [np.linalg.qr(g)[0] for g in gram(tests)]
+    bases = [np.linalg.qr(g)[0] for g in gram(bases)]
+    out = []
+    for words, basis, image in zip(own, bases, gram(bases), strict=True):
+        values, vectors = np.linalg.eigh(basis.T @ image)
+        best = np.argsort(-values)[: block.how.dims]
+        out.append((words, basis @ vectors[:, best]))
+    return out
 
 
 def _blocks(frame: DataFrame, benchmark: DataFrame, how: Retrieval) -> Iterator[Benchmark]:
-    """The benchmark in blocks of a bounded size, each with its latent space."""
+    """The benchmark in blocks of a bounded size, each with its latent spaces."""
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.where("item_id is not null and text is not null").select(
         "item_id", "text", answer.alias("answer")
     )
-    size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    parts = max(-(-size["n"] // BLOCK_ITEMS), -(-(size["chars"] or 0) // BLOCK_CHARS))
+    passages = F.ceil(F.size(F.split("text", r"\s+")) / how.stride)
+    size = items.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("text")).alias("chars"),
+        F.sum(passages).alias("passages"),
+    ).first()
+    parts = max(
+        -(-size["n"] // BLOCK_ITEMS),
+        -(-(size["chars"] or 0) // BLOCK_CHARS),
+        -(-(size["passages"] or 0) // (BLOCK_SPACES * how.dims)),
+    )
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts)))
     for part in range(parts):
         mine = items.where(number == part)
@@ -315,13 +437,13 @@ def _blocks(frame: DataFrame, benchmark: DataFrame, how: Retrieval) -> Iterator[
             continue
         counts, documents = _document_frequencies(frame, block)
         idf = block.weights(counts, documents)
-        block.place(idf, latent_basis(mine, block, idf))
+        block.place(idf, latent_bases(mine, block, idf))
         yield block
 
 
-def _search(batch: pa.RecordBatch, column: int, hashes: WordHashes, block: Benchmark) -> list:
+def _search(batch: pa.RecordBatch, column: int, places: Places, block: Benchmark) -> list:
     texts = batch.column(column).to_pylist()
-    return block.find([block.numbers(hashes.of(t or "")) for t in texts])
+    return block.find([places.of(t or "") for t in texts])
 
 
 def leaks(
@@ -329,7 +451,7 @@ def leaks(
 ) -> DataFrame:
     """Rows of ``(doc_id, item_id, cosine, overlap, kind)``: items that documents hold.
 
-    Passages of every whole text are compared with those of the items in the latent space; a
+    Passages of every whole text are compared with those of the items in latent spaces; a
     candidate is an item whose passage comes close. It counts as ``verbatim`` if enough of its
     words occur in order near the passage, as ``paraphrase`` if fewer do but its answer's as
     well. Without an ``answer`` column the last fourth of an item stands for its answer. Items of
@@ -347,14 +469,14 @@ def leaks(
         shared = frame.sparkSession.sparkContext.broadcast(block)
 
         def make(shared=shared):
-            hashes = WordHashes()
+            places = Places(shared.value.vocabulary)
 
             def work(batch: pa.RecordBatch) -> dict:
                 rows = [
                     (doc, *hit)
                     for doc, hits in zip(
                         batch.column(0).to_pylist(),
-                        _search(batch, 1, hashes, shared.value),
+                        _search(batch, 1, places, shared.value),
                         strict=True,
                     )
                     for hit in hits
@@ -379,10 +501,10 @@ def keep_clean(frame: DataFrame, benchmark: DataFrame, how: Retrieval | None = N
         shared = frame.sparkSession.sparkContext.broadcast(block)
 
         def make(shared=shared):
-            hashes = WordHashes()
+            places = Places(shared.value.vocabulary)
 
             def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-                clean = [not hits for hits in _search(batch, at, hashes, shared.value)]
+                clean = [not hits for hits in _search(batch, at, places, shared.value)]
                 return batch.filter(pa.array(clean, pa.bool_()))
 
             return work
