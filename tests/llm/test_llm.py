@@ -305,6 +305,34 @@ def test_every_item_is_found_at_all_alignments(spark):
     assert got == [(d, d // 16) for d, _ in docs]
 
 
+def test_items_of_frequent_words_and_weighty_neighbours(spark):
+    rng = random.Random(11)
+    common = [f"c{k}" for k in range(60)]
+    rare = [" ".join(f"r{i}x{k}" for k in range(40)) for i in range(20)]
+    long = " ".join(rng.choice(common) for _ in range(400))
+    hot = " ".join(f"h{k}" for k in range(59))
+    changed = " ".join("other" if k % 7 == 3 else w for k, w in enumerate(hot.split()))
+    words = long.split()
+    dropped = " ".join(w for k, w in enumerate(words) if k % 9)
+    bench = [(0, long), (1, hot), *((i + 2, t) for i, t in enumerate(rare))]
+    docs, expected = [], []
+    for d in range(480):
+        filler = " ".join(rng.choice(common) for _ in range(60 + d % 16))
+        text = filler
+        if d % 3 == 0:  # beside words that weigh much
+            a, b = rng.sample(range(20), 2)
+            text += f" {' '.join(rare[a].split()[:20])} {changed if d % 2 else hot} {' '.join(rare[b].split()[:20])}"
+            expected.append((d, 1))
+        if d % 40 == 1:
+            text += f" {rare[3][:30]} {dropped if d % 80 == 1 else long} {filler}"
+            expected.append((d, 0))
+        docs.append((d, text))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    found = decontaminate.leaks(frame, spark.createDataFrame(bench, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted(expected)
+    assert all(0 <= r.cosine <= 1 for r in found)
+
+
 # --- classifiers ---------------------------------------------------------------------------
 
 

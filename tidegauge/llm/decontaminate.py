@@ -16,8 +16,9 @@ from tidegauge.llm.words import KEPT_TOKENS, WordHashes
 #: Items, and characters of items, about, that are sent to the tasks at once; more are taken in turn.
 BLOCK_ITEMS = 1000
 BLOCK_CHARS = 4_000_000
-#: Latent spaces of a block, about.
+#: Latent spaces of a block, about, and pairs of places and items that a task holds at a time.
 BLOCK_SPACES = 8
+SLICE_PAIRS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -167,6 +168,7 @@ class Benchmark:
                 self.first[item.tobytes()] = number
                 number += -(-len(item) // how.stride)
         self.count = -(-number // how.dims)
+        self.pairs()
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Places in the vocabulary; its length stands for any other word."""
@@ -187,6 +189,34 @@ class Benchmark:
                 idf[rarest] = np.maximum(idf[rarest], 1.0)
         return idf
 
+    def pairs(self) -> None:
+        """Pairs of neighbouring words of each item (of one word: that), and how many stay.
+
+        A copy with ``edits`` words changed or left out, as many as ``compare`` lets pass, keeps
+        all pairs but two for each of them.
+        """
+        size, how = len(self.vocabulary) + 1, self.how
+        held: dict[int, list[int]] = {}
+        self.need, self.distinct = [], []
+        for i, item in enumerate(self.items):
+            n, share = len(item), min(how.verbatim, how.paraphrase)
+            short = n < how.contiguous
+            edits = 0 if short else n - min(c for c in range(n + 1) if c / n >= share)
+            pairs = item[:-1] * size + item[1:] if n > 1 else item + size * size
+            pairs = set(pairs.tolist())
+            for pair in pairs:
+                held.setdefault(pair, []).append(i)
+            self.need.append(max(1, n - 1 - 2 * edits))
+            self.distinct.append(max(1, len(pairs) - 2 * edits))
+        self.need = np.array(self.need, np.int64)
+        self.sizes = np.array([len(i) for i in self.items], np.int64)
+        self.pair = np.array(sorted(held), np.int64)
+        owners = [held[p] for p in self.pair.tolist()]
+        self.owners = np.array([len(o) for o in owners], np.int64)
+        self.owner_begin = np.cumsum(self.owners) - self.owners
+        self.owner = np.array([i for o in owners for i in o], np.int64)
+        self.single = bool(len(self.pair)) and int(self.pair[-1]) >= size * size
+
     def members(self, space: int) -> list[tuple[int, int]]:
         """The passages of a space as items and numbers."""
         dims, stride = self.how.dims, self.how.stride
@@ -207,6 +237,17 @@ class Benchmark:
         words = np.unique(np.concatenate(runs))
         return words[idf[words] > 0]
 
+    def certain(self, item: int) -> int:
+        """Weighty words that the best passage of a text holds, wherever a copy begins."""
+        stride, weighty = self.how.stride, self.weighty[self.items[item]]
+        sums = np.append(0, np.cumsum(weighty))
+        best = []
+        for shift in range(stride):
+            begins = np.arange(-shift, len(weighty), stride)
+            ends = np.minimum(begins + 2 * stride, len(weighty))
+            best.append((sums[ends] - sums[np.maximum(begins, 0)]).max())
+        return int(min(best))
+
     def place(self, idf: np.ndarray, spaces: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Fix the latent spaces, each given by its words and their rows of its basis."""
         self.idf = np.append(idf, 0.0)
@@ -224,8 +265,7 @@ class Benchmark:
                 run = place[self.run(*member)]
                 sums.append(rows[run[run >= 0]].sum(0))
             owner = np.array([i for i, _ in members])
-            held = [int(self.weighty[np.unique(self.items[i])].sum()) for i in np.unique(owner)]
-            least = min([self.how.together, *held])
+            least = min([self.how.together, *map(self.certain, np.unique(owner).tolist())])
             passages = np.ascontiguousarray(unit(np.array(sums)).T)
             self.spaces.append(Space(place, rows, passages, owner, max(1, least)))
 
@@ -233,6 +273,7 @@ class Benchmark:
         """For each text the items it holds: ``(item, cosine, overlap, kind)``."""
         found: list[dict[int, tuple]] = [{} for _ in texts]
         self.find_near(texts, found)
+        self.find_copies(texts, found)
         return [list(f.values()) for f in found]
 
     def region(self, text: np.ndarray, begin: int, item: int) -> list[int]:
@@ -268,6 +309,88 @@ class Benchmark:
                         cosine = float(min(1.0, cosines[at, column]))
                         found[text][item] = (self.ids[item], cosine, *hit)
 
+    def find_copies(self, texts: list[np.ndarray], found: list[dict[int, tuple]]) -> None:
+        """Add the items of which a text holds as many pairs of words as any copy keeps.
+
+        This depends on no weights, neighbours or alignment: of a copy with words changed or left
+        out ``compare`` sees each one that it would accept.
+        """
+        size = len(self.vocabulary) + 1
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        words = np.full(int(begins[-1]) + 1, size - 1)  # another word behind each text
+        for text, begin in zip(texts, begins.tolist(), strict=False):
+            words[begin : begin + len(text)] = text
+        inside = words < size - 1
+        places = np.flatnonzero(inside[:-1] & inside[1:])
+        keys = words[places] * size + words[places + 1]
+        if self.single:
+            alone = np.flatnonzero(inside)
+            places = np.append(places, alone)
+            keys = np.append(keys, words[alone] + size * size)
+        at = np.searchsorted(self.pair, keys)
+        at[at == len(self.pair)] = 0
+        hit = self.pair[at] == keys
+        places, at = places[hit], at[hit]
+        if self.single:
+            order = np.argsort(places, kind="stable")
+            places, at = places[order], at[order]
+        # texts in turn, so that a bounded number of pairs is held
+        text = np.searchsorted(begins, places, "right") - 1
+        total = np.cumsum(self.owners[at])
+        start = 0
+        while start < len(places):
+            room = (total[start - 1] if start else 0) + SLICE_PAIRS
+            last = text[min(np.searchsorted(total, room, "right"), len(places) - 1)]
+            end = np.searchsorted(text, last, "left") if total[-1] > room else len(places)
+            end = end if end > start else np.searchsorted(text, last, "right")
+            self.find_pairs(texts, begins, places[start:end], at[start:end], found)
+            start = end
+
+    def find_pairs(self, texts, begins, places, at, found) -> None:
+        counts = self.owners[at]
+        each = np.repeat(np.arange(len(at)), counts)
+        within = np.arange(len(each)) - np.repeat(np.cumsum(counts) - counts, counts)
+        item = self.owner[self.owner_begin[at][each] + within]
+        order = np.argsort(item, kind="stable")
+        item, each = item[order], each[order]
+        place = places[each]
+        enough = np.arange(len(item)) + self.need[item] - 1
+        ok = enough < len(item)
+        enough[~ok] = 0
+        text = np.searchsorted(begins, place, "right") - 1
+        ok &= (item[enough] == item) & (text[enough] == text)
+        ok &= place[enough] - place <= self.sizes[item]
+        seen: dict[tuple[int, int], int] = {}
+        for k in np.flatnonzero(ok).tolist():
+            i, t, p = int(item[k]), int(text[k]), int(place[k])
+            # the region of a place holds all copies that begin up to two strides behind it
+            if i in found[t] or seen.get((t, i), -1) >= p:
+                continue
+            end = k
+            kinds = set()
+            while end < len(item) and item[end] == i and place[end] - p <= self.sizes[i]:
+                kinds.add(int(at[each[end]]))
+                end += 1
+            if len(kinds) < self.distinct[i]:
+                continue
+            seen[t, i] = p + 2 * self.how.stride
+            begin = p - int(begins[t])
+            hit = self.compare(i, self.region(texts[t], begin, i))
+            if hit:
+                found[t][i] = (self.ids[i], self.likeness(i, texts[t], begin), *hit)
+
+    def likeness(self, item: int, text: np.ndarray, begin: int) -> float:
+        """The best cosine of the passages of an item with those of a text near a place."""
+        stride, size = self.how.stride, len(self.items[item])
+
+        def vectors(runs: list[np.ndarray]) -> np.ndarray:
+            return unit(np.array([np.bincount(r, minlength=len(self.idf)) * self.idf for r in runs]))
+
+        numbers = range(max(0, (begin - size) // stride), (begin + size) // stride + 1)
+        mine = [self.run(item, k) for k in range(-(-size // stride))]
+        theirs = [text[k * stride : (k + 2) * stride] for k in numbers]
+        return float(min(1.0, (vectors(mine) @ vectors(theirs).T).max()))
+
     def compare(self, item: int, region: list[int]) -> tuple[float, str] | None:
         """Overlap and kind if the region holds the item word for word, nearly, or in other words."""
         words = self.items[item]
@@ -452,7 +575,8 @@ def leaks(
     """Rows of ``(doc_id, item_id, cosine, overlap, kind)``: items that documents hold.
 
     Passages of every whole text are compared with those of the items in latent spaces; a
-    candidate is an item whose passage comes close. It counts as ``verbatim`` if enough of its
+    candidate is an item whose passage comes close, or of which as many pairs of neighbouring
+    words occur together as a copy with words changed or left out must keep. It counts as ``verbatim`` if enough of its
     words occur in order near the passage, as ``paraphrase`` if fewer do but its answer's as
     well. Without an ``answer`` column the last fourth of an item stands for its answer. Items of
     very few words must occur in one piece. Word frequencies cover all documents.
