@@ -411,6 +411,22 @@ def test_no_expressions(text):
         licenses.parse_expression(text)
 
 
+LONG = " OR ".join(["GPL-3.0-only"] * 60 + ["MIT"])
+
+
+@pytest.mark.parametrize("behind, expression, met", [
+    ("MIT the quick brown fox", "mit", True), ("MIT -->", "mit", True), ("GPL-2.0-only */ int x;", "gpl-2.0-only", False),
+    ("MIT OR GPL-3.0-only. And more", "mit or gpl-3.0-only", True), ("MIT and then some", "mit and then", False),
+    ("(MIT OR ISC) AND Zlib) x", "(mit or isc) and zlib", True), ("MIT OR (ISC", "mit", True), ("MIT AND", "mit", True),
+    ("DocumentRef-x:LicenseRef-a_b OR MIT", "documentref-x:licenseref-a_b or mit", True), (LONG, LONG.lower(), True),
+    ("MIT\nOR GPL-2.0-only", "mit", True), ("-->", None, None), ("OR MIT", None, None), ("", None, None),
+])
+def test_tags_within_other_text(behind, expression, met):
+    found = licenses.LicenceScanner().scan(f"<!-- SPDX-License-Identifier: {behind}")
+    assert found[3:5] == ([expression] if expression else [], met)
+    assert ("mit" in found[2]) == ("mit" in re.split(r"[ (]", expression or ""))
+
+
 def test_odd_rows_of_the_scan(spark, odd):
     rows = {r.doc_id: r for r in licenses.scan_licences(odd).collect()}
     assert (rows[1].n_words, rows[1].labels, rows[1].score) == (0, [], 0.0)

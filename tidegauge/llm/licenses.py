@@ -39,9 +39,10 @@ NOTICES = {
     "all rights reserved": ("proprietary", 0.5),
 }
 BASE_WEIGHT, TAG_WEIGHT = 0.9, 0.98
-#: The tag that an expression follows, and the longest expression read, in characters.
+#: The tag that an expression follows, and the next token of one on its line.
 TAG = b"spdx-license-identifier:"
-EXPRESSION = re.compile(rb"[ \t]*([a-z0-9.+() \t-]{1,400})")
+_NEXT = re.compile(r"[ \t]*([()]|[a-z0-9.+:_-]+)")
+_LICENCE = re.compile(r"[a-z0-9]")
 OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 #: A-Z to lower case, other ASCII but digits and a-z to blanks; bytes of other characters stay.
@@ -96,6 +97,44 @@ def parse_expression(text: str) -> list[str]:
     return out + stack[::-1]
 
 
+def leading_expression(text: str, begin: int = 0) -> str:
+    """The longest expression that a lower-case text has at a place; empty if there is none.
+
+    Reads no further than it must. A full stop or colon behind a word ends the expression, and
+    so does the next tag.
+    """
+    at = end = begin
+    depth, operand_next = 0, True
+    while match := _NEXT.match(text, at):
+        token, at = match[1], match.end()
+        if token == "(":
+            if not operand_next:
+                break
+            depth += 1
+        elif token == ")":
+            if operand_next or not depth:
+                break
+            depth -= 1
+            if not depth:
+                end = at
+        elif token in OPERATORS:
+            if operand_next:
+                break
+            operand_next = True
+        else:
+            word = token.rstrip(".:")
+            if not operand_next or not _LICENCE.match(word) or word in OPERATORS:
+                break
+            if token.startswith(TAG.decode()):
+                break
+            operand_next = False
+            if not depth:
+                end = match.start(1) + len(word)
+            if word != token:
+                break
+    return text[begin:end].strip()
+
+
 def evaluate(postfix: list[str], allowed: Callable[[str], bool]) -> tuple[bool, list[str]]:
     """Whether an expression can be met with allowed licences, and the licences it names.
 
@@ -144,14 +183,10 @@ class LicenceScanner:
         self.tags.make_automaton()
 
     def expressions(self, text: str) -> list[str]:
-        """The texts behind identifier tags, as far as they can be part of an expression."""
-        data = text.encode("utf-8", "replace").translate(_LOWER)
-        found = []
-        for end, _ in self.tags.iter(data.decode("latin-1")):
-            match = EXPRESSION.match(data, end + 1)
-            if match:
-                found.append(match[1].decode().strip().rstrip("."))
-        return found
+        """The longest expressions right behind identifier tags, on the line of each."""
+        data = text.encode("utf-8", "replace").translate(_LOWER).decode("latin-1")
+        found = (leading_expression(data, end + 1) for end, _ in self.tags.iter(data))
+        return [expression for expression in found if expression]
 
     def scan(self, text: str | None) -> tuple:
         """``(n_words, places, labels, expressions, met, score)`` of a whole text.
@@ -182,10 +217,7 @@ class LicenceScanner:
                 doubt *= 1 - weight
         expressions, met = [], None
         for expression in self.expressions(text):
-            try:
-                fits, named = evaluate(parse_expression(expression), self.allowed)
-            except ValueError:
-                continue
+            fits, named = evaluate(parse_expression(expression), self.allowed)
             expressions.append(expression)
             met = fits and met is not False
             for label in map(family, named):
