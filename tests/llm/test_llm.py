@@ -158,6 +158,24 @@ def test_main_text_of_odd_pages(spark):
     assert main_text.extract_main_text(frame.limit(0), keep=("html",)).count() == 0
 
 
+ARTICLE = "A sentence of the article that goes on for quite a while, so that it counts."
+
+
+@pytest.mark.parametrize("page", [
+    f'<p class="notice">Note<p>{ARTICLE}', f'<div><p class="ad">Buy</div><div>{ARTICLE}</div>',
+    f'<ul><li class="menu">Home<li>{ARTICLE}</ul>', f'<dl><dd class="social">Follow<dt>{ARTICLE}</dl>',
+    f'<table><tr><td class="nav">Home<td>{ARTICLE}</table>', f"<div><nav>Home</div><p>{ARTICLE}",
+    f'<p class="ad">Buy<div>{ARTICLE}</div>', f"<head><title>T</title><p>{ARTICLE}</p>",
+    f'<div class="content has-sidebar"><p>{ARTICLE}</p><div class="sidebar">{ARTICLE}</div></div>',
+    f'<div class="post share-enabled"><article><p>{ARTICLE}</p></article></div>',
+    f'<div><p>{ARTICLE}</p></div><div class="cookie-notice">We keep cookies.</div>',
+    f'<nav>a<nav>b</nav>c</nav><span class="ad">x<span>y</span>z</span><p>{ARTICLE}',
+    f'<p>{ARTICLE}</p><span class="share-bar">x<span>y</span>z</span>',
+])
+def test_main_text_behind_skipped_elements(page):
+    assert main_text.main_text(page) == ARTICLE
+
+
 def test_rules_fit_subdomains_and_the_longest_wins(spark):
     rules = [
         url_rules.Rule("block", "net"), url_rules.Rule("allow", "b.net", "/en/"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -37,6 +38,27 @@ CONTAINERS = frozenset(["article", "main"])
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+#: Elements that a start tag ends, whose end tag HTML lets one omit, and what it doesn't look beyond.
+CLOSES = (
+    {tag: (frozenset(["p"]), frozenset("td th table caption button".split())) for tag in (
+        "address article aside blockquote details div dl fieldset figcaption figure footer form h1 "
+        "h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul"
+    ).split()}
+    | {"li": (frozenset(["li", "p"]), frozenset("ul ol menu table".split()))}
+    | {tag: (frozenset(["dt", "dd", "p"]), frozenset(["dl", "table"])) for tag in ("dt", "dd")}
+    | {tag: (frozenset(["td", "th"]), frozenset(["tr", "table"])) for tag in ("td", "th")}
+    | {"tr": (frozenset(["tr"]), frozenset("tbody thead tfoot table".split()))}
+    | {
+        tag: (frozenset("tbody thead tfoot caption".split()), frozenset(["table"]))
+        for tag in ("tbody", "thead", "tfoot")
+    }
+)
+#: What an end tag other than those of tables doesn't look beyond, and what may be in a head.
+CELLS = frozenset("td th caption table".split())
+TABLES = CELLS | frozenset("tr tbody thead tfoot body html".split())
+IN_HEAD = frozenset(
+    "base basefont bgsound link meta noscript script style template title".split()
+)
 #: Standard deviation of the smoothing in lines; the share of the mean that a line of content
 #: reaches; the lines below it that a region may bridge.
 SIGMA = 1.5
@@ -50,6 +72,7 @@ class Line:
     text: str
     tags: int
     container: int  # 0: outside of any
+    sides: tuple[int, ...]  # elements around it that may be beside the main text
 
 
 class PageLines(HTMLParser):
@@ -60,53 +83,100 @@ class PageLines(HTMLParser):
         self.lines: list[Line] = []
         self._parts: list[str] = []
         self._tags = 0
-        self._skip: tuple[str, int] | None = None  # element and how deep it nests in itself
+        self._open: list[str] = []  # blocks and what is skipped or may be
+        self._counts: Counter[str] = Counter()  # of the open ones
+        self._skip: int | None = None  # place of the skipped element among the open ones
+        self._sides: list[tuple[int, int]] = []  # places and numbers of elements perhaps beside
+        self._side_count = 0
+        self._holders: set[int] = set()  # those of them that hold or are a container
         self._containers: list[int] = []
         self._seen = 0
 
     def finish(self) -> list[Line]:
         self.close()
         self._line()
-        return self.lines
+        return self.main_lines()
 
     def _line(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
             container = self._containers[0] if self._containers else 0
-            self.lines.append(Line(text, self._tags, container))
+            sides = tuple(number for _, number in self._sides)
+            self.lines.append(Line(text, self._tags, container, sides))
         self._tags = 0
         self._parts.clear()
 
+    def _close(self, size: int) -> None:
+        """End all but so many of the open elements."""
+        self._counts.subtract(self._open[size:])
+        del self._open[size:]
+        if self._skip is not None and self._skip >= size:
+            self._skip = None
+        while self._sides and self._sides[-1][0] >= size:
+            self._line()
+            self._tags = 1
+            self._sides.pop()
+
     def handle_starttag(self, tag, attrs):
-        if self._skip:
-            if tag == "body" and self._skip[0] in ("head", "title"):
-                self._skip = None  # a head that was never closed
-            elif tag == self._skip[0]:
-                self._skip = (tag, self._skip[1] + 1)
-                return
+        ends, beyond = CLOSES.get(tag, ((), ()))
+        if any(self._counts[e] for e in ends):
+            size = len(self._open)
+            for at in range(len(self._open) - 1, -1, -1):
+                if self._open[at] in beyond:
+                    break
+                if self._open[at] in ends:
+                    size = at
+            self._close(size)
+        if self._skip is not None:
+            skipped = self._open[self._skip]
+            if (tag == "body" and skipped == "title") or (skipped == "head" and tag not in IN_HEAD):
+                self._close(self._skip)  # a head that was never closed
             else:
+                if tag in BLOCKS or tag == skipped:
+                    self._push(tag)
                 return
-        if tag in SKIPPED or (tag not in VOID and tag != "body" and _beside(attrs)):
+        side = _beside(attrs) if tag not in VOID and tag != "body" else 0
+        if tag in SKIPPED or side == 2:
             self._line()
-            self._skip = (tag, 1)
-        elif tag in BLOCKS:
+            self._skip = len(self._open)
+            self._push(tag)
+        elif tag in BLOCKS or side:
             self._line()
+            if side:
+                self._side_count += 1
+                self._sides.append((len(self._open), self._side_count))
+            self._push(tag)
             if tag in CONTAINERS:
                 self._seen += 1
                 self._containers.append(self._seen)
+                self._holders.update(number for _, number in self._sides)
+        elif any(self._open[at] == tag for at, _ in self._sides):
+            self._push(tag)
         self._tags += 1
 
+    def _push(self, tag: str) -> None:
+        if tag not in VOID:
+            self._open.append(tag)
+            self._counts[tag] += 1
+
     def handle_startendtag(self, tag, attrs):
-        if not self._skip:
+        if self._skip is None:
             self._tags += 1
             if tag in BLOCKS:
                 self._line()
 
     def handle_endtag(self, tag):
-        if self._skip:
-            if tag == self._skip[0]:
-                depth = self._skip[1] - 1
-                self._skip = (tag, depth) if depth else None
+        skip, inside = self._skip, self._skip is not None
+        for at in range(len(self._open) - 1, -1, -1) if self._counts[tag] else ():
+            if self._open[at] == tag:
+                if tag in BLOCKS and not inside:
+                    self._line()
+                self._close(at)
+                inside = inside and at >= skip  # or the end of an element around the skipped one
+                break
+            if self._open[at] in CELLS and tag not in TABLES:
+                break
+        if inside:
             return
         self._tags += 1
         if tag in BLOCKS:
@@ -115,18 +185,36 @@ class PageLines(HTMLParser):
                 self._containers.pop()
 
     def handle_data(self, data):
-        if not self._skip:
+        if self._skip is None:
             self._parts.append(data)
 
+    def main_lines(self) -> list[Line]:
+        """The lines but those of elements beside that hold no container and not most of the text."""
+        total = sum(len(x.text) for x in self.lines)
+        held: dict[int, int] = {}
+        for line in self.lines:
+            for side in line.sides:
+                held[side] = held.get(side, 0) + len(line.text)
+        beside = {k for k, v in held.items() if 2 * v <= total and k not in self._holders}
+        return [x for x in self.lines if beside.isdisjoint(x.sides)]
+
 
-def _beside(attrs) -> bool:
+def _beside(attrs) -> int:
+    """2 if attributes say that an element is hidden or beside the main text, 1 if perhaps.
+
+    A side word decides as a whole class, id or role; as a part of one, as in ``has-sidebar``, it
+    may name what the element is beside of.
+    """
+    found = 0
     for name, value in attrs:
         if name in ("hidden",) or (name == "aria-hidden" and value == "true"):
-            return True
+            return 2
         if name in ("class", "id", "role") and value:
+            if not SIDE_WORDS.isdisjoint(value.lower().split()):
+                return 2
             if not SIDE_WORDS.isdisjoint(_WORD.findall(value.lower())):
-                return True
-    return False
+                found = 1
+    return found
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
