@@ -150,6 +150,20 @@ def test_packing_round_trips_any_width_and_fills_words():
     assert len(words) == 10 and n_words.tolist() == [10]
 
 
+def test_joined_words_are_encoded_as_in_their_texts():
+    cache, tokenizer = token_files.WordCache(JSON), Tokenizer.from_str(JSON)
+    draw = random.Random(2)
+    parts = [
+        " ", "  ", "\n", " \n ", "\t", "a", "Word", "don't", "12", "\u00e9", "\u6f22\u5b57", "\u2003", "\x1c",
+        "\u00a0", "!?", "<|endoftext|>", "\U0001f9ed", "\u0120", "_",
+    ]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 30))) for _ in range(3000)]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        mine = [np.frombuffer(c, "<u4").tolist() for c in cache.encode(some)]
+        assert mine == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def expected_files(frame, end=2):
     tokenizer, start, out = Tokenizer.from_str(JSON), 0, []
     rows = []
@@ -164,13 +178,11 @@ def expected_files(frame, end=2):
 
 def test_files_give_back_odd_documents_in_order(spark, odd, empty, tmp_path):
     path = str(tmp_path / "odd")
-    coded = token_files.encode_documents(odd.repartition(3), JSON, 2)
-    token_files.write_token_files(coded, path, block_words=2, file_blocks=1)
+    token_files.write_token_files(odd.repartition(3), JSON, path, 2, block_words=2, file_blocks=1)
     read = token_files.read_token_files(spark, path).collect()
     mine = sorted((r.start, r.doc_id, r.n_tokens, r.ids) for r in read)
     theirs = expected_files(odd)
     assert [r[1] for r in mine] == [r[0] for r in theirs]
-    # rows of one id stand in the order of their coded content
     assert sorted((r[1] or -1, r[3]) for r in mine) == sorted(
         (number or -1, struct.pack(f"<{len(ids)}I", *ids)) for number, _, ids in theirs
     )
@@ -179,13 +191,13 @@ def test_files_give_back_odd_documents_in_order(spark, odd, empty, tmp_path):
     assert index.count() > 3 and index.agg(F.sum("n_docs")).first()[0] == odd.count()
     assert index.select("file").distinct().count() > 1
     none = str(tmp_path / "none")
-    token_files.write_token_files(token_files.encode_documents(empty, JSON), none)
+    token_files.write_token_files(empty, JSON, none)
     assert token_files.read_token_files(spark, none).count() == 0
 
 
 def test_a_damaged_file_is_refused(spark, odd, tmp_path):
     path = str(tmp_path / "damaged")
-    token_files.write_token_files(token_files.encode_documents(odd, JSON), path)
+    token_files.write_token_files(odd, JSON, path)
     file = next(p for p in (tmp_path / "damaged" / "ids").iterdir() if p.name.startswith("part-"))
     file.write_bytes(file.read_bytes()[:-1] + b"?")
     for crc in (tmp_path / "damaged" / "ids").glob(".*.crc"):

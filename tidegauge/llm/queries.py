@@ -144,7 +144,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokenizer = file.read()
     path = shared_dir(spark, "token-files")
     docs = table(spark, sf_dir, "documents")
-    token_files.write_token_files(token_files.encode_documents(docs, tokenizer, END_ID), path)
+    token_files.write_token_files(docs, tokenizer, path, END_ID)
     found = token_files.read_token_files(spark, path)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

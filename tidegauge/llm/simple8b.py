@@ -12,6 +12,8 @@ import numpy as np
 #: Bits of an integer by selector 1 to 14; a word holds 60 // bits of them. 15 is the escape.
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
+#: Integers that are packed at a time.
+PIECE = 16_384
 _POWERS = np.uint64(1) << np.arange(61, dtype=np.uint64)
 _SHIFT = np.uint64(60)
 _PAYLOAD = (np.uint64(1) << _SHIFT) - np.uint64(1)
@@ -25,7 +27,20 @@ def pack(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     No word spans two runs; the escapes of a run stand behind its words and count as words. Every
     word takes as many integers as one selector can hold. A run may be empty and then has no word.
     """
-    values = np.asarray(values, np.uint64)
+    values, lengths = np.asarray(values, np.uint64), np.asarray(lengths, np.int64)
+    ends = np.cumsum(lengths)
+    parts, run, at = [], 0, 0
+    while run < len(ends):
+        # pieces of whole runs that stay in the processor's cache
+        to = max(run + 1, int(np.searchsorted(ends, at + PIECE, side="right")))
+        parts.append(_pack(values[at : ends[to - 1]], lengths[run:to]))
+        run, at = to, int(ends[to - 1])
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def _pack(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum(lengths, dtype=np.int64)
     size = len(values)
     if not size:
@@ -36,13 +51,15 @@ def pack(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     bits = np.searchsorted(_POWERS, values, side="right").astype(np.int8)
     widest = bits.copy()
     selector = np.full(size, ESCAPE, np.int8)
-    seen = 1
+    seen, before = 1, 0
     for number, width in reversed(list(enumerate(WIDTHS, 1))):
         for k in range(seen, min(COUNTS[number], size)):
             inside = np.where(left[: size - k] > k, bits[k:], np.int8(0))
             np.maximum(widest[: size - k], inside, out=widest[: size - k])
         seen = max(seen, COUNTS[number])
-        fits = widest <= width
+        # a narrower selector only helps where more integers are left than a wider one holds
+        fits = (widest <= width) & (left > before)
+        before = COUNTS[number]
         if not fits.any():
             break  # what fits a narrower selector fits a wider one too
         np.copyto(selector, np.int8(number), where=fits)

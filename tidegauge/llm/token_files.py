@@ -21,6 +21,7 @@ writer, so a task that is lost or runs twice leaves one copy, on any storage Spa
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -32,34 +33,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegauge.llm.arrow import map_texts
+from tidegauge.llm.arrow import slices
 from tidegauge.llm.simple8b import pack, unpack
-from tidegauge.session import shared_dir
 
 #: Words a block is closed at, and blocks a file has at most (64 MB).
 BLOCK_WORDS = 65_536
 FILE_BLOCKS = 128
 #: Words of text kept with their ids by a Python worker, and the longest one kept.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 700_000
 KEPT_LENGTH = 64
+#: Words that are encoded as one text.
+JOINED_WORDS = 10_000
 
 _HEAD, _HEAD_SIZE = "<4sIQQQ", 32
 _BLOCK, _MARK = b"S8BK", b"S8B1"
+#: How the vocabulary writes a blank.
+_BLANK = "\u0120"
 _PART = r"part-(\d+)-"
 _SPACE_BEFORE_BLANK = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
-CODED = "n_tokens bigint, n_words bigint, n_escapes bigint, words binary, deal int"
 
 
 class WordCache:
-    """A library tokenizer that is asked only for words not met before.
+    """A library tokenizer that is asked only for words not met before, many at a time.
 
     For byte-level tokenizers that split text by the usual pattern: no piece holds a blank behind
-    a character that isn't white space, so a text may be cut before such blanks.
+    a character that isn't white space, so a text may be cut before such blanks, and of the ids of
+    joined words just those that begin a word begin with a blank.
     """
 
     def __init__(self, tokenizer: str):
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        names = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(names.values()) + 1, bool)
+        self.begins[[k for name, k in names.items() if name.startswith(_BLANK)]] = True
         self.ids: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
@@ -73,22 +80,35 @@ class WordCache:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.ids) > KEPT_WORDS:
             self.ids.clear()
+        known = self.ids
         split = [self.words(text) for text in texts]
-        heads = self._ask([words[0] for words in split])
-        new = {w for words in split for w in words[1:] if w not in self.ids}
-        known, long = self.ids, {w for w in new if len(w) > KEPT_LENGTH}
-        asked = list(new)
-        known.update(zip(asked, self._ask([f" {w}" for w in asked]), strict=True))
-        out = [
-            head + b"".join([known[w] for w in words[1:]])
-            for head, words in zip(heads, split, strict=True)
-        ]
-        for word in long:
+        heads = [words.pop(0) for words in split]
+        new = list(set().union(*split).difference(known))
+        # a word with blanks of its own, or a long one that isn't kept, is encoded by itself
+        odd = [w for w in new if " " in w or len(w) > KEPT_LENGTH]
+        plain = list(set(new).difference(odd)) if odd else new
+        known.update(zip(odd, self._each([f" {w}" for w in odd]), strict=True))
+        for at in range(0, len(plain), JOINED_WORDS):
+            some = plain[at : at + JOINED_WORDS]
+            known.update(zip(some, self._joined(some), strict=True))
+        coded = self._each(heads)
+        out = [a + b"".join(map(known.__getitem__, w)) for a, w in zip(coded, split, strict=True)]
+        for word in odd:
             del known[word]
         return out
 
-    def _ask(self, words: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a blank before it."""
+        (coded,) = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4")
+        first = np.flatnonzero(self.begins[ids])
+        if len(first) != len(words):
+            raise ValueError("the tokenizer joins or splits words at other places than blanks")
+        raw, places = ids.tobytes(), (4 * first).tolist()
+        return [raw[a:b] for a, b in zip(places, [*places[1:], len(raw)], strict=True)]
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (c.ids for c in coded)]
 
 
@@ -97,109 +117,100 @@ def _word_cache(tokenizer: str) -> WordCache:
     return WordCache(tokenizer)  # outlives a task where Spark uses a worker again
 
 
-def encode_documents(
-    docs: DataFrame,
-    tokenizer: str,
-    end_id: int | None = None,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """One row per document: its id and Simple-8b words of its token ids, ``end_id`` behind them.
-
-    ``tokenizer`` is the JSON of a byte-level tokenizer (a few MB, fixed by it), sent to each
-    executor once. Null and empty texts have just the end id; repeated rows and ids stay, other
-    columns are left behind. A task holds a bounded slice of texts and a bounded word cache; a
-    very long text is a slice of its own. ``deal`` spreads rows that are equal otherwise.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    end = b"" if end_id is None else struct.pack("<I", end_id)
-
-    def make():
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache, seen = _word_cache(shared.value), 0
-
-        def work(batch: pa.RecordBatch) -> dict:
-            nonlocal seen
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            coded = [ids + end for ids in cache.encode(texts)]
-            lengths = np.array([len(ids) // 4 for ids in coded], np.int64)
-            words, n_words, n_escapes = pack(np.frombuffer(b"".join(coded), "<u4"), lengths)
-            ends = np.cumsum(n_words).tolist()
-            raw = words.astype("<u8", copy=False).tobytes()
-            seen += len(texts)
-            return {
-                id_column: batch.column(0),
-                "n_tokens": lengths,
-                "n_words": n_words,
-                "n_escapes": n_escapes,
-                "words": [raw[8 * a : 8 * b] for a, b in zip([0, *ends], ends, strict=False)],
-                "deal": np.arange(seen - len(texts), seen, dtype=np.int32),
-            }
-
-        return work
-
-    rows = docs.select(F.col(id_column).cast("bigint").alias(id_column), text_column)
-    return map_texts(rows, text_column, make, f"`{id_column}` bigint, {CODED}")
-
-
-def _block(rows: list[dict], id_column: str, start: int) -> bytes:
-    def numbers(name: str) -> bytes:
-        return np.array([r[name] for r in rows], "<u8").tobytes()
-
-    ids = [r[id_column] for r in rows]
-    n_words, n_ids = sum(r["n_words"] for r in rows), sum(r["n_tokens"] for r in rows)
-    return b"".join([
-        struct.pack(_HEAD, _BLOCK, len(rows), n_words, n_ids, start),
-        np.array([i or 0 for i in ids], "<i8").tobytes(),
-        np.array([i is not None for i in ids], "u1").tobytes(),
-        numbers("n_tokens"), numbers("n_words"), numbers("n_escapes"),
-        *(r["words"] for r in rows),
-    ])
+class _Blocks:
+    """Puts the documents of a task into blocks, in the order they come."""
+
+    def __init__(self, block_words: int):
+        self.block_words, self.start = block_words, 0
+        self.held: list[tuple] = []
+        self.held_words = 0
+
+    def add(self, ids: list[int | None], lengths, n_words, n_escapes, words) -> Iterator[bytes]:
+        ends, at = np.cumsum(n_words), 0
+        while at < len(ids):
+            before = int(ends[at - 1]) if at else 0
+            # the document that fills the block is its last
+            full = int(np.searchsorted(ends, before + self.block_words - self.held_words))
+            to = min(full + 1, len(ids))
+            part = slice(at, to)
+            self.held.append((
+                ids[part], lengths[part], n_words[part], n_escapes[part],
+                words[before : int(ends[to - 1])],
+            ))
+            self.held_words += int(ends[to - 1]) - before
+            at = to
+            if self.held_words >= self.block_words:
+                yield self.close()
+
+    def close(self) -> bytes:
+        lists, *arrays = zip(*self.held, strict=True)
+        ids = [i for some in lists for i in some]
+        lengths, n_words, n_escapes, words = (np.concatenate(a).astype("<u8") for a in arrays)
+        n_ids = int(lengths.sum())
+        block = b"".join([
+            struct.pack(_HEAD, _BLOCK, len(ids), len(words), n_ids, self.start),
+            np.array([i or 0 for i in ids], "<i8").tobytes(),
+            np.array([i is not None for i in ids], "u1").tobytes(),
+            lengths.tobytes(), n_words.tobytes(), n_escapes.tobytes(), words.tobytes(),
+        ])
+        self.start += n_ids
+        self.held, self.held_words = [], 0
+        return block
 
 
 def write_token_files(
-    coded: DataFrame,
+    docs: DataFrame,
+    tokenizer: str,
     path: str,
+    end_id: int | None = None,
     id_column: str = "doc_id",
+    text_column: str = "text",
     block_words: int = BLOCK_WORDS,
     file_blocks: int = FILE_BLOCKS,
 ) -> None:
-    """Write what ``encode_documents`` gave in ascending order of ids, nulls first, and an index.
+    """Write the token ids of whole texts in ascending order of ids, nulls first, and an index.
 
-    Ranges of ids are dealt to tasks; rows that share an id spread over several ranges, ordered by
-    their content, so a hot id is no hot task. Coded rows are landed first, since choosing the
-    ranges reads them once more. No rows give an index without rows.
+    ``tokenizer`` is the JSON of a byte-level tokenizer (a few MB, fixed by it), sent to each
+    executor once; ``end_id`` stands behind each document. Null and empty texts have just the end
+    id, or none; repeated rows and ids stay, other columns are left behind, no rows give an index
+    without rows. Texts are dealt to tasks by ranges of ids before they are encoded; rows that
+    share an id spread over several ranges, ordered by a hash of their text, so a hot id is no hot
+    task. A task holds a bounded slice of texts, a bounded word cache and one open block; a very
+    long text is a slice and fills a block of its own.
     """
-    spark = coded.sparkSession
-    landed = shared_dir(spark, "coded")
-    coded.write.parquet(landed)
-    rows = spark.read.schema(coded.schema).parquet(landed)
-    order = [F.col(id_column).asc_nulls_first(), F.crc32("words"), F.col("deal")]
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(tokenizer)
+    end = b"" if end_id is None else struct.pack("<I", end_id)
+    rows = docs.select(
+        F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")
+    )
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    rows = rows.withColumn("deal", F.monotonically_increasing_id())  # tells equal rows apart
+    order = [F.col("id").asc_nulls_first(), F.col("digest"), F.col("deal")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, words, start = [], 0, 0
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        cache, made = _word_cache(shared.value), _Blocks(block_words)
 
-        def closed() -> pa.RecordBatch:
-            nonlocal held, words, start
-            block = pa.RecordBatch.from_arrays([pa.array([_block(held, id_column, start)])], ["block"])
-            start += sum(r["n_tokens"] for r in held)
-            held, words = [], 0
-            return block
+        def record(block: bytes) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block])], ["block"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                held.append(row)
-                words += row["n_words"]
-                if words >= block_words:
-                    yield closed()
-        if held:
-            yield closed()
+            for part in slices(batch, "text"):
+                texts = [text or "" for text in part.column(1).to_pylist()]
+                coded = [ids + end for ids in cache.encode(texts)]
+                lengths = np.array([len(ids) // 4 for ids in coded], np.int64)
+                words, n_words, n_escapes = pack(np.frombuffer(b"".join(coded), "<u4"), lengths)
+                yield from map(
+                    record, made.add(part.column(0).to_pylist(), lengths, n_words, n_escapes, words)
+                )
+        if made.held:
+            yield record(made.close())
 
     (
-        dealt.mapInArrow(blocks, "block binary")
+        dealt.select("id", "text")
+        .mapInArrow(blocks, "block binary")
         .select(F.col("block").cast("string").alias("value"))
         .write.option("lineSep", _MARK.decode())
         .option("maxRecordsPerFile", file_blocks)
