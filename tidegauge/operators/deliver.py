@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.operators.delivered import Delivered
 from tidegauge.operators.payload import BATCH_SIZE, to_payload
 from tidegauge.schema import CONTENT, EVENT, REJECT, ddl
 
@@ -90,9 +91,12 @@ _RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 def write_table(events: DataFrame, path: str, run_id: str) -> None:
     """Write one run's events under ``run_id``, replacing all that an earlier attempt of the
-    same run left. The rebalance hint keeps files even and splits a hot stream and date."""
+    same run left, and note what it holds in the table's index. The rebalance hint keeps files
+    even and splits a hot stream and date."""
     if not _RUN_ID.fullmatch(run_id):
         raise ValueError(f"run_id {run_id!r} can't name a folder")
+    index = Delivered(events.sparkSession, path)
+    index.open_run(run_id)
     (
         delivered_table(events)
         .hint("rebalance", "stream_key", "event_date")
@@ -102,6 +106,7 @@ def write_table(events: DataFrame, path: str, run_id: str) -> None:
         .partitionBy("stream_key", "event_date")
         .parquet(f"{path.rstrip('/')}/run_id={run_id}")
     )
+    index.close_run(run_id)
 
 
 def write_rejects(rejects: DataFrame, path: str, run_id: str) -> None:
@@ -140,9 +145,9 @@ def read_delivered(spark: SparkSession, path: str) -> DataFrame:
 
 
 def not_delivered(events: DataFrame, delivered: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Events whose key is not in the delivered table yet; rows of ``run_id`` itself, left by an
-    earlier attempt, don't count. The date is part of the join, since a repeated event has its
-    time again: only stored partitions of the dates at hand are read."""
+    """Events whose key is not in a frame of delivered events; rows of ``run_id`` itself, left by
+    an earlier attempt, don't count. Next to a delivered table use ``Delivered.not_delivered``,
+    which reads only the dates at hand."""
     known = delivered if run_id is None else delivered.where(F.col("run_id") != run_id)
     key = ["stream_key", "event_date", "idempotency_key"]
     return delivered_table(events).join(known.select(*key), key, "left_anti").select(*events.columns)

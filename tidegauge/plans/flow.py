@@ -8,11 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators.deliver import deliver, not_delivered, read_delivered, write_rejects
+from tidegauge.files import Files
+from tidegauge.operators.deliver import deliver, write_rejects
+from tidegauge.operators.delivered import Delivered
 from tidegauge.operators.events import dedupe_events, merge_streams, split_rejects
 from tidegauge.operators.extract import extract_log_events, filter_logs
 from tidegauge.operators.metrics import metric_events
 from tidegauge.operators.queries import cloudwatch_query_plan, datadog_query_plan
+from tidegauge.operators.ledger import OffsetStore
 from tidegauge.operators.ranges import (
     OffsetTable,
     commit_offsets,
@@ -25,8 +28,8 @@ from tidegauge.plans.spec import STEP_MS, FlowSpec, InputSpec, input_keys
 from tidegauge.schema import CONTENT, REJECT
 from tidegauge.session import config_table, configure, shared_dir
 from tidegauge.sources import normalizer_for
-from tidegauge.sources.pull import PageFetcher, pull_ranges
-from tidegauge.streaming import stream_to
+from tidegauge.sources.pull import PageFetcher, PulledPages, pull_ranges
+from tidegauge.streaming import poll_trigger, stream_run, stream_to
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -104,6 +107,10 @@ def input_events(
     return events
 
 
+#: Outcomes of accepted rows that are not stored.
+LATE, REPEATED, STORED = "late", "repeated", "delivered"
+
+
 @dataclass(frozen=True)
 class Flow:
     """Lazy results of a specification: all rows, and their accepted and rejected halves."""
@@ -113,46 +120,124 @@ class Flow:
     events: DataFrame
     rejects: DataFrame
     parts: tuple[DataFrame, ...]  # the accepted events of each input
-
-    def deliver(self, run_id: str = "batch", dedupe: bool = True) -> None:
-        """Deliver a batch to the specified output, and rejected rows to its quarantine. With
-        ``dedupe`` an event that a table holds from another run is not delivered to it again."""
+    pages: DataFrame
+    transforms: tuple[Transform, ...] = ()
+
+    def deliver(
+        self, run_id: str = "batch", dedupe: bool = True, lateness: str | None = None
+    ) -> None:
+        """Deliver a batch to the specified output, and rejected rows to its quarantine.
+
+        With ``dedupe`` an event that a table holds from another run is not delivered to it
+        again. With ``lateness``, an interval such as ``1 hour``, events of a stream that lie
+        further than that behind the latest one earlier runs stored are not delivered to the
+        table but go to quarantine as ``late``. A table keeps the counts of every outcome.
+        """
         out = self.spec.output
-        accepted = self.events
+        if lateness is not None and (out.type != "table" or not out.quarantine):
+            raise ValueError("late events need a table that knows the latest one, and a quarantine")
+        if not out.quarantine and not (dedupe and out.type == "table"):
+            events = dedupe_events(self.events) if dedupe else self.events
+            deliver(events, out.type, path=out.path, post=out.post, run_id=run_id)
+            return
+        # all outcomes from one pass over the pages, which are decoded once
+        spark = self.rows.sparkSession
+        landed = shared_dir(spark, f"flow-{run_id}")
+        rows = self.rows.withColumn("_accepted", F.col(REJECT).isNull())
+        rows.write.partitionBy("_accepted").parquet(landed)
+        rows = spark.read.schema(rows.schema).parquet(landed)
+        index = Delivered(spark, out.path) if out.type == "table" else None
+        if lateness is not None:
+            rows = _mark_late(rows, index.maxima(but_run=run_id), lateness)
         if out.quarantine:
-            # both halves from one pass over the pages, which are decoded once
-            landed = shared_dir(accepted.sparkSession, f"flow-{run_id}")
-            rows = self.rows.withColumn("_accepted", F.col(REJECT).isNull())
-            rows.write.partitionBy("_accepted").parquet(landed)
-            rows = accepted.sparkSession.read.schema(rows.schema).parquet(landed)
-            write_rejects(
-                rows.where(~F.col("_accepted")).drop("_accepted"), out.quarantine, run_id
-            )
-            accepted = rows.where("_accepted").select(*accepted.columns)
+            rejects = rows.where(F.col(REJECT).isNotNull()).drop("_accepted")
+            write_rejects(rejects, out.quarantine, run_id)
+        accepted = rows.where(F.col(REJECT).isNull()).select(*self.events.columns)
         events = dedupe_events(accepted) if dedupe else accepted
-        if dedupe and out.type == "table":
-            stored = read_delivered(events.sparkSession, out.path)
-            events = not_delivered(events, stored, run_id)
+        if dedupe and index is not None:
+            # the landed rows say which dates are at hand; copies among them don't matter
+            events = dedupe_events(index.not_delivered(accepted, run_id))
         deliver(events, out.type, path=out.path, post=out.post, run_id=run_id)
-
-    def stream(self, checkpoint: str, watermark: str | None = None, available_now: bool = False):
-        """A writer that delivers the stream to the specified output; with ``watermark``
-        repeated events within that delay are dropped, each input having a watermark of its
-        own."""
-        events = dedupe_events(self.parts, watermark) if watermark else self.events
+        if index is not None:
+            index.write_counts(_outcomes(rows, index, run_id), run_id)
+        Files(spark).remove(landed)
+
+    def stream(
+        self,
+        checkpoint: str,
+        watermark: str | None = None,
+        available_now: bool = False,
+        lateness: str | None = None,
+    ):
+        """A writer that delivers the stream to the specified output.
+
+        Into a table, or with a quarantine, each batch is a run of ``deliver``: its pages are
+        landed once and routed to all inputs, so a pull source fetches each range once; rejected
+        and late rows are kept under the run's id, which a replay writes over; an event that any
+        run, batch or stream, has stored is not stored again, however late it repeats. Other
+        outputs drop repeats within ``watermark``, each input having a watermark of its own, or
+        none without it.
+        """
         out = self.spec.output
+        if out.type == "table" or out.quarantine:
+            writer = self.pages.writeStream.foreachBatch(self._batch(checkpoint, lateness))
+            writer = writer.option("checkpointLocation", checkpoint)
+            if available_now:
+                return writer.trigger(availableNow=True)
+            return writer.trigger(**poll_trigger())
+        if lateness is not None:
+            raise ValueError("late events need a table that knows the latest one, and a quarantine")
+        events = dedupe_events(self.parts, watermark) if watermark else self.events
         return stream_to(
             events, out.type, checkpoint, path=out.path, post=out.post, available_now=available_now
         )
 
+    def _batch(self, checkpoint: str, lateness: str | None) -> Callable[[DataFrame, int], None]:
+        spec, transforms = self.spec, self.transforms
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            run_id = stream_run(spark, checkpoint, batch_id)
+            landed = shared_dir(spark, f"pages-{run_id}")
+            batch.write.partitionBy("stream_key").parquet(landed)
+            pages = spark.read.schema(batch.schema).parquet(landed)
+            build_flow(spark, spec, pages, transforms).deliver(run_id, lateness=lateness)
+            Files(spark).remove(landed)
+
+        return run
+
+
+def _mark_late(rows: DataFrame, maxima: DataFrame, lateness: str) -> DataFrame:
+    """Rows with ``late`` as the reason of accepted ones behind their stream's bar."""
+    bars = maxima.groupBy(F.col("stream_key").alias("_stream")).agg(
+        (F.max("event_ts") - F.expr(f"interval {lateness}")).alias("_bar")
+    )
+    late = F.col(REJECT).isNull() & (F.col("event_ts") < F.col("_bar"))
+    marked = rows.join(bars, F.col("stream_key") == F.col("_stream"), "left")
+    return marked.withColumn(REJECT, F.when(late, LATE).otherwise(F.col(REJECT))).drop("_stream", "_bar")
+
+
+def _outcomes(rows: DataFrame, index: Delivered, run_id: str) -> DataFrame:
+    """``(stream_key, outcome, n)``: what became of every row; the rest of the accepted rows
+    were stored before, by this run or another."""
+    stored = index.maxima().where(F.col("run_id") == run_id)
+    signed = rows.select(
+        "stream_key", F.coalesce(REJECT, F.lit(REPEATED)).alias("outcome"), F.lit(1).alias("n")
+    ).unionAll(stored.select("stream_key", F.lit(REPEATED), -F.col("n")))
+    signed = signed.unionAll(stored.select("stream_key", F.lit(STORED), "n"))
+    counted = signed.groupBy("stream_key", "outcome").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") > 0)
+
 
 def build_flow(
     spark: SparkSession,
     spec: FlowSpec,
-    pages: DataFrame,
+    pages: DataFrame | PulledPages,
     transforms: Sequence[Transform] = (),
 ) -> Flow:
-    """Compose all inputs of a specification over landed pages, batch or streaming.
+    """Compose all inputs of a specification over landed or pulled pages, batch or streaming.
+
+    Of ``PulledPages`` every input has a frame of its own, so each range is fetched once.
 
     Inputs that share stream key, provider and kind take the pages that name them in
     ``input_key``; pages of theirs that name none of them are rejected as ``unknown_input``.
@@ -160,22 +245,38 @@ def build_flow(
     configure(spark)
     names = [(i.stream_key, i.provider, i.kind) for i in spec.inputs]
     shared = {n for n in names if names.count(n) > 1}
-    if shared and "input_key" not in pages.columns:
-        # nothing tells such inputs apart, and each would take all their pages
-        raise ValueError("inputs share stream key, provider and kind: pages need an input_key")
     keys = input_keys([i.stream_key for i in spec.inputs])
-    inputs = [
-        input_events(spark, i, pages, transforms, key if name in shared else None)
-        for i, name, key in zip(spec.inputs, names, keys, strict=True)
-    ]
     stray = []
-    for name in sorted(shared):
-        known = [k for k, n in zip(keys, names, strict=True) if n == name]
-        one = spec.inputs[names.index(name)]
-        stray.append(_unknown_input(pages.where(_pages_of(one)), known, inputs[0]))
+    if isinstance(pages, PulledPages):
+        inputs = [
+            input_events(spark, i, _pulled(pages, i, key, name in shared), transforms)
+            for i, name, key in zip(spec.inputs, names, keys, strict=True)
+        ]
+        whole = pages.frame()
+    else:
+        whole = pages
+        if shared and "input_key" not in pages.columns:
+            # nothing tells such inputs apart, and each would take all their pages
+            raise ValueError("inputs share stream key, provider and kind: pages need an input_key")
+        inputs = [
+            input_events(spark, i, pages, transforms, key if name in shared else None)
+            for i, name, key in zip(spec.inputs, names, keys, strict=True)
+        ]
+        for name in sorted(shared):
+            known = [k for k, n in zip(keys, names, strict=True) if n == name]
+            one = spec.inputs[names.index(name)]
+            stray.append(_unknown_input(pages.where(_pages_of(one)), known, inputs[0]))
     rows = merge_streams(*inputs, *stray)
     events, rejects = split_rejects(rows)
-    return Flow(spec, rows, events, rejects, tuple(split_rejects(i)[0] for i in inputs))
+    parts = tuple(split_rejects(i)[0] for i in inputs)
+    return Flow(spec, rows, events, rejects, parts, whole, tuple(transforms))
+
+
+def _pulled(pages: PulledPages, spec: InputSpec, key: str, shared: bool) -> DataFrame:
+    named = {"input_key": key} if shared else {}
+    return pages.frame(
+        stream_key=spec.stream_key, provider=spec.provider, kind=spec.kind, **named
+    )
 
 
 def _unknown_input(pages: DataFrame, known: list[str], like: DataFrame) -> DataFrame:
@@ -231,7 +332,7 @@ def next_ranges(
     spark: SparkSession,
     spec: FlowSpec,
     now_ms: int,
-    offsets: OffsetTable | None = None,
+    offsets: OffsetTable | OffsetStore | None = None,
     delivered: DataFrame | None = None,
     overlap_ms: int = 0,
     override: bool = True,
@@ -275,7 +376,7 @@ def fetch_ranges(
 
 
 def commit_ranges(
-    spark: SparkSession, spec: FlowSpec, ranges: DataFrame, offsets: OffsetTable
+    spark: SparkSession, spec: FlowSpec, ranges: DataFrame, offsets: OffsetTable | OffsetStore
 ) -> None:
     """Store how far each input has come once its ranges are delivered, by the key of its store.
     Inputs that resume from delivered events store nothing."""

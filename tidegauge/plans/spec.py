@@ -38,6 +38,9 @@ STEP_UNITS = {"ms": 1, "s": 1_000, "m": 60_000}
 #: Length of one fetched range while an input keeps up, and while it catches up.
 STEP_MS = {"logs": 24_000, "metrics": 60_000}
 CATCH_UP_MS = 3_600_000
+#: How long an input waits before its next range while it lags by more than a step and this buffer.
+CATCH_UP_WAIT_MS = 2_000
+LAG_BUFFER_MS = 60_000
 
 
 def input_keys(stream_keys: Sequence[str]) -> list[str]:

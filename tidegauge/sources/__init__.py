@@ -11,7 +11,12 @@ from tidegauge.schema import INPUT_PAGES, ddl
 from tidegauge.sources.cloudwatch import normalize_cloudwatch_logs, normalize_cloudwatch_metrics
 from tidegauge.sources.datadog import normalize_datadog_logs, normalize_datadog_metrics
 from tidegauge.sources.prometheus import normalize_prometheus_metrics, resolve_org
-from tidegauge.sources.pull import paged_pull_source, pull_ranges, register_paged_pull
+from tidegauge.sources.pull import (
+    PulledPages,
+    paged_pull_source,
+    pull_ranges,
+    register_paged_pull,
+)
 
 #: (provider, kind) -> function of (pages, input spec, query plan or None)
 _NORMALIZERS: dict[tuple[str, str], Callable] = {
@@ -69,7 +74,7 @@ def read_ranges(
 
 
 __all__ = [
-    "land_pages", "normalize_cloudwatch_logs", "normalize_cloudwatch_metrics",
+    "PulledPages", "land_pages", "normalize_cloudwatch_logs", "normalize_cloudwatch_metrics",
     "normalize_datadog_logs", "normalize_datadog_metrics", "normalize_prometheus_metrics",
     "normalizer_for", "paged_pull_source", "read_pages", "read_ranges", "register_normalizer",
     "pull_ranges", "register_paged_pull", "resolve_org",

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,13 @@ from pyspark.sql.datasource import (
     InputPartition,
 )
 
-from tidegauge.plans.spec import CATCH_UP_MS, STEP_MS, input_keys
+from tidegauge.plans.spec import (
+    CATCH_UP_MS,
+    CATCH_UP_WAIT_MS,
+    LAG_BUFFER_MS,
+    STEP_MS,
+    input_keys,
+)
 from tidegauge.schema import INPUT_PAGES, ddl
 
 PageFetcher = Callable[[str, int, int], Iterable[tuple[int | None, str]]]
@@ -43,22 +50,40 @@ def next_head(at: int, now: int, step_ms: int) -> int:
     return min(at + width, now)
 
 
+def wait_after(end: int | None, now: int, step_ms: int) -> int:
+    """How long an input waits after a poll whose range ended at ``end`` (``None``: nothing was
+    left to fetch): shortly while it still lags by more than a step and a buffer."""
+    lags = end is not None and now - end > step_ms + LAG_BUFFER_MS
+    return CATCH_UP_WAIT_MS if lags else step_ms
+
+
 class _Inputs:
-    """The ``inputs`` option: a JSON list of ``{stream_key, provider, kind, start_from}``."""
+    """The ``inputs`` option: a JSON list of ``{stream_key, provider, kind, start_from}``.
+
+    ``only`` cuts it down to inputs by a JSON object of column and value, and ``from_ms`` and
+    ``until_ms`` a batch to the ranges that start within; nothing else is fetched.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.rows = json.loads(options["inputs"])
         for row, key in zip(self.rows, input_keys([r["stream_key"] for r in self.rows]), strict=True):
             row.setdefault("input_key", key)
+        for pos, row in enumerate(self.rows):
+            row["name"] = f"{row['stream_key']}|{row['provider']}|{row['kind']}|{pos}"
+        only = json.loads(options.get("only", "{}"))
+        self.rows = [r for r in self.rows if all(r[c] == v for c, v in only.items())]
+        self.since = int(options.get("from_ms") or 0)
+        self.until = int(options.get("until_ms") or 0)
         self.fixed_now = options.get("now_ms") or options.get("nowMs") or options.get("nowms")
         self.limit = int(
             options.get("max_ranges_per_trigger") or options.get("maxRangesPerTrigger") or 0
         )
+        self.adaptive = options.get("adaptive", "false").lower() == "true"
 
     def named(self) -> Iterator[tuple[str, dict]]:
         """The inputs by names that also tell inputs of one stream key apart."""
-        for pos, row in enumerate(self.rows):
-            yield f"{row['stream_key']}|{row['provider']}|{row['kind']}|{pos}", row
+        for row in self.rows:
+            yield row["name"], row
 
     def now(self) -> int:
         return int(self.fixed_now) if self.fixed_now else time.time_ns() // 1_000_000
@@ -68,9 +93,10 @@ class _Inputs:
         step, at = STEP_MS[row["kind"]], start
         while at < end:
             head = min(next_head(at, now, step), end)
-            yield TimeRange(
-                row["stream_key"], row["provider"], row["kind"], row["input_key"], at, head
-            )
+            if self.since <= at and (not self.until or at < self.until):
+                yield TimeRange(
+                    row["stream_key"], row["provider"], row["kind"], row["input_key"], at, head
+                )
             at = head
 
 
@@ -128,16 +154,45 @@ class _BatchReader(DataSourceReader):
 class _StreamReader(DataSourceStreamReader):
     """Offsets are ``{"heads": {input: next unread ms}, "now": planning time}``; an input is
     named by its stream key, provider, kind and place. With the planning time in the offset, a
-    replayed batch is cut into the same ranges."""
+    replayed batch is cut into the same ranges.
+
+    With the ``adaptive`` option every input has times of its own at which it is polled for one
+    range: shortly after the last one while it lags, else after a step. An input that waits adds
+    nothing to a batch, and no batch starts while all wait. A restart polls all inputs at once.
+    """
 
     def __init__(self, fetch: PageFetcher, options: dict[str, str]):
         self.fetch, self.inputs = fetch, _Inputs(options)
         self.reached: dict[str, int] = {}
+        self.wakes: dict[str, int] = {}
+        self.offered: dict | None = None
 
     def initialOffset(self) -> dict:
         return {"heads": {k: r["start_from"] for k, r in self.inputs.named()}, "now": 0}
 
+    def _polled(self) -> dict:
+        """The offset with one more range for each input whose time has come."""
+        now = self.inputs.now()
+        heads, due = {}, False
+        for name, row in self.inputs.named():
+            at = heads[name] = max(self.reached.get(name, 0), row["start_from"])
+            if now < self.wakes.get(name, now):
+                continue
+            step = STEP_MS[row["kind"]]
+            head = next_head(at, now, step)
+            # waits add up from the first poll, whatever a batch took meanwhile
+            wait = wait_after(head if head > at else None, now, step)
+            self.wakes[name] = self.wakes.get(name, now) + wait
+            if head > at:
+                heads[name], due = head, True
+        if due or self.offered is None:
+            self.offered = {"heads": heads, "now": now}
+        self.reached = {k: max(v, self.reached.get(k, v)) for k, v in heads.items()}
+        return self.offered
+
     def latestOffset(self) -> dict:
+        if self.inputs.adaptive:
+            return self._polled()
         now, limit = self.inputs.now(), self.inputs.limit
         heads = {}
         for name, row in self.inputs.named():
@@ -169,6 +224,27 @@ class _StreamReader(DataSourceStreamReader):
         self.reached = dict(end["heads"])
 
 
+@dataclass(frozen=True)
+class PulledPages:
+    """Pages of a registered pull source, as a frame of all inputs or of one.
+
+    A flow takes each input's pages from a frame of its own, whose source fetches nothing else.
+    That is done by options of the source: filters that Spark 4.1 pushes into a Python source stay
+    with the frame, so a frame used under two filters would lose rows.
+    """
+
+    spark: SparkSession
+    options: Mapping[str, str]
+    source: str = "paged_pull"
+    streaming: bool = False
+
+    def frame(self, **only: str) -> DataFrame:
+        """Pages of all inputs, or of those with the given stream key, provider, kind, input key."""
+        reader = self.spark.readStream if self.streaming else self.spark.read
+        chosen = dict(self.options) | ({"only": json.dumps(only)} if only else {})
+        return reader.format(self.source).options(**chosen).load()
+
+
 def paged_pull_source(fetch: PageFetcher, source: str = "paged_pull") -> type[DataSource]:
     """A data source class around a fetcher, to register under its name."""
 

@@ -3,20 +3,29 @@
 from __future__ import annotations
 
 import json
-import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidegauge.files import Files
 from tidegauge.operators.deliver import ATTEMPTS, print_events, send_requests, write_table
 from tidegauge.operators.payload import BATCH_SECONDS, BATCH_SIZE, to_payload
-from tidegauge.plans.spec import STEP_MS
+from tidegauge.plans.spec import CATCH_UP_WAIT_MS, STEP_MS
 
 
-def poll_trigger(kind: str) -> dict[str, str]:
-    """Trigger of a stream that polls a provider: the length of one range."""
-    return {"processingTime": f"{STEP_MS[kind] // 1000} seconds"}
+def poll_trigger(kind: str | None = None) -> dict[str, str]:
+    """Trigger of a stream that polls a provider: often enough for an input that catches up, the
+    source itself letting each input wait for its time; or the length of one range of a kind."""
+    seconds = CATCH_UP_WAIT_MS // 1000 if kind is None else STEP_MS[kind] // 1000
+    return {"processingTime": f"{seconds} seconds"}
+
+
+def stream_run(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """The run id of a stream's batch: by the id that the query has from its checkpoint, so a new
+    checkpoint, at the same path too, never writes over the runs of an old one."""
+    metadata = Files(spark).read(f"{checkpoint.rstrip('/')}/metadata")
+    return f"stream-{json.loads(metadata)['id']}-{batch_id:010d}"
 
 
 def stream_to(
@@ -39,11 +48,9 @@ def stream_to(
     batch over its earlier attempt; a replayed http batch carries the same idempotency keys.
     """
     if mode == "table":
-        # streams into one table differ by their checkpoints
-        stream_id = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            write_table(batch, path, f"{stream_id}-{batch_id:010d}")
+            write_table(batch, path, stream_run(batch.sparkSession, checkpoint, batch_id))
 
         writer = events.writeStream.foreachBatch(write_batch)
     elif mode == "http":
