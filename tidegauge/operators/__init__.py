@@ -10,6 +10,7 @@ from tidegauge.operators.deliver import (
     write_rejects,
     write_table,
 )
+from tidegauge.operators.delivered import Delivered
 from tidegauge.operators.events import (
     dedupe_events,
     merge_streams,
@@ -27,6 +28,7 @@ from tidegauge.operators.extract import (
     json_equals,
     require_org,
 )
+from tidegauge.operators.ledger import Conflict, Ledger, OffsetStore
 from tidegauge.operators.metrics import metric_events, metric_org, select_labels
 from tidegauge.operators.numbering import number_rows
 from tidegauge.operators.payload import (
@@ -46,6 +48,7 @@ from tidegauge.operators.ranges import (
     offset_keys,
     offsets_from_delivered,
     plan_ranges,
+    poll_times,
     resolve_offsets,
 )
 from tidegauge.operators.series import (
@@ -62,12 +65,12 @@ from tidegauge.operators.series import (
 )
 
 __all__ = [
-    "OffsetTable", "aggregate_by", "commit_offsets", "counter_rate", "current_offsets",
+    "Conflict", "Delivered", "Ledger", "OffsetStore", "OffsetTable", "aggregate_by", "commit_offsets", "counter_rate", "current_offsets",
     "dedupe_events", "deliver", "duplicate_streams", "entries_of", "extract_json_fields",
     "extract_log_events", "extract_text_fields", "filter_logs", "histogram_quantile",
     "json_equals", "latest_ingested", "match_labels", "merge_streams", "metric_events",
     "metric_org", "metric_query_plan", "number_rows", "observed", "offset_keys",
-    "not_delivered", "offsets_from_delivered", "payload_struct", "plan_ranges", "prefix_values", "print_events", "quarantine",
+    "not_delivered", "offsets_from_delivered", "payload_struct", "plan_ranges", "poll_times", "prefix_values", "print_events", "quarantine",
     "read_delivered", "read_rejects",
     "rate_grid", "request_batches", "require_org", "reserved_fields", "resolve_offsets",
     "rollup", "run_stats", "select_labels", "select_series", "send_requests", "series_ratio",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import resolve_org_filter
 from tidegauge.operators.numbering import number_rows
-from tidegauge.plans.spec import CATCH_UP_MS
+from tidegauge.plans.spec import CATCH_UP_MS, CATCH_UP_WAIT_MS, LAG_BUFFER_MS
 
 
 def plan_ranges(
@@ -65,6 +65,47 @@ def plan_ranges(
     )
 
 
+def poll_times(inputs: DataFrame, now_ms: int, until_ms: int) -> DataFrame:
+    """When each input will be polled, and for which range: ``(stream_key, wake_ms, start_ms,
+    end_ms)`` from ``(stream_key, offset_ms, step_ms)``, if fetching took no time.
+
+    All wake at ``now_ms``; a window of an hour is fetched while an input lags by more than that,
+    else a step. It waits shortly while it lags by more than a step and a buffer afterwards, else
+    a step; with nothing to fetch it waits a step. Polls before ``until_ms`` are listed, so the
+    length of that span bounds the rows of an input.
+    """
+    state = "struct<at:bigint,wake:bigint,polls:array<struct<wake:bigint,start:bigint,end:bigint>>>"
+    rounds = max(0, -(-(until_ms - now_ms) // CATCH_UP_WAIT_MS))
+    step = F.col("step_ms").cast("bigint")
+    start = F.struct(
+        F.col("offset_ms").cast("bigint").alias("at"),
+        F.lit(now_ms).cast("bigint").alias("wake"),
+        F.array().cast("array<struct<wake:bigint,start:bigint,end:bigint>>").alias("polls"),
+    )
+
+    def poll(seen: Column, _: Column) -> Column:
+        at, wake = seen["at"], seen["wake"]
+        width = F.when(wake - at > CATCH_UP_MS, F.lit(CATCH_UP_MS)).otherwise(step)
+        head = F.least(at + width, wake)
+        fetched = (head > at) & (wake < until_ms)
+        waits = F.when(
+            fetched & (wake - head > step + LAG_BUFFER_MS), F.lit(CATCH_UP_WAIT_MS)
+        ).otherwise(step)
+        polled = F.array(F.struct(wake.alias("wake"), at.alias("start"), head.alias("end")))
+        return F.struct(
+            F.when(fetched, head).otherwise(at).alias("at"),
+            (wake + waits).alias("wake"),
+            F.when(fetched, F.concat(seen["polls"], polled)).otherwise(seen["polls"]).alias("polls"),
+        ).cast(state)
+
+    polls = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start.cast(state), poll)["polls"]
+    if not rounds:
+        polls = start["polls"]
+    return inputs.select("stream_key", F.inline(polls)).toDF(
+        "stream_key", "wake_ms", "start_ms", "end_ms"
+    )
+
+
 def current_offsets(log: DataFrame) -> DataFrame:
     """Last committed offset per stream from the append-only offset log."""
     latest = F.max_by("offset_ms", F.struct("updated_at", "offset_ms"))

@@ -1210,3 +1210,7 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run_available(writer)
     return _shown(op.read_delivered(spark, f"{base}/events"))
+
+
+# queries of live flows register themselves
+from tidegauge.plans import live  # noqa: E402, F401

@@ -149,11 +149,13 @@ def _ms() -> Column:
     return F.unix_millis(ntz_as_utc(F.col("ts")))
 
 
-def cloudwatch_log_pages(events: DataFrame, stream_key: str) -> DataFrame:
+def cloudwatch_log_pages(
+    events: DataFrame, stream_key: str, org: Column | None = None
+) -> DataFrame:
     item = F.struct(
         F.col("event_id").cast("string").alias("eventId"),
         _ms().alias("timestamp"),
-        event_message().alias("message"),
+        event_message(org).alias("message"),
         F.concat(F.lit("stream-"), "event_type").alias("logStreamName"),
     )
     return _paged(

@@ -44,6 +44,13 @@ class TimeRange(InputPartition):
         self.input_key, self.start_ms, self.end_ms = input_key, start_ms, end_ms
 
 
+class TimeRanges(InputPartition):
+    """Ranges that one task fetches one after another."""
+
+    def __init__(self, ranges: list[TimeRange]):
+        self.ranges = ranges
+
+
 def next_head(at: int, now: int, step_ms: int) -> int:
     """End of the range that starts at ``at``: a catch-up window while more than one behind."""
     width = CATCH_UP_MS if now - at > CATCH_UP_MS else step_ms
@@ -62,6 +69,8 @@ class _Inputs:
 
     ``only`` cuts it down to inputs by a JSON object of column and value, and ``from_ms`` and
     ``until_ms`` a batch to the ranges that start within; nothing else is fetched.
+    ``ranges_per_task`` lets a task of a batch fetch several ranges, where a long lag would
+    otherwise start very many short tasks.
     """
 
     def __init__(self, options: dict[str, str]):
@@ -78,6 +87,7 @@ class _Inputs:
         self.limit = int(
             options.get("max_ranges_per_trigger") or options.get("maxRangesPerTrigger") or 0
         )
+        self.per_task = int(options.get("ranges_per_task") or 1)
         self.adaptive = options.get("adaptive", "false").lower() == "true"
 
     def named(self) -> Iterator[tuple[str, dict]]:
@@ -139,16 +149,17 @@ class _BatchReader(DataSourceReader):
     def __init__(self, fetch: PageFetcher, options: dict[str, str]):
         self.fetch, self.inputs = fetch, _Inputs(options)
 
-    def partitions(self) -> list[TimeRange]:
-        now = self.inputs.now()
-        return [
-            part
-            for row in self.inputs.rows
-            for part in self.inputs.ranges(row, row["start_from"], now, now)
-        ]
-
-    def read(self, partition: TimeRange) -> Iterator[tuple]:
-        return _read(self.fetch, partition)
+    def partitions(self) -> list[TimeRanges]:
+        now, size = self.inputs.now(), self.inputs.per_task
+        tasks = []
+        for row in self.inputs.rows:
+            ranges = list(self.inputs.ranges(row, row["start_from"], now, now))
+            tasks += [TimeRanges(ranges[at : at + size]) for at in range(0, len(ranges), size)]
+        return tasks
+
+    def read(self, partition: TimeRanges) -> Iterator[tuple]:
+        for part in partition.ranges:
+            yield from _read(self.fetch, part)
 
 
 class _StreamReader(DataSourceStreamReader):
