@@ -497,3 +497,26 @@ def test_pipeline_stages_keep_what_they_should(spark, duck):
     classes = brute_classes([(d, texts[d]) for d in sorted(kept)])
     assert all(d == c for d, (c, _) in classes.items())
     assert len(kept & set(bad)) < 0.3 * len(bad)
+
+
+def test_an_id_keeps_its_other_texts(spark):
+    shared, other = "one two three four five six seven", "quite another text that nobody copied at all"
+    rows = [(1, shared), (5, shared), (5, other), (5, other), (7, "!"), (7, "?"), (None, shared)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for name in ("_other", "_nth", "ids", "text_hash", "number", "digest", "class_id"):
+        frame = frame.withColumn(name, F.lit("x"))
+    kept = jaccard_join.keep_one(frame)
+    assert kept.columns == frame.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, shared), (5, other), (7, "!"), (7, "?"), (None, shared)], key=repr)
+    assert jaccard_join.keep_one(frame.where("false")).count() == 0
+
+
+def test_quality_learns_beside_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame(
+        [(i, "good words here" if i % 2 else "zzz zzz zzz", "x") for i in range(40)],
+        "doc_id bigint, text string, labelled string",
+    ).withColumn("good", F.lit(1))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels)
+    assert quality.score(docs, model).count() == 40

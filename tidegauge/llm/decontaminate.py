@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.arrow import map_texts
-from tidegauge.llm.words import KEPT_TOKENS, WordHashes
+from tidegauge.llm.words import KEPT_TOKENS, WordHashes, normal
 
 #: Items, and characters of items, about, that are sent to the tasks at once; more are taken in turn.
 BLOCK_ITEMS = 1000
@@ -41,22 +41,19 @@ class Retrieval:
 
 
 class Places(dict):
-    """Raw token to its place in a vocabulary of word hashes.
+    """Raw token to the place of its word among the given ones.
 
-    The vocabulary's length stands for any other word, -1 for a token without letters or digits.
+    Their number stands for any other word, -1 for a token without letters or digits.
     """
 
-    def __init__(self, vocabulary: np.ndarray):
-        self.known = {h: i for i, h in enumerate(vocabulary.tolist())}
-        self.hashes = WordHashes()
+    def __init__(self, words: dict[str, int]):
+        self.words, self.other = words, len(words)
 
     def __missing__(self, token: str) -> int:
         if len(self) >= KEPT_TOKENS:
             self.clear()
-        word = self.hashes.__missing__(token)
-        self.hashes.clear()
-        value = self.known.get(word, len(self.known)) if word else -1
-        self[token] = value
+        word = normal(token)
+        value = self[token] = self.words.get(word, self.other) if word else -1
         return value
 
     def of(self, text: str) -> np.ndarray:
@@ -151,6 +148,9 @@ class Benchmark:
         words = [words[i] for i in kept]
         self.vocabulary = np.unique(np.concatenate(words)) if words else np.empty(0, np.uint64)
         self.items = [self.numbers(w) for w in words]
+        names = {normal(t) for i in kept for t in texts[i].split()} - {""}
+        own = {w: hashes[w] for w in names}
+        self.words = {w: int(k) for w, k in zip(own, self.numbers(np.array(list(own.values()), np.uint64)), strict=True)}
         self.answers = []
         for i, item in zip(kept, self.items, strict=True):
             answer = answers[i]
@@ -209,6 +209,7 @@ class Benchmark:
             self.need.append(max(1, n - 1 - 2 * edits))
             self.distinct.append(max(1, len(pairs) - 2 * edits))
         self.need = np.array(self.need, np.int64)
+        self.distinct = np.array(self.distinct, np.int64)
         self.sizes = np.array([len(i) for i in self.items], np.int64)
         self.pair = np.array(sorted(held), np.int64)
         owners = [held[p] for p in self.pair.tolist()]
@@ -360,18 +361,21 @@ class Benchmark:
         text = np.searchsorted(begins, place, "right") - 1
         ok &= (item[enough] == item) & (text[enough] == text)
         ok &= place[enough] - place <= self.sizes[item]
+        # a text with fewer distinct pairs of an item than a copy keeps holds none, wherever
+        owner = item * len(texts) + text
+        held = np.unique(owner * len(self.pair) + at[each]) // len(self.pair)
+        owners, kinds_held = np.unique(held, return_counts=True)
+        ok &= kinds_held[np.searchsorted(owners, owner)] >= self.distinct[item]
+        kind = at[each]
+        ends = np.searchsorted(item, np.arange(len(self.items)), "right")
         seen: dict[tuple[int, int], int] = {}
         for k in np.flatnonzero(ok).tolist():
             i, t, p = int(item[k]), int(text[k]), int(place[k])
             # the region of a place holds all copies that begin up to two strides behind it
             if i in found[t] or seen.get((t, i), -1) >= p:
                 continue
-            end = k
-            kinds = set()
-            while end < len(item) and item[end] == i and place[end] - p <= self.sizes[i]:
-                kinds.add(int(at[each[end]]))
-                end += 1
-            if len(kinds) < self.distinct[i]:
+            end = np.searchsorted(place[k : ends[i]], p + self.sizes[i], "right") + k
+            if len(np.unique(kind[k:end])) < self.distinct[i]:
                 continue
             seen[t, i] = p + 2 * self.how.stride
             begin = p - int(begins[t])
@@ -412,31 +416,18 @@ class Benchmark:
 
 def _document_frequencies(frame: DataFrame, block: Benchmark) -> tuple[np.ndarray, int]:
     """How many documents hold each word of the vocabulary, and how many there are, over all rows."""
-    shared = frame.sparkSession.sparkContext.broadcast(block.vocabulary)
+    shared = frame.sparkSession.sparkContext.broadcast(block.words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, raw = shared.value, WordHashes()
-        # a raw token leads to its place at once
-        place: dict[str, int] = {}
-        counts = np.zeros(len(vocabulary) + 1, np.int64)
+        places = Places(shared.value)
+        counts = np.zeros(places.other + 1, np.int64)
         rows = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 rows += 1
-                tokens = set((text or "").split())
-                new = [t for t in tokens if t not in place]
-                if new:
-                    if len(place) > 500_000:
-                        place.clear()
-                        new = list(tokens)
-                    hashes = np.fromiter(map(raw.__getitem__, new), np.uint64, len(new))
-                    at = np.searchsorted(vocabulary, hashes)
-                    at[at == len(vocabulary)] = 0
-                    at[vocabulary[at] != hashes] = len(vocabulary)
-                    place.update(zip(new, at.tolist(), strict=True))
-                    raw.clear()
-                seen = np.fromiter(map(place.__getitem__, tokens), np.int64, len(tokens))
-                counts[np.unique(seen)] += 1
+                held = set(map(places.__getitem__, set((text or "").split())))
+                held.difference_update((-1, places.other))
+                counts[np.fromiter(held, np.int64, len(held))] += 1
         counts[-1] = rows
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"word": at, "n": counts[at]})
@@ -593,7 +584,7 @@ def leaks(
         shared = frame.sparkSession.sparkContext.broadcast(block)
 
         def make(shared=shared):
-            places = Places(shared.value.vocabulary)
+            places = Places(shared.value.words)
 
             def work(batch: pa.RecordBatch) -> dict:
                 rows = [
@@ -625,7 +616,7 @@ def keep_clean(frame: DataFrame, benchmark: DataFrame, how: Retrieval | None = N
         shared = frame.sparkSession.sparkContext.broadcast(block)
 
         def make(shared=shared):
-            places = Places(shared.value.vocabulary)
+            places = Places(shared.value.words)
 
             def work(batch: pa.RecordBatch) -> pa.RecordBatch:
                 clean = [not hits for hits in _search(batch, at, places, shared.value)]

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -68,24 +68,28 @@ def signature(runs: np.ndarray, factors: tuple[np.ndarray, np.ndarray]) -> bytes
 
 
 def sign(frame: DataFrame, forest: Forest) -> DataFrame:
-    """Rows of ``(doc_id, digest, signature)``: copies of a shingle set share both."""
+    """Rows of ``(doc_id, text_hash, digest, signature)``: copies of a shingle set share the last two."""
 
     def make():
         words, factors = WordHashes(), forest.factors()
 
         def work(batch: pa.RecordBatch) -> dict:
             digests, signatures = [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 runs = shingles(words.of(text or ""), forest.words)
                 digests.append(xxhash.xxh3_128_digest(runs.tobytes()) if len(runs) else None)
                 signatures.append(signature(runs, factors) if len(runs) else None)
-            return {"doc_id": batch.column(0), "digest": digests, "signature": signatures}
+            return {
+                "doc_id": batch.column(0), "text_hash": batch.column(1),
+                "digest": digests, "signature": signatures,
+            }
 
         return work
 
-    schema = "doc_id bigint, digest binary, signature binary"
-    ids = F.col("doc_id").cast("bigint")
-    return map_texts(frame.select(ids.alias("doc_id"), "text"), "text", make, schema)
+    schema = "doc_id bigint, text_hash bigint, digest binary, signature binary"
+    ids, text_hash = F.col("doc_id").cast("bigint"), F.xxhash64("text")
+    rows = frame.select(ids.alias("doc_id"), text_hash.alias("text_hash"), "text")
+    return map_texts(rows, "text", make, schema)
 
 
 def _groups(sets: DataFrame, forest: Forest) -> DataFrame:
@@ -204,7 +208,11 @@ def near_duplicates(frame: DataFrame, forest: Forest | None = None) -> DataFrame
     form groups; groups are cut into blocks by their size, and each pair of blocks is verified
     exactly in a task of its own, so links between blocks are counted without listing pairs.
     """
-    forest = forest or Forest()
+    return _classes(frame, forest or Forest()).select("doc_id", "class_id", "n_links")
+
+
+def _classes(frame: DataFrame, forest: Forest) -> DataFrame:
+    """What ``near_duplicates`` gives, with ``text_hash`` and ``digest`` of each row's text."""
     signed = cut(sign(frame, forest))
     sets = cut(
         signed.where("digest is not null and doc_id is not null")
@@ -227,10 +235,10 @@ def near_duplicates(frame: DataFrame, forest: Forest | None = None) -> DataFrame
         )
     )
     return (
-        signed.select("doc_id", "digest")
+        signed.select("doc_id", "text_hash", "digest")
         .join(classes, "digest", "left")
         .select(
-            "doc_id",
+            "doc_id", "text_hash", "digest",
             F.coalesce("class_id", "doc_id").alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         )
@@ -238,21 +246,29 @@ def near_duplicates(frame: DataFrame, forest: Forest | None = None) -> DataFrame
 
 
 def keep_one(frame: DataFrame, forest: Forest | None = None) -> DataFrame:
-    """The rows, with all their columns, whose doc_id names their class; of repeated rows one.
+    """The rows, with all their columns, that stand for the class of their text.
 
-    Rows without a doc_id stay.
+    A row stays if its doc_id names that class. Of rows that share a doc_id and the words of their
+    text one stays, so an id's other, different texts are judged by themselves; rows without a
+    doc_id all stay, those of repeated texts without words once per id. An empty table gives no
+    rows. The columns may have any names.
     """
-    classes = near_duplicates(frame, forest)
-    other = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_other")).distinct()
-    left = frame.join(other, frame["doc_id"] == F.col("_other"), "left_anti")
-    return one_row(left, F.col("doc_id"))
-
-
-def one_row(frame: DataFrame, key: Column) -> DataFrame:
-    """One row for each value of a key, the one of the smallest text; all rows without a value."""
-    order = Window.partitionBy(key).orderBy(F.xxhash64("text"), "text")
-    return (
-        frame.withColumn("_nth", F.when(key.isNull(), 1).otherwise(F.row_number().over(order)))
-        .where("_nth = 1")
-        .drop("_nth")
-    )
+    ids, text_hash, number = (_free(frame, name) for name in ("ids", "text_hash", "number"))
+    judged = _classes(frame, forest or Forest()).where("doc_id = class_id")
+    same = F.coalesce("digest", F.col("text_hash").cast("string").cast("binary"))
+    kept = judged.groupBy("doc_id", same).agg(F.min("text_hash").alias(text_hash)).select(
+        F.col("doc_id").alias(ids), text_hash
+    )
+    rows = frame.withColumns({ids: F.col("doc_id").cast("bigint"), text_hash: F.xxhash64("text")})
+    # a task drops all but one of equal rows before they are shuffled
+    equal = Window.partitionBy(ids, text_hash).orderBy("text")
+    left = rows.where(F.col("doc_id").isNotNull()).join(kept.distinct(), [ids, text_hash], "left_semi")
+    left = left.withColumn(number, F.row_number().over(equal)).where(F.col(number) == 1)
+    return left.select(*frame.columns).unionAll(frame.where(F.col("doc_id").isNull()))
+
+
+def _free(frame: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    while name in frame.columns:
+        name += "_"
+    return name

@@ -68,7 +68,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: Column | None = None) -
     )
     part = F.when(F.length(text) <= STRETCHES * STRETCH_CHARS, text).otherwise(stretches)
     sample = (
-        documents.join(picked, F.col("doc_id") == F.col("labelled"))
+        documents.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("labelled"))
         .groupBy("labelled", "good").agg(F.min(part).alias("part"))
         .orderBy("labelled").limit(most).collect()
     )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 
+# all but what isalnum() holds for
+_OTHERS = re.compile(r"[\W_]+").sub
 #: Distinct raw tokens a task keeps.
 KEPT_TOKENS = 1_000_000
 
@@ -12,7 +16,7 @@ KEPT_TOKENS = 1_000_000
 def normal(token: str) -> str:
     """A token in lower case without anything but letters and digits; may be empty."""
     lower = token.lower()
-    return lower if lower.isalnum() else "".join(c for c in lower if c.isalnum())
+    return lower if lower.isalnum() else _OTHERS("", lower)
 
 
 class WordHashes(dict):
