@@ -34,9 +34,8 @@ class Files:
         return sorted(entry.getPath().getName() for entry in found)
 
     def mark(self, path: str) -> None:
-        """Make an empty file, if there is none."""
-        if not self.exists(path):
-            self._system(path).create(self._path(path), True).close()
+        """Make an empty file, whether or not there is one."""
+        self._system(path).create(self._path(path), True).close()
 
     def remove(self, path: str) -> None:
         self._system(path).delete(self._path(path), True)
