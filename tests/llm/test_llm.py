@@ -176,6 +176,30 @@ def test_main_text_behind_skipped_elements(page):
     assert main_text.main_text(page) == ARTICLE
 
 
+def test_declarations_and_numbers_that_parsers_refuse():
+    menu = "<nav>Home Menu</nav><script>var x=1;</script>"
+    for odd in ("<![foo[ x ]]>", "<![CDATA[ x ]]>", "<![>", "<!x [ y>", "<?z >"):
+        assert main_text.main_text(f"{menu}<article><p>{ARTICLE}</p>{odd}<p>{ARTICLE}</p></article>").count(ARTICLE) == 2
+        assert "Menu" not in main_text.main_text(f"{menu}<article>{ARTICLE}{odd}</article>")
+    assert "Menu" not in main_text.main_text(f"{menu}<p>{ARTICLE}</p><![ a < b")
+    assert main_text.main_text(f"<p>{ARTICLE} &#{'9' * 5000};</p>").startswith(ARTICLE)
+
+
+def test_text_around_a_list_stays_and_a_menu_goes():
+    items = "".join(f"<li>{i} eggs</li>" for i in range(8))
+    plain = " ".join(f"{i} eggs" for i in range(8))
+    links = "".join(f"<li><a href=/{i}>Part {i}</a></li>" for i in range(8))
+    long = " ".join([ARTICLE] * 4)
+    for before, after in (("", ""), ("<article>", "</article>"), ("<div>", "</div>")):
+        page = f"{before}<p>{long}</p><ul>{items}</ul><p>{long}</p>{after}"
+        assert main_text.main_text(page) == f"{long} {plain} {long}"
+        page = f"{before}<p>{long}</p><ul>{links}</ul><p>{long}</p>{after}"
+        got = main_text.main_text(page)
+        assert got.count(long) == 2 and "Part 4" not in got
+    two = f"<main><h1>Head</h1><p>{long}</p></main><article><p>{ARTICLE}</p></article>"
+    assert main_text.main_text(two) == f"Head {long} {ARTICLE}"
+
+
 def test_rules_fit_subdomains_and_the_longest_wins(spark):
     rules = [
         url_rules.Rule("block", "net"), url_rules.Rule("allow", "b.net", "/en/"),
@@ -361,6 +385,20 @@ def test_language_on_held_out_rows(spark, duck):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_every_language_is_learned_from_distinct_texts(spark):
+    copies = spark.range(3000).select("id", F.lit("der gleiche deutsche Satz in allen Zeilen").alias("text"), F.lit("de").alias("lang"))
+    others = spark.range(300).select(
+        "id", F.concat(F.lit("the plain english sentence number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang")
+    )
+    rare = spark.range(300).select("id", F.lit("x y"), F.concat(F.lit("l"), F.col("id").cast("string")))
+    docs = copies.union(others).withColumnRenamed("id", "doc_id").withColumn("key", F.lit("clash")).withColumn("bar", F.lit(1))
+    model = language.train(docs)
+    assert model.languages == ["de", "en"]
+    assert model.predict(["der gleiche deutsche Satz in allen Zeilen"])[0] == ["de"]
+    every = language.train(docs.select("doc_id", "text", "lang").union(rare))
+    assert len(every.languages) == 302
+
+
 def test_quality_on_held_out_rows(spark, duck):
     known = dict(duck.execute("select doc_id, quality from labels where quality is not null").fetchall())
     rows = [r for r in QUERIES["op6_quality"](spark, SF_DIR).collect() if r.held_out and r.doc_id in known]
@@ -434,7 +472,10 @@ LONG = " OR ".join(["GPL-3.0-only"] * 60 + ["MIT"])
 
 @pytest.mark.parametrize("behind, expression, met", [
     ("MIT the quick brown fox", "mit", True), ("MIT -->", "mit", True), ("GPL-2.0-only */ int x;", "gpl-2.0-only", False),
-    ("MIT OR GPL-3.0-only. And more", "mit or gpl-3.0-only", True), ("MIT and then some", "mit and then", False),
+    ("MIT OR GPL-3.0-only. And more", "mit or gpl-3.0-only", True), ("MIT and then some", "mit", True),
+    ("see LICENSE file", None, None), ("MIT with love", "mit", True), ("GPLv2+ or Foo-1.0", "gplv2+", False),
+    ("GPL-2.0-only WITH Classpath-exception-2.0 or X", "gpl-2.0-only with classpath-exception-2.0", False),
+    ("MIT OR Classpath-exception-2.0", "mit", True), ("(MIT) with x", "(mit)", True), ("and MIT", None, None),
     ("(MIT OR ISC) AND Zlib) x", "(mit or isc) and zlib", True), ("MIT OR (ISC", "mit", True), ("MIT AND", "mit", True),
     ("DocumentRef-x:LicenseRef-a_b OR MIT", "documentref-x:licenseref-a_b or mit", True), (LONG, LONG.lower(), True),
     ("MIT\nOR GPL-2.0-only", "mit", True), ("-->", None, None), ("OR MIT", None, None), ("", None, None),
@@ -442,7 +483,21 @@ LONG = " OR ".join(["GPL-3.0-only"] * 60 + ["MIT"])
 def test_tags_within_other_text(behind, expression, met):
     found = licenses.LicenceScanner().scan(f"<!-- SPDX-License-Identifier: {behind}")
     assert found[3:5] == ([expression] if expression else [], met)
-    assert ("mit" in found[2]) == ("mit" in re.split(r"[ (]", expression or ""))
+    assert ("mit" in found[2]) == ("mit" in re.split(r"[ ()]", expression or ""))
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("License: MIT", ["mit"]), ('{"license": "Apache-2.0"}', ["apache"]), ("license = 'BSD-3-Clause'", ["bsd"]),
+    ("@license GPL-3.0-or-later", ["gpl"]), ("sublicense: MIT", []), ("The license: you may read it", []),
+    ("licence: LicenseRef-ours2", ["licenseref-ours2"]), ("license=CC-BY-SA-4.0", ["cc-by-sa"]), ("license: 0BSD", ["0bsd"]),
+    ("License: MITRE", []), ("License: MIT-like", []), ("License:\nMIT", []), ("x" * 200_000 + " license: Zlib", ["zlib"]),
+])
+def test_other_tags(text, labels):
+    assert licenses.LicenceScanner().scan(text)[2] == labels
+
+
+def test_scan_of_no_rows(spark, odd):
+    assert licenses.scan_licences(odd.limit(0)).count() == 0
 
 
 def test_odd_rows_of_the_scan(spark, odd):

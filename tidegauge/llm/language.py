@@ -7,16 +7,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidegauge.llm.arrow import map_texts
 from tidegauge.llm.byte_cnn import WindowClassifier
 
 UNKNOWN = "und"
-#: Rows of a language that training takes, about; and the bytes of each.
+#: Distinct texts of a language that training takes at most, and the characters of each.
 SAMPLE_PER_LANGUAGE = 600
 SAMPLE_CHARS = 1024
-#: Languages that training tells apart: those with most rows.
-MOST_LANGUAGES = 256
+#: Texts that training takes of all languages together, unless that left one with too few.
+SAMPLE_ROWS, LEAST_PER_LANGUAGE = 60_000, 20
+#: How often a text of a language with few texts counts at most.
+MOST_TIMES = 32
 EPOCHS = 3
 _LETTER = regex.compile(r"\p{L}")
 
@@ -39,37 +42,51 @@ class LanguageModel:
 
 
 def train(frame: DataFrame, rows: Column | None = None) -> LanguageModel:
-    """Learn from a bounded sample of the labelled rows of ``(doc_id, text, lang)``.
+    """Learn every language of the labelled rows of ``(doc_id, text, lang)`` from a bounded sample.
 
-    ``rows`` says which rows may be learned from. Of each of the ``MOST_LANGUAGES`` most frequent
-    languages about ``SAMPLE_PER_LANGUAGE`` rows are taken by a hash of the text, copies once, and
-    of each a stretch of ``SAMPLE_CHARS`` characters. The counts behind the shares cover all rows.
+    ``rows`` says which rows may be learned from. Of each language the ``SAMPLE_PER_LANGUAGE``
+    distinct texts of smallest hash are taken, fewer each beyond ``SAMPLE_ROWS`` in all but never
+    under ``LEAST_PER_LANGUAGE``, and of each text a stretch of ``SAMPLE_CHARS`` characters. The
+    hashes cover all rows; copies count once, however many. No labelled rows give a model without
+    languages; other columns are not looked at.
     """
     usable = frame.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if rows is not None:
         usable = usable.where(rows)
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    shares = {r["lang"]: SAMPLE_PER_LANGUAGE / r["count"] for r in counts.collect()}
-    if not shares:
+    n_languages = usable.select("lang").distinct().count()
+    if not n_languages:
         return LanguageModel([], None)
-    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
+    most = max(LEAST_PER_LANGUAGE, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // n_languages))
+    key = F.xxhash64("text")
+    by_key = Window.partitionBy("lang").orderBy("key")  # cut in each task before it is shuffled
+    bars = (
+        usable.select("lang", key.alias("key")).distinct()
+        .withColumn("place", F.row_number().over(by_key)).where(F.col("place") <= most)
+        .groupBy("lang").agg(F.max("key").alias("bar"))
+        .collect()
+    )
+    largest = frame.sparkSession.createDataFrame(
+        [(r["lang"], r["bar"]) for r in bars], "lang string, bar bigint"
+    )
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
     begin = (1 + F.pmod(F.xxhash64("text", F.lit(1)), room + 1)).cast("int")
-    # a very frequent text passes the draw as a whole or not at all, so it is taken once
     sample = (
-        usable.where(draw < share)
-        .select("lang", F.xxhash64("text").alias("key"), F.substring("text", begin, SAMPLE_CHARS)
-                .alias("part"))
+        usable.select("lang", "text")
+        .join(F.broadcast(largest), "lang")  # a row per language, from the driver
+        .where(key <= F.col("bar"))
+        .select("lang", key.alias("key"), F.substring("text", begin, SAMPLE_CHARS).alias("part"))
         .groupBy("lang", "key").agg(F.min("part").alias("part"))
-        .orderBy("key", "lang")
-        .limit(2 * SAMPLE_PER_LANGUAGE * len(shares))
         .collect()
     )
+    sample.sort(key=lambda r: (r["key"], r["lang"]))
     languages = sorted({r["lang"] for r in sample})
-    if not languages:  # so few rows that the draw took none
-        return LanguageModel([], None)
-    numbers = np.array([languages.index(r["lang"]) for r in sample])
+    number_of = {name: i for i, name in enumerate(languages)}
+    numbers = np.array([number_of[r["lang"]] for r in sample])
+    # languages of few texts weigh as much as others: their texts count several times
+    counts = np.bincount(numbers)
+    times = np.clip(counts.max() // counts, 1, MOST_TIMES)[numbers]
+    sample = [r for r, n in zip(sample, times.tolist(), strict=True) for _ in range(n)]
+    numbers = np.repeat(numbers, times)
     network = WindowClassifier(len(languages))
     return LanguageModel(
         languages, network.fit([r["part"].encode("utf-8", "replace") for r in sample], numbers, EPOCHS)

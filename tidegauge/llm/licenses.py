@@ -39,10 +39,50 @@ NOTICES = {
     "all rights reserved": ("proprietary", 0.5),
 }
 BASE_WEIGHT, TAG_WEIGHT = 0.9, 0.98
-#: The tag that an expression follows, and the next token of one on its line.
-TAG = b"spdx-license-identifier:"
+#: Tags that an expression follows on their line, in lower case, and how surely they state one.
+TAGS = {
+    "spdx-license-identifier:": TAG_WEIGHT,
+    "license:": 0.9,
+    "licence:": 0.9,
+    '"license":': 0.9,
+    "license=": 0.8,
+    "license =": 0.8,
+    "@license": 0.8,
+}
+#: Names that licence identifiers begin with; what may follow one is ruled by ``is_licence``.
+#: Fixed values.
+LICENCE_NAMES = frozenset(
+    "0bsd aal adsl afl agpl amdplpa aml antlr-pd apache apafml apsl artistic barr beerware bittorrent "
+    "blueoak bsd bsl bzip2 caldera catosl cc-by cc-by-nc cc-by-nc-nd cc-by-nc-sa cc-by-nd cc-by-sa "
+    "cc0 cddl cdla-permissive cdla-sharing cecill clartistic cnri-python condor cpal cpl cpol curl "
+    "doc ecl ecos efl elastic entessa epl erlpl etalab eudatagrid eupl eurosym fair frameworx freetype "
+    "fsfap fsful ftl fsl gfdl giftware gl2ps glide gpl hpnd icu ijg imagemagick imatix info-zip intel "
+    "ipa ipl isc jasper jpnic json lal leptonica lgpl lgpllr libpng libtiff liliq-p liliq-r lpl lppl miros "
+    "mit mpich2 mpl ms-pl ms-rl mtll mulanpsl multics naist nasa nbpl ncsa netcdf newsletr ngpl nlod nlpl "
+    "nokia nosl noweb npl nposl ntp oclc odbl odc-by ofl ogl-uk ogtsl oldap openssl oset osl pddl php plexus "
+    "postgresql psf psutils python qhull qpl rpl rpsl rsa-md ruby sax-pd scea sendmail sgi-b simpl "
+    "sissl sleepycat spl sspl sugarcrm tcl tmate unicode unicode-dfs unlicense upl vim vostrom vsl w3c "
+    "watcom wtfpl x11 xerox xfree86 xinetd xnet xpp zed zend zimbra zlib zpl".split()
+)
+#: Parts that may follow a name beside version numbers. Fixed values.
+LICENCE_PARTS = frozenset(
+    "only or later clause clear lbnl patent views uc attribution shortened open mpi modification no "
+    "nuclear license warranty perl cl8 cmu enna feh modern variant festival invariants invariant "
+    "acknowledgement advertising lite doc fsf unmodified tso b c l bugfix libpng au de uk us jp nl at "
+    "igo eu with classpath exception gcc font bison autoconf".split()
+)
+#: Exceptions whose names don't end with ``exception``. Fixed values.
+EXCEPTIONS = frozenset(
+    "linux-syscall-note gpl-cc-1.0 gstreamer-exception-2005 ps-or-pdf-font-exception-20170817 "
+    "universal-foss-exception-1.0 fmt-exception".split()
+)
+#: The next token of an expression on its line, and the quotes that may stand around one.
 _NEXT = re.compile(r"[ \t]*([()]|[a-z0-9.+:_-]+)")
-_LICENCE = re.compile(r"[a-z0-9]")
+_QUOTE = re.compile(r"[ \t]*[\"'`]?")
+_VERSION = re.compile(r"v?[0-9]+(\.[0-9]+)*[a-z]?")
+_ATTACHED = re.compile(r"([a-z]+?)(v?[0-9]+(?:\.[0-9]+)*)")
+_EXCEPTION = re.compile(r"[a-z0-9.-]+-exception(-[0-9]+(\.[0-9]+)*)?")
+_REFERENCE = re.compile(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9._-]+")
 OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 #: A-Z to lower case, other ASCII but digits and a-z to blanks; bytes of other characters stay.
@@ -97,14 +137,37 @@ def parse_expression(text: str) -> list[str]:
     return out + stack[::-1]
 
 
+def is_licence(word: str) -> bool:
+    """Whether a lower-case word names a licence.
+
+    It begins with one of ``LICENCE_NAMES``; version numbers and ``LICENCE_PARTS`` may follow
+    behind hyphens, one number without (``gplv2``), and a plus sign; or it is a ``LicenseRef``.
+    """
+    if _REFERENCE.fullmatch(word):
+        return True
+    parts = word.removesuffix("+").split("-")
+    for size in range(len(parts), 0, -1):
+        name = "-".join(parts[:size])
+        attached = _ATTACHED.fullmatch(name)
+        if name in LICENCE_NAMES or (attached and attached[1] in LICENCE_NAMES):
+            return all(x in LICENCE_PARTS or _VERSION.fullmatch(x) for x in parts[size:])
+    return False
+
+
+def is_exception(word: str) -> bool:
+    """Whether a lower-case word names an exception to a licence."""
+    return word in EXCEPTIONS or bool(_EXCEPTION.fullmatch(word))
+
+
 def leading_expression(text: str, begin: int = 0) -> str:
     """The longest expression that a lower-case text has at a place; empty if there is none.
 
-    Reads no further than it must. A full stop or colon behind a word ends the expression, and
-    so does the next tag.
+    Reads no further than it must: a word that names no licence ends it, or behind ``with`` no
+    exception, and so does a full stop or colon behind a word. A long text costs no more than its
+    expressions.
     """
     at = end = begin
-    depth, operand_next = 0, True
+    depth, operand_next, last = 0, True, ""  # the last token, "licence" for a licence
     while match := _NEXT.match(text, at):
         token, at = match[1], match.end()
         if token == "(":
@@ -118,20 +181,20 @@ def leading_expression(text: str, begin: int = 0) -> str:
             if not depth:
                 end = at
         elif token in OPERATORS:
-            if operand_next:
+            if operand_next or (token == "with" and last != "licence"):
                 break
             operand_next = True
         else:
             word = token.rstrip(".:")
-            if not operand_next or not _LICENCE.match(word) or word in OPERATORS:
-                break
-            if token.startswith(TAG.decode()):
+            if not operand_next or not (is_exception if last == "with" else is_licence)(word):
                 break
             operand_next = False
             if not depth:
                 end = match.start(1) + len(word)
             if word != token:
                 break
+            token = "exception" if last == "with" else "licence"
+        last = token
     return text[begin:end].strip()
 
 
@@ -159,6 +222,8 @@ def evaluate(postfix: list[str], allowed: Callable[[str], bool]) -> tuple[bool,
 
 def family(licence: str) -> str:
     """The label of an identifier: ``gpl-2.0-only`` and ``gpl-3.0+`` are ``gpl``."""
+    if _REFERENCE.fullmatch(licence):
+        return licence
     name = re.sub(r"-?v?\d[\d.]*.*$", "", licence.rstrip("+"))
     return name.removesuffix("-clause").removesuffix("-") or licence
 
@@ -179,14 +244,27 @@ class LicenceScanner:
             self.phrases.add_word(f" {phrase} ", (phrase, label, weight, False))
         self.phrases.make_automaton()
         self.tags = ahocorasick.Automaton()
-        self.tags.add_word(TAG.decode(), len(TAG))
+        for tag, weight in TAGS.items():
+            self.tags.add_word(tag, (len(tag), weight))
         self.tags.make_automaton()
 
-    def expressions(self, text: str) -> list[str]:
-        """The longest expressions right behind identifier tags, on the line of each."""
+    def expressions(self, text: str) -> list[tuple[str, float]]:
+        """The longest expressions right behind tags, on the line of each, and the tags' weights.
+
+        A tag begins where a word may; one that another tag ends with at the same place, as in
+        ``"license":``, is left to the longer one.
+        """
         data = text.encode("utf-8", "replace").translate(_LOWER).decode("latin-1")
-        found = (leading_expression(data, end + 1) for end, _ in self.tags.iter(data))
-        return [expression for expression in found if expression]
+        found, behind = [], -1
+        for end, (size, weight) in self.tags.iter(data):
+            begin = end + 1 - size
+            if end == behind or (begin and data[begin].isalpha() and data[begin - 1].isalnum()):
+                continue
+            behind = end
+            start = _QUOTE.match(data, end + 1).end()
+            if expression := leading_expression(data, start):
+                found.append((expression, weight))
+        return found
 
     def scan(self, text: str | None) -> tuple:
         """``(n_words, places, labels, expressions, met, score)`` of a whole text.
@@ -216,14 +294,14 @@ class LicenceScanner:
                 labels.add(label)
                 doubt *= 1 - weight
         expressions, met = [], None
-        for expression in self.expressions(text):
+        for expression, weight in self.expressions(text):
             fits, named = evaluate(parse_expression(expression), self.allowed)
             expressions.append(expression)
             met = fits and met is not False
             for label in map(family, named):
                 if label not in labels:
                     labels.add(label)
-                    doubt *= 1 - TAG_WEIGHT
+                    doubt *= 1 - weight
         return len(parts), places, sorted(labels), expressions, met, 1 - doubt if labels else 0.0
 
 
@@ -244,7 +322,7 @@ def scan_licences(
     ``places`` and ``place_labels`` list each place of a base phrase by its first word, from 0;
     ``labels`` also holds those of notices and of identifier tags, ``expressions`` the tagged
     expressions, ``met`` whether all of them can be met with ``allowed`` licences. Null and empty
-    texts have no words, no labels and score 0. Repeated rows each give their row; other columns
+    texts have no words, no labels and score 0; a very long text is read as a whole. Repeated rows each give their row; other columns
     are left behind, whatever their names.
     """
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import html
 import re
 from collections import Counter
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -60,17 +60,20 @@ IN_HEAD = frozenset(
     "base basefont bgsound link meta noscript script style template title".split()
 )
 #: Standard deviation of the smoothing in lines; the share of the mean that a line of content
-#: reaches; the lines below it that a region may bridge.
+#: reaches; the lines below it in a row that stay in the text even if they are links.
 SIGMA = 1.5
 SHARE = 0.5
 GAP = 3
 _WORD = re.compile(r"[a-z]+")
+#: A character number of more digits than Python reads.
+_LONG_NUMBER = re.compile(r"&#[0-9]{4000,};?")
 
 
 @dataclass
 class Line:
     text: str
     tags: int
+    linked: int  # characters within links
     container: int  # 0: outside of any
     sides: tuple[int, ...]  # elements around it that may be beside the main text
 
@@ -82,7 +85,8 @@ class PageLines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self._parts: list[str] = []
-        self._tags = 0
+        self._tags = self._linked = 0
+        self._in_link = False
         self._open: list[str] = []  # blocks and what is skipped or may be
         self._counts: Counter[str] = Counter()  # of the open ones
         self._skip: int | None = None  # place of the skipped element among the open ones
@@ -102,8 +106,9 @@ class PageLines(HTMLParser):
         if text:
             container = self._containers[0] if self._containers else 0
             sides = tuple(number for _, number in self._sides)
-            self.lines.append(Line(text, self._tags, container, sides))
-        self._tags = 0
+            self.lines.append(Line(text, self._tags, self._linked, container, sides))
+        self._tags = self._linked = 0
+        self._in_link = False  # a link that is never closed ends with its line
         self._parts.clear()
 
     def _close(self, size: int) -> None:
@@ -153,6 +158,8 @@ class PageLines(HTMLParser):
         elif any(self._open[at] == tag for at, _ in self._sides):
             self._push(tag)
         self._tags += 1
+        if tag == "a":
+            self._in_link = True
 
     def _push(self, tag: str) -> None:
         if tag not in VOID:
@@ -179,6 +186,8 @@ class PageLines(HTMLParser):
         if inside:
             return
         self._tags += 1
+        if tag == "a":
+            self._in_link = False
         if tag in BLOCKS:
             self._line()
             if tag in CONTAINERS and self._containers:
@@ -187,6 +196,13 @@ class PageLines(HTMLParser):
     def handle_data(self, data):
         if self._skip is None:
             self._parts.append(data)
+            if self._in_link:
+                self._linked += len(data)
+
+    def parse_marked_section(self, i, report=1):
+        """Step over ``<![...>`` like a comment, as HTML does, whatever it holds."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
 
     def main_lines(self) -> list[Line]:
         """The lines but those of elements beside that hold no container and not most of the text."""
@@ -229,9 +245,10 @@ def main_text(page: str | None) -> str:
     """The lines of the content regions, joined by one space; empty if there are none.
 
     Lines count their characters per tag. Where the smoothed ratio reaches a share of the page's
-    mean, lines form regions, over gaps of up to ``GAP`` lines. If regions lie in an article or
-    main element, the whole of the element that holds most of them is the text, short headings
-    too; otherwise the largest region is.
+    mean, a line is of the content cluster. If any such lines lie in article or main elements, the
+    text is that of all elements that hold some; otherwise it reaches from the first to the last
+    line of the cluster. More than ``GAP`` lines in a row outside of the cluster, most of whose
+    characters are links, are left out: a menu within the text. Other lists and headings stay.
     """
     if not page:
         return ""
@@ -239,28 +256,26 @@ def main_text(page: str | None) -> str:
     if cut_off > page.rfind(">") and re.match(r"<[A-Za-z/!?]|<$", page[cut_off : cut_off + 2]):
         page = page[:cut_off]  # the page ends within a tag
     parser = PageLines()
-    try:
-        parser.feed(page)
-        lines = parser.finish()
-    except (AssertionError, ValueError):  # a declaration the parser gives up on
-        return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", page)).split())
+    parser.feed(_LONG_NUMBER.sub("\ufffd", page))
+    lines = parser.finish()
     if not lines:
         return ""
     sizes = np.array([len(x.text) for x in lines], float)
     ratio = smoothed(sizes / np.maximum(1, [x.tags for x in lines]))
     content = ratio >= SHARE * ratio.mean()
-    held: dict[int, float] = {}
-    for line, size, inside in zip(lines, sizes, content, strict=True):
-        if inside:
-            held[line.container] = held.get(line.container, 0.0) + size
-    articles = {k: v for k, v in held.items() if k}
-    if articles:
-        best = max(articles, key=lambda k: (articles[k], -k))
-        return " ".join(x.text for x in lines if x.container == best)
     at = np.flatnonzero(content)
-    regions = np.split(at, np.flatnonzero(np.diff(at) > GAP + 1) + 1)
-    best = max(regions, key=lambda r: sizes[r[0] : r[-1] + 1].sum())
-    return " ".join(x.text for x in lines[best[0] : best[-1] + 1])
+    holders = {lines[i].container for i in at.tolist()} - {0}
+    if holders:
+        chosen = [i for i, x in enumerate(lines) if x.container in holders]
+    else:
+        chosen = range(int(at[0]), int(at[-1]) + 1)
+    kept: list[Line] = []
+    for in_cluster, run in groupby(chosen, key=lambda i: bool(content[i])):
+        some = [lines[i] for i in run]
+        menu = 2 * sum(x.linked for x in some) > sum(len(x.text) for x in some)
+        if in_cluster or len(some) <= GAP or not menu:
+            kept += some
+    return " ".join(x.text for x in kept)
 
 
 def extract_main_text(
