@@ -14,18 +14,25 @@ from tidegauge.llm.arrow import table
 from tidegauge.llm.queries import PATTERN, RANKS, fold
 from tidegauge.session import shared_dir
 
-#: The least probability with which a language counts as identified.
-LEAST_LANGUAGE_SCORE = 0.3
+#: How many times likelier than by chance the language of an identified document is at least.
+TIMES_CHANCE = 1.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those of no identifiable language."""
+    """Drops documents without letters and those of no identifiable language.
+
+    Null and empty texts go; repeated rows stay; no rows, or none that is labelled, give no rows.
+    """
     model = language.train(docs, fold("doc_id", 3) != 1)
-    return language.keep_identified(docs, model, LEAST_LANGUAGE_SCORE)
+    least = TIMES_CHANCE / max(2, len(model.languages))
+    return language.keep_identified(docs, model, least)
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of low quality; learns from the labels of the documents that are left."""
+    """Drops documents of low quality; learns from the labels of the documents that are left.
+
+    Repeated rows share their fate; no labels leave the model's score without any to decide.
+    """
     labels = table(spark, sf_dir, "labels")
     return quality.keep_good(docs, quality.train(docs, labels, fold("doc_id", 5) != 0))
 
