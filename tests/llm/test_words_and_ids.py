@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -161,7 +162,11 @@ def test_joined_words_are_encoded_as_in_their_texts():
     for at in range(0, len(texts), 500):
         some = texts[at : at + 500]
         mine = [np.frombuffer(c, "<u4").tolist() for c in cache.encode(some)]
-        assert mine == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        theirs = [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert mine == theirs
+        ids, lengths = cache.encode_column(pa.array(["left out", *some, None]).slice(1))
+        assert ids.tolist() == [i for t in theirs for i in t] and lengths.tolist() == [*map(len, theirs), 0]
+    assert [len(x) for x in cache.encode_column(pa.array([], pa.string()))] == [0, 0]
 
 
 def expected_files(frame, end=2):

@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -43,7 +44,7 @@ FILE_BLOCKS = 128
 KEPT_WORDS = 700_000
 KEPT_LENGTH = 64
 #: Words that are encoded as one text.
-JOINED_WORDS = 10_000
+JOINED_WORDS = 200
 
 _HEAD, _HEAD_SIZE = "<4sIQQQ", 32
 _BLOCK, _MARK = b"S8BK", b"S8B1"
@@ -51,6 +52,10 @@ _BLOCK, _MARK = b"S8BK", b"S8B1"
 _BLANK = "\u0120"
 _PART = r"part-(\d+)-"
 _SPACE_BEFORE_BLANK = re.compile(r"\s ")
+#: The same for Arrow, whose ``\\s`` is white space of ASCII only.
+_ANY_SPACE_BEFORE_BLANK = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+)
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -78,24 +83,64 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.ids) > KEPT_WORDS:
-            self.ids.clear()
-        known = self.ids
         split = [self.words(text) for text in texts]
         heads = [words.pop(0) for words in split]
-        new = list(set().union(*split).difference(known))
+        words = list(set().union(*split))
+        known, coded = dict(zip(words, self._coded(words), strict=True)), self._each(heads)
+        return [a + b"".join(map(known.__getitem__, w)) for a, w in zip(coded, split, strict=True)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty) in a row, and how many each has.
+
+        Arrow splits the texts and numbers their words, so that a word is looked up once; ids are
+        then gathered by number. A text that may not be cut at each blank is encoded by itself.
+        """
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, _ANY_SPACE_BEFORE_BLANK)
+        lists = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        first, pieces = offsets[:-1] - offsets[0], lists.flatten()
+        behind = np.ones(len(pieces), bool)
+        behind[first] = False
+        numbered = pieces.filter(pa.array(behind)).dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads = self._each(pieces.take(first).to_pylist())
+        coded = self._coded(words)
+        at = np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
+        for i, ids in zip(at, self.encode(texts.take(at).to_pylist()) if at else [], strict=True):
+            heads[i] = ids
+        number = np.empty(len(pieces), np.int64)
+        number[behind] = numbered.indices.to_numpy()
+        number[first] = len(coded) + np.arange(len(first))
+        coded += heads
+        raw = np.frombuffer(b"".join(coded), "<u4")
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        n = size[number]
+        shift = (np.cumsum(size) - size)[number] - (np.cumsum(n) - n)
+        places = np.repeat(shift, n)
+        places += np.arange(len(places))
+        return raw[places], np.add.reduceat(n, first)
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words with a blank before each; those not met before are kept."""
+        known = self.ids
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        coded = list(map(known.get, words))
+        missed = [i for i, ids in enumerate(coded) if ids is None]
         # a word with blanks of its own, or a long one that isn't kept, is encoded by itself
-        odd = [w for w in new if " " in w or len(w) > KEPT_LENGTH]
-        plain = list(set(new).difference(odd)) if odd else new
-        known.update(zip(odd, self._each([f" {w}" for w in odd]), strict=True))
+        odd = [i for i in missed if len(words[i]) > KEPT_LENGTH or " " in words[i]]
+        for i, ids in zip(odd, self._each([f" {words[i]}" for i in odd]), strict=True):
+            coded[i] = ids
+        plain = [i for i in missed if coded[i] is None] if odd else missed
         for at in range(0, len(plain), JOINED_WORDS):
-            some = plain[at : at + JOINED_WORDS]
-            known.update(zip(some, self._joined(some), strict=True))
-        coded = self._each(heads)
-        out = [a + b"".join(map(known.__getitem__, w)) for a, w in zip(coded, split, strict=True)]
-        for word in odd:
-            del known[word]
-        return out
+            places = plain[at : at + JOINED_WORDS]
+            some = [words[i] for i in places]
+            for i, word, ids in zip(places, some, self._joined(some), strict=True):
+                coded[i] = known[word] = ids
+        return coded
 
     def _joined(self, words: list[str]) -> list[bytes]:
         """The ids of each word with a blank before it."""
@@ -180,7 +225,6 @@ def write_token_files(
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer)
-    end = b"" if end_id is None else struct.pack("<I", end_id)
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")
     )
@@ -198,10 +242,11 @@ def write_token_files(
 
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                coded = [ids + end for ids in cache.encode(texts)]
-                lengths = np.array([len(ids) // 4 for ids in coded], np.int64)
-                words, n_words, n_escapes = pack(np.frombuffer(b"".join(coded), "<u4"), lengths)
+                coded, lengths = cache.encode_column(part.column(1))
+                if end_id is not None:
+                    coded = np.insert(coded, np.cumsum(lengths), end_id)
+                    lengths = lengths + 1
+                words, n_words, n_escapes = pack(coded, lengths)
                 yield from map(
                     record, made.add(part.column(0).to_pylist(), lengths, n_words, n_escapes, words)
                 )
