@@ -41,7 +41,7 @@ from tidegauge.llm.simple8b import pack, unpack
 BLOCK_WORDS = 65_536
 FILE_BLOCKS = 128
 #: Words of text kept with their ids by a Python worker, and the longest one kept.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 600_000
 KEPT_LENGTH = 64
 #: Words that are encoded as one text.
 JOINED_WORDS = 200
@@ -250,6 +250,7 @@ def write_token_files(
                 yield from map(
                     record, made.add(part.column(0).to_pylist(), lengths, n_words, n_escapes, words)
                 )
+            pa.default_memory_pool().release_unused()
         if made.held:
             yield record(made.close())
 
@@ -272,19 +273,19 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _each_block(content: bytes) -> Iterator[tuple[int, tuple[int, int, int, int]]]:
+def _each_block(content: pa.Buffer) -> Iterator[tuple[int, tuple[int, int, int, int]]]:
     """Places of the blocks of a file, with documents, words, ids and first position."""
     at = 0
-    while at < len(content):
+    while at < content.size:
         magic, *sizes = struct.unpack_from(_HEAD, content, at)
         end = at + _HEAD_SIZE + 33 * sizes[0] + 8 * sizes[1]
-        if magic != _BLOCK or content[end : end + len(_MARK)] != _MARK:
+        if magic != _BLOCK or content.slice(end, len(_MARK)).to_pybytes() != _MARK:
             raise ValueError(f"no block at byte {at}")
         yield at, tuple(sizes)
         at = end + len(_MARK)
 
 
-def _ids_of(content: bytes, at: int, n: int) -> list[int | None]:
+def _ids_of(content: pa.Buffer, at: int, n: int) -> list[int | None]:
     ids = np.frombuffer(content, "<i8", n, at + _HEAD_SIZE).tolist()
     valid = np.frombuffer(content, "u1", n, at + _HEAD_SIZE + 8 * n).tolist()
     return [i if v else None for i, v in zip(ids, valid, strict=True)]
@@ -301,7 +302,9 @@ def _block_heads(spark: SparkSession, path: str) -> DataFrame:
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for part, file, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            parts, files = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for part, file, value in zip(parts, files, batch.column(2), strict=True):
+                content = value.as_buffer()  # not copied
                 for at, (n, _, n_ids, start) in _each_block(content):
                     known = [i for i in _ids_of(content, at, n) if i is not None]
                     rows.append((
@@ -333,7 +336,8 @@ def read_token_files(spark: SparkSession, path: str, id_column: str = "doc_id")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, value in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                content = value.as_buffer()  # not copied
                 for at, (n, n_words, _, start) in _each_block(content):
                     table = at + _HEAD_SIZE + 9 * n
                     sizes = np.frombuffer(content, "<u8", 3 * n, table).astype(np.int64)
