@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,13 @@ from tidegauge import operators as op
 from tidegauge.functions import to_millis
 from tidegauge.plans import tables as t
 from tidegauge.plans.flow import Flow, build_flow
-from tidegauge.plans.registry import EVENT_FILTER, START, registered
+from tidegauge.plans.registry import (
+    _DELTA, _GRID, _GRID_END, _GRID_START, EVENT_FILTER, START, registered,
+)
 from tidegauge.plans.spec import FlowSpec, InputSpec, OutputSpec
 from tidegauge.session import shared_dir
 from tidegauge.sources import PulledPages, land_pages, read_pages, register_paged_pull
-from tidegauge.streaming import run_available
+from tidegauge.streaming import live_grid, live_rates, run_available
 
 
 def _log_input(stream_key: str) -> InputSpec:
@@ -232,3 +235,62 @@ def poll_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, 60_000).otherwise(24_000).alias("step_ms"),
     )
     return op.poll_times(inputs, _POLL_NOW, _POLL_NOW + 90_000)
+
+
+_LATENESS_MS = 3_600_000
+# the watermark of the last batch, in whole milliseconds
+_PASSED = f"""
+  passed AS (SELECT (max(epoch_us(ts)) - 1) // 1000 - {_LATENESS_MS} AS bar FROM events)
+"""
+
+
+def _over_two_runs(
+    spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """What a stream of the events as counters gives on the grid, stopped after half of the month
+    and started again from its checkpoint."""
+    base = shared_dir(spark, "live_series")
+    events = t.table(spark, sf_dir, "events")
+    half = F.timestamp_millis(F.lit((_GRID_START + _GRID_END) // 2))
+    for part in (F.col("ts") < half, F.col("ts") >= half):
+        samples = t.user_series(events.where(part))
+        samples.write.mode("append").parquet(f"{base}/samples")
+        stream = spark.readStream.schema(samples.schema).parquet(f"{base}/samples")
+        writer = build(stream).writeStream.format("parquet").option("path", f"{base}/grid")
+        writer = writer.option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+        run_available(writer.trigger(availableNow=True))
+    grid = spark.read.parquet(f"{base}/grid").select(
+        "organization_id", to_millis(F.col("event_ts")).alias("event_ms"), "value"
+    )
+    return grid.where(F.col("event_ms").between(_GRID_START, _GRID_END))
+
+
+@registered(f"""
+WITH {_DELTA}, {_GRID}, {_PASSED}
+SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.moment) // 1000 AS event_ms,
+       round((sum(delta) - arg_min(delta, d.ts)) / 259200.0, 9) AS value
+FROM g JOIN d ON g.user_id = d.user_id AND d.ts <= g.moment AND d.ts > g.moment - INTERVAL 3 DAY
+WHERE epoch_us(g.moment) // 1000 <= (SELECT bar FROM passed)
+GROUP BY g.user_id, g.moment HAVING count(*) > 1
+""")
+def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate of live counters over three days on a six hour grid, over a restart."""
+    rates = _over_two_runs(
+        spark, sf_dir,
+        lambda s: live_rates(s, 21_600_000, 3 * 86_400_000, f"{_LATENESS_MS} milliseconds", _GRID_START),
+    )
+    return rates.withColumn("value", F.round("value", 9))
+
+
+@registered(f"""
+WITH {_GRID}, {_PASSED}
+SELECT CAST(g.user_id AS VARCHAR) AS organization_id, epoch_us(g.moment) // 1000 AS event_ms, e.value AS value
+FROM g ASOF JOIN events e ON g.user_id = e.user_id AND g.moment >= e.ts
+WHERE e.ts > g.moment - INTERVAL 24 HOUR AND epoch_us(g.moment) // 1000 <= (SELECT bar FROM passed)
+""")
+def stream_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live series on a six hour grid with a day of lookback, over a restart."""
+    return _over_two_runs(
+        spark, sf_dir,
+        lambda s: live_grid(s, 21_600_000, f"{_LATENESS_MS} milliseconds", 86_400_000, _GRID_START),
+    )

@@ -12,6 +12,8 @@ from tidegauge.files import Files
 from tidegauge.operators.deliver import ATTEMPTS, print_events, send_requests, write_table
 from tidegauge.operators.payload import BATCH_SECONDS, BATCH_SIZE, to_payload
 from tidegauge.plans.spec import CATCH_UP_WAIT_MS, STEP_MS
+from tidegauge.streaming.grids import live_grid as live_grid
+from tidegauge.streaming.grids import live_rates as live_rates
 
 
 def poll_trigger(kind: str | None = None) -> dict[str, str]:
