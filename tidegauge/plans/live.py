@@ -45,10 +45,10 @@ FROM events
 """
 
 
-@registered(_EACH_EVENT.format(stream="CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END"))
-def pulled_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two inputs that pull the events table by time ranges, each fetching its own, delivered to
-    a table."""
+def _pulled_flow(
+    spark: SparkSession, sf_dir: str, purpose: str, streaming: bool = False, **options: str
+) -> tuple[Flow, str]:
+    """A flow of two inputs that pull the events table by time ranges, and its base folder."""
     path = f"{sf_dir}/events.parquet"
 
     def fetch(input_key: str, start_ms: int, end_ms: int):
@@ -81,14 +81,34 @@ def pulled_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"stream_key": k, "provider": "cloudwatch", "kind": "logs", "start_from": first}
         for k in ("even", "odd")
     ]
-    options = {"inputs": json.dumps(inputs), "now_ms": str(last + 1), "ranges_per_task": "64"}
-    out = OutputSpec("table", path=shared_dir(spark, "pulled"))
+    options = {"inputs": json.dumps(inputs), "now_ms": str(last + 1), "ranges_per_task": "64"} | options
+    base = shared_dir(spark, purpose)
     flow = build_flow(
-        spark, FlowSpec([_log_input("even"), _log_input("odd")], out),
-        PulledPages(spark, options, "events_by_time"),
-    )
+        spark,
+        FlowSpec([_log_input("even"), _log_input("odd")], OutputSpec("table", path=f"{base}/events")),
+        PulledPages(spark, options, "events_by_time", streaming),
+    )
+    return flow, base
+
+
+_EVEN_AND_ODD = _EACH_EVENT.format(stream="CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END")
+
+
+@registered(_EVEN_AND_ODD)
+def pulled_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two inputs that pull the events table by time ranges, each fetching its own, delivered to
+    a table."""
+    flow, base = _pulled_flow(spark, sf_dir, "pulled")
     flow.deliver("run-1")
-    return _keyed(op.read_delivered(spark, out.path))
+    return _keyed(op.read_delivered(spark, f"{base}/events"))
+
+
+@registered(_EVEN_AND_ODD)
+def limited_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream that plans at most 600 ranges a batch, run until it has caught up."""
+    flow, base = _pulled_flow(spark, sf_dir, "limited", streaming=True, max_ranges_per_trigger="600")
+    run_available(flow.stream(f"{base}/checkpoint", available_now=True))
+    return _keyed(op.read_delivered(spark, f"{base}/events"))
 
 
 @registered(_EACH_EVENT.format(stream="'app_logs'"))

@@ -1212,5 +1212,5 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(op.read_delivered(spark, f"{base}/events"))
 
 
-# queries of live flows register themselves
-from tidegauge.plans import live  # noqa: E402, F401
+# further queries register themselves
+from tidegauge.plans import live, routes  # noqa: E402, F401

@@ -97,11 +97,9 @@ def run_available(writer: DataStreamWriter, timeout_s: int | None = None) -> Str
 
 def _lags(query: StreamingQuery) -> bool:
     progress = query.lastProgress
-    for source in progress["sources"] if progress else []:
-        try:
-            offset = json.loads(source["endOffset"] or "null")
-        except (TypeError, ValueError):
-            offset = source["endOffset"]
+    # by the progress as JSON: its Python form shows an offset as Python's text of it
+    for source in json.loads(progress.json)["sources"] if progress else []:
+        offset = source["endOffset"]
         if isinstance(offset, dict) and "heads" in offset:
             if any(head < offset["now"] for head in offset["heads"].values()):
                 return True
