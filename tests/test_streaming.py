@@ -141,13 +141,13 @@ def test_pulled_batch_tiles_the_time(spark):
     assert pulled.rdd.getNumPartitions() == len(ranges)
 
 
-@pytest.mark.parametrize("limit", [None, "3"])
-def test_pulled_stream_resumes_from_its_checkpoint(spark, tmp_path, limit):
+@pytest.mark.parametrize("limit,per_task", [(None, 1), ("1", 2), ("3", 2)])
+def test_pulled_stream_resumes_from_its_checkpoint(spark, tmp_path, limit, per_task):
     register_paged_pull(spark, fetch)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
 
     def run(now):
-        options = {"inputs": json.dumps(INPUTS), "now_ms": str(now)}
+        options = {"inputs": json.dumps(INPUTS), "now_ms": str(now), "ranges_per_task": str(per_task)}
         if limit:
             options["max_ranges_per_trigger"] = limit
         pulled = read_ranges(spark, streaming=True, **options)

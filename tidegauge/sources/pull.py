@@ -69,7 +69,7 @@ class _Inputs:
 
     ``only`` cuts it down to inputs by a JSON object of column and value, and ``from_ms`` and
     ``until_ms`` a batch to the ranges that start within; nothing else is fetched.
-    ``ranges_per_task`` lets a task of a batch fetch several ranges, where a long lag would
+    ``ranges_per_task`` lets a task fetch several ranges of an input, where a long lag would
     otherwise start very many short tasks.
     """
 
@@ -217,19 +217,22 @@ class _StreamReader(DataSourceStreamReader):
             heads[name] = at
         return {"heads": heads, "now": now}
 
-    def partitions(self, start: dict, end: dict) -> list[TimeRange]:
+    def partitions(self, start: dict, end: dict) -> list[TimeRange | TimeRanges]:
         self.reached = dict(end["heads"])
-        return [
-            part
-            for name, row in self.inputs.named()
-            if name in end["heads"]
-            for part in self.inputs.ranges(
-                row, start["heads"].get(name, row["start_from"]), end["heads"][name], end["now"]
-            )
-        ]
-
-    def read(self, partition: TimeRange) -> Iterator[tuple]:
-        return _read(self.fetch, partition)
+        size, tasks = self.inputs.per_task, []
+        for name, row in self.inputs.named():
+            if name not in end["heads"]:
+                continue
+            since = start["heads"].get(name, row["start_from"])
+            ranges = list(self.inputs.ranges(row, since, end["heads"][name], end["now"]))
+            if size > 1:
+                ranges = [TimeRanges(ranges[at : at + size]) for at in range(0, len(ranges), size)]
+            tasks += ranges
+        return tasks
+
+    def read(self, partition: TimeRange | TimeRanges) -> Iterator[tuple]:
+        for part in partition.ranges if isinstance(partition, TimeRanges) else [partition]:
+            yield from _read(self.fetch, part)
 
     def commit(self, end: dict) -> None:
         self.reached = dict(end["heads"])
