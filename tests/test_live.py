@@ -146,6 +146,21 @@ def test_each_input_is_polled_in_its_own_time():
     assert len(seen["far"]) > 20
 
 
+def test_polls_of_a_small_table_are_made_by_all_tasks(spark):
+    begin, until = 10 * HOUR, 10 * HOUR + 400_000
+    lags = [-5_000, 0, 30_000, 84_001, HOUR, HOUR + 108_001, 3 * HOUR, 10 * HOUR]
+    steps = [2_500, 24_000, 60_000, 2 * HOUR]
+    rows = [(f"{g}-{s}", begin - g, s) for g in lags for s in steps] * 2
+    rows += [("no offset", None, 24_000), ("no step", begin - 7, None)]
+    inputs = spark.createDataFrame(rows, "stream_key string, offset_ms bigint, step_ms bigint")
+    found = op.poll_times(inputs.coalesce(1), begin, until)
+    expected = Counter({("no step", begin, begin - 7, begin): 1})
+    for key, at, step in rows[:-2]:
+        expected.update((key, *p) for p in reference_polls(at, step, begin, until))
+    assert Counter(map(tuple, found.collect())) == expected
+    assert found.select(F.spark_partition_id()).distinct().count() == 4
+
+
 def test_adaptive_stream_resumes(spark, counted, tmp_path):
     options, fetched = counted
     spec = flow_spec(tmp_path, "a", "b", "c")

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.functions import resolve_org_filter
 from tidegauge.operators.numbering import number_rows
 from tidegauge.plans.spec import CATCH_UP_MS, CATCH_UP_WAIT_MS, LAG_BUFFER_MS
 
+#: What offsets and steps stay below, so that no sum of them overflows.
+_FAR_MS = 1 << 61
+
 
 def plan_ranges(
     offsets: DataFrame,
@@ -73,37 +82,46 @@ def poll_times(inputs: DataFrame, now_ms: int, until_ms: int) -> DataFrame:
     else a step. It waits shortly while it lags by more than a step and a buffer afterwards, else
     a step; with nothing to fetch it waits a step. Polls before ``until_ms`` are listed, so the
     length of that span bounds the rows of an input.
+
+    A small table of inputs gives many polls, so it is dealt to all tasks first. A task makes the
+    polls of a batch of inputs round by round and lets go of them.
     """
-    state = "struct<at:bigint,wake:bigint,polls:array<struct<wake:bigint,start:bigint,end:bigint>>>"
+    key = inputs.schema["stream_key"].dataType
+    schema = T.StructType([T.StructField("stream_key", key)])
+    for name in ("wake_ms", "start_ms", "end_ms"):
+        schema.add(name, T.LongType())
     rounds = max(0, -(-(until_ms - now_ms) // CATCH_UP_WAIT_MS))
-    step = F.col("step_ms").cast("bigint")
-    start = F.struct(
-        F.col("offset_ms").cast("bigint").alias("at"),
-        F.lit(now_ms).cast("bigint").alias("wake"),
-        F.array().cast("array<struct<wake:bigint,start:bigint,end:bigint>>").alias("polls"),
-    )
-
-    def poll(seen: Column, _: Column) -> Column:
-        at, wake = seen["at"], seen["wake"]
-        width = F.when(wake - at > CATCH_UP_MS, F.lit(CATCH_UP_MS)).otherwise(step)
-        head = F.least(at + width, wake)
-        fetched = (head > at) & (wake < until_ms)
-        waits = F.when(
-            fetched & (wake - head > step + LAG_BUFFER_MS), F.lit(CATCH_UP_WAIT_MS)
-        ).otherwise(step)
-        polled = F.array(F.struct(wake.alias("wake"), at.alias("start"), head.alias("end")))
-        return F.struct(
-            F.when(fetched, head).otherwise(at).alias("at"),
-            (wake + waits).alias("wake"),
-            F.when(fetched, F.concat(seen["polls"], polled)).otherwise(seen["polls"]).alias("polls"),
-        ).cast(state)
-
-    polls = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start.cast(state), poll)["polls"]
-    if not rounds:
-        polls = start["polls"]
-    return inputs.select("stream_key", F.inline(polls)).toDF(
-        "stream_key", "wake_ms", "start_ms", "end_ms"
+    names = schema.names
+
+    def polls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, offsets, steps = batch.columns
+            at = offsets.to_numpy(zero_copy_only=False)
+            step = pc.fill_null(steps, 0).to_numpy(zero_copy_only=False)
+            if max(abs(at.min()), abs(at.max()), abs(step.min()), abs(step.max())) > _FAR_MS:
+                raise OverflowError("an offset or step is too far off for a time in milliseconds")
+            stepless = steps.is_null().to_numpy(zero_copy_only=False)
+            wake = np.full(len(at), now_ms, np.int64)
+            for turn in range(rounds):
+                head = np.minimum(at + np.where(wake - at > CATCH_UP_MS, CATCH_UP_MS, step), wake)
+                if not turn:
+                    # without a step an input is polled once, for a window or for all there is
+                    head = np.where(stepless & (wake - at <= CATCH_UP_MS), wake, head)
+                fetched = (head > at) & (wake < until_ms) & ~(stepless & (turn > 0))
+                if fetched.any():
+                    columns = [keys, *map(pa.array, (wake, at, head))]
+                    yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(fetched))
+                short = fetched & (wake - head > step + LAG_BUFFER_MS)
+                at = np.where(fetched, head, at)
+                wake = wake + np.where(short, CATCH_UP_WAIT_MS, step)
+
+    rows = inputs.where("offset_ms IS NOT NULL").select(
+        "stream_key", F.col("offset_ms").cast("bigint"), F.col("step_ms").cast("bigint")
     )
+    tasks = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks).mapInArrow(polls, schema)
 
 
 def current_offsets(log: DataFrame) -> DataFrame:
