@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge import operators as op
 from tidegauge.operators.delivered import Delivered
-from tidegauge.plans.flow import build_flow
+from tidegauge.plans.flow import _mark_late, build_flow
 from tidegauge.plans.spec import (
     FlowSpec, InputSpec, LogField, LogFilter, OffsetSpec, OutputSpec,
 )
@@ -286,3 +286,32 @@ def test_late_rows_need_a_place(spark, tmp_path):
     flow = build_flow(spark, flow_spec(tmp_path, "app"), read_pages(spark, str(folder)))
     with pytest.raises(ValueError, match="quarantine"):
         flow.deliver("r1", lateness="1 hour")
+
+
+def test_late_rows_of_one_stream_spread_over_tasks(spark):
+    # the settings of large bars: no join is broadcast by its size, no partitions are merged
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    rows = spark.range(1_000).selectExpr(
+        "if(id < 999, 'app', 'web') AS stream_key", "CAST(id AS string) AS idempotency_key",
+        "timestamp_seconds(id * 60) AS event_ts", "CAST(NULL AS string) AS reject_reason",
+    )
+    maxima = spark.range(9).selectExpr(
+        "if(id < 9, 'app', 'web') AS stream_key", "timestamp_seconds(36000 - id) AS event_ts"
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = op.dedupe_events(_mark_late(rows, maxima, "1 hour"))
+        found = found.withColumn("place", F.spark_partition_id()).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    places = Counter(r.place for r in found)
+    assert len(places) == 4 and max(places.values()) < 400
+    # the other stream has no bar
+    assert Counter(r.reject_reason for r in found) == {"late": 540, None: 460}

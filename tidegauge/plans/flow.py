@@ -208,12 +208,17 @@ class Flow:
 
 
 def _mark_late(rows: DataFrame, maxima: DataFrame, lateness: str) -> DataFrame:
-    """Rows with ``late`` as the reason of accepted ones behind their stream's bar."""
+    """Rows with ``late`` as the reason of accepted ones behind their stream's bar.
+
+    The bars, one row per stream, are broadcast: a join by stream would put all rows of a stream
+    into one task, and so would the steps behind it, as rows that lie together by stream also do
+    by event.
+    """
     bars = maxima.groupBy(F.col("stream_key").alias("_stream")).agg(
         (F.max("event_ts") - F.expr(f"interval {lateness}")).alias("_bar")
     )
     late = F.col(REJECT).isNull() & (F.col("event_ts") < F.col("_bar"))
-    marked = rows.join(bars, F.col("stream_key") == F.col("_stream"), "left")
+    marked = rows.join(F.broadcast(bars), F.col("stream_key") == F.col("_stream"), "left")
     return marked.withColumn(REJECT, F.when(late, LATE).otherwise(F.col(REJECT))).drop("_stream", "_bar")
 
 
