@@ -15,6 +15,8 @@ ESCAPE = 15
 #: Integers that are packed at a time.
 PIECE = 16_384
 _POWERS = np.uint64(1) << np.arange(61, dtype=np.uint64)
+#: Bits of the integers that most vocabularies stay below.
+_SMALL_BITS = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.int8)
 _SHIFT = np.uint64(60)
 _PAYLOAD = (np.uint64(1) << _SHIFT) - np.uint64(1)
 #: Integers in a word, by selector.
@@ -27,13 +29,14 @@ def pack(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     No word spans two runs; the escapes of a run stand behind its words and count as words. Every
     word takes as many integers as one selector can hold. A run may be empty and then has no word.
     """
-    values, lengths = np.asarray(values, np.uint64), np.asarray(lengths, np.int64)
+    values, lengths = np.asarray(values), np.asarray(lengths, np.int64)
     ends = np.cumsum(lengths)
     parts, run, at = [], 0, 0
     while run < len(ends):
         # pieces of whole runs that stay in the processor's cache
         to = max(run + 1, int(np.searchsorted(ends, at + PIECE, side="right")))
-        parts.append(_pack(values[at : ends[to - 1]], lengths[run:to]))
+        some = np.asarray(values[at : ends[to - 1]], np.uint64)
+        parts.append(_pack(some, lengths[run:to]))
         run, at = to, int(ends[to - 1])
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -48,7 +51,10 @@ def _pack(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.zeros(0, np.uint64), none, none
     # the widest integer among the next k of a run; its end counts as no bits at all
     left = np.minimum(np.repeat(ends, lengths) - np.arange(size), 60).astype(np.int8)
-    bits = np.searchsorted(_POWERS, values, side="right").astype(np.int8)
+    if values.max() < len(_SMALL_BITS):
+        bits = _SMALL_BITS[values]
+    else:
+        bits = np.searchsorted(_POWERS, values, side="right").astype(np.int8)
     widest = bits.copy()
     selector = np.full(size, ESCAPE, np.int8)
     seen, before = 1, 0

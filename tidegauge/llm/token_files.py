@@ -21,8 +21,8 @@ writer, so a task that is lost or runs twice leaves one copy, on any storage Spa
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,75 +39,164 @@ from tidegauge.llm.simple8b import pack, unpack
 #: Words a block is closed at, and blocks a file has at most (64 MB).
 BLOCK_WORDS = 65_536
 FILE_BLOCKS = 128
-#: Words of text kept with their ids by a Python worker, and the longest one kept.
-KEPT_WORDS = 700_000
+#: Units of text kept with their ids by a Python worker, and the bytes of the longest one kept.
+KEPT_WORDS = 600_000
 KEPT_LENGTH = 64
-#: Words that are encoded as one text.
+#: Units that are encoded as one text.
 JOINED_WORDS = 10_000
 
 _HEAD, _HEAD_SIZE = "<4sIQQQ", 32
 _BLOCK, _MARK = b"S8BK", b"S8B1"
-#: How the vocabulary writes a blank.
-_BLANK = "\u0120"
+#: How the vocabulary writes a blank and a line feed, by their bytes.
+_WRITTEN = {b" ": "\u0120", b"\n": "\u010a"}
 _PART = r"part-(\d+)-"
-_SPACE_BEFORE_BLANK = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+
+#: Kinds of bytes: white space, ASCII that is neither white space nor letter, ASCII letters.
+_SPACE, _SIGN, _LETTER = 1, 2, 4
+_KINDS = np.zeros(256, "u1")
+_KINDS[:128] = _SIGN
+_KINDS[list(b"\t\n\v\f\r ")] = _SPACE
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+#: Last three bytes of characters that are, or once were, white space outside ASCII.
+_WIDE_SPACES = np.array([
+    int.from_bytes(chr(c).encode().rjust(3, b"\0")[-3:], "big")
+    for c in (0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)
+])
+
+
+def _cuts(text: np.ndarray, byte_level: bool) -> np.ndarray:
+    """Marks on the bytes of UTF-8 text where a piece begins in any case.
+
+    These are blanks behind a character that isn't white space. With the library's own byte-level
+    pattern they are also other ASCII white space behind such a character, and other ASCII signs
+    behind a letter of Latin-1: that pattern looks at what follows only, so the pieces behind such
+    a place don't depend on what stands before it; no piece reaches over it, and none before it
+    changes with what follows, as only white space does.
+    """
+    kinds = _KINDS[text]
+    behind = np.zeros(len(text), "u1")
+    behind[1:] = kinds[:-1]
+    # control characters 28 to 31 are white space to some
+    behind[1:][(text[:-1] >= 0x1C) & (text[:-1] < 0x20)] = _SPACE
+    behind[:1] = _SPACE
+    wide = np.flatnonzero((text[1:] < 0x80) & (text[:-1] >= 0x80)) + 1
+    if len(wide):
+        last, lead = text[wide - 1], text[wide - 2]
+        latin = (lead == 0xC3) & (last != 0x97) & (last != 0xB7)
+        three = (text[wide - 3].astype(np.int64) << 16) | (lead.astype(np.int64) << 8) | last
+        space = np.isin(three, _WIDE_SPACES) | ((lead == 0xC2) & ((last == 0x85) | (last == 0xA0)))
+        behind[wide] = np.where(latin, _LETTER, np.where(space, _SPACE, _SIGN))
+    if not byte_level:
+        return (text == ord(" ")) & (behind != _SPACE)
+    return ((kinds == _SPACE) & (behind != _SPACE)) | ((kinds == _SIGN) & (behind == _LETTER))
 
 
 class WordCache:
-    """A library tokenizer that is asked only for words not met before, many at a time.
+    """A library tokenizer that is asked only for units of text not met before, many at a time.
 
-    For byte-level tokenizers that split text by the usual pattern: no piece holds a blank behind
-    a character that isn't white space, so a text may be cut before such blanks, and of the ids of
-    joined words just those that begin a word begin with a blank.
+    For byte-level tokenizers that split text by the usual patterns: texts are cut into units, such
+    as a word with the blank before it or the signs behind a word, where a piece begins in any case
+    (see ``_cuts``), and each different unit of a slice is looked up once. Of the ids of joined
+    units just those that begin a unit begin with its white space. A text that holds an added token
+    is a unit of its own.
     """
 
     def __init__(self, tokenizer: str):
         self.tokenizer = Tokenizer.from_str(tokenizer)
         names = self.tokenizer.get_vocab()
-        self.begins = np.zeros(max(names.values()) + 1, bool)
-        self.begins[[k for name, k in names.items() if name.startswith(_BLANK)]] = True
-        self.ids: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
-        """The text in words, each but the first with the blank before it left out."""
-        if _SPACE_BEFORE_BLANK.search(text):
-            first, *rest = _CUT.split(text)
-            return [first, *(word[1:] for word in rest)]
-        return text.split(" ")
+        pattern = {"use_regex": True} | (json.loads(tokenizer)["pre_tokenizer"] or {})
+        kind = [pattern.get(k) for k in ("type", "use_regex", "add_prefix_space")]
+        self.byte_level = kind == ["ByteLevel", True, False]
+        self.begins = {}
+        for first, written in list(_WRITTEN.items())[: 2 if self.byte_level else 1]:
+            self.begins[first] = marks = np.zeros(max(names.values()) + 1, bool)
+            marks[[k for name, k in names.items() if name.startswith(written)]] = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ids: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        ids, lengths = self.code(pa.array(texts, pa.string()))
+        raw, ends = ids.tobytes(), (4 * np.cumsum(lengths)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has; null is empty."""
+        texts = pa.compute.fill_null(texts, "").cast(pa.large_string())
+        if not pa.compute.any(pa.compute.not_equal(texts, "")).as_py():
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        places = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+        size = int(places[-1] - places[0])
+        text = np.frombuffer(texts.buffers()[2], "u1")[places[0] :][:size]
+        places = places - places[0]
+        cuts = _cuts(text, self.byte_level)
+        for token in self.added:
+            for at in np.flatnonzero(pa.compute.match_substring(texts, token)).tolist():
+                cuts[places[at] : places[at + 1]] = False
+        cuts[places[:-1][places[:-1] < places[1:]]] = True
+        starts = np.flatnonzero(cuts)
+        units = pa.Array.from_buffers(
+            pa.large_binary(),
+            len(starts),
+            [None, pa.py_buffer(np.append(starts, size)), pa.py_buffer(text)],
+        ).dictionary_encode()
+        _, ends, raw = units.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(units.dictionary) + 1].tolist()
+        raw = raw.to_pybytes()
+        coded = self._look_up([raw[a:b] for a, b in zip(ends, ends[1:])])
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        unit = units.indices.to_numpy()
+        n = sizes[unit]
+        ends = np.cumsum(n)
+        shift = (np.cumsum(sizes) - sizes)[unit] - (ends - n)
+        at = np.repeat(shift, n)
+        at += np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(coded), "<u4")[at]
+        before = np.append(0, ends)[np.searchsorted(starts, places)]
+        return ids, np.diff(before)
+
+    def _look_up(self, units: list[bytes]) -> list[bytes]:
+        """The ids of different units."""
         if len(self.ids) > KEPT_WORDS:
             self.ids.clear()
         known = self.ids
-        split = [self.words(text) for text in texts]
-        heads = [words.pop(0) for words in split]
-        new = list(set().union(*split).difference(known))
-        # a word with blanks of its own, or a long one that isn't kept, is encoded by itself
-        odd = [w for w in new if " " in w or len(w) > KEPT_LENGTH]
-        plain = list(set(new).difference(odd)) if odd else new
-        known.update(zip(odd, self._each([f" {w}" for w in odd]), strict=True))
-        for at in range(0, len(plain), JOINED_WORDS):
-            some = plain[at : at + JOINED_WORDS]
-            known.update(zip(some, self._joined(some), strict=True))
-        coded = self._each(heads)
-        out = [a + b"".join(map(known.__getitem__, w)) for a, w in zip(coded, split, strict=True)]
-        for word in odd:
-            del known[word]
+        out = list(map(known.get, units))
+        missed = [at for at, ids in enumerate(out) if ids is None]
+        # a unit with more white space, or a long one that isn't kept, is encoded by itself
+        plain: dict[bytes, list[bytes]] = {first: [] for first in self.begins}
+        odd = []
+        for at in missed:
+            unit = units[at]
+            words = unit.split()
+            simple = len(words) == 1 and len(words[0]) == len(unit) - 1 < KEPT_LENGTH
+            (plain.get(unit[:1], odd) if simple else odd).append(unit)
+        known.update(zip(odd, self._each(odd), strict=True))
+        for first, some in plain.items():
+            for at in range(0, len(some), JOINED_WORDS):
+                part = some[at : at + JOINED_WORDS]
+                known.update(zip(part, self._joined(part, self.begins[first]), strict=True))
+        for at in missed:
+            out[at] = known[units[at]]
+        for unit in odd:
+            if len(unit) > KEPT_LENGTH:
+                del known[unit]
         return out
 
-    def _joined(self, words: list[str]) -> list[bytes]:
-        """The ids of each word with a blank before it."""
-        (coded,) = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
+    def _joined(self, units: list[bytes], begins: np.ndarray) -> list[bytes]:
+        """The ids of units that begin with one and the same white space and hold no other."""
+        text = b"".join(units).decode()
+        if any(token in text for token in self.added):
+            return self._each(units)
+        (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(coded.ids, "<u4")
-        first = np.flatnonzero(self.begins[ids])
-        if len(first) != len(words):
+        first = np.flatnonzero(begins[ids])
+        if len(first) != len(units):
             raise ValueError("the tokenizer joins or splits words at other places than blanks")
         raw, places = ids.tobytes(), (4 * first).tolist()
         return [raw[a:b] for a, b in zip(places, [*places[1:], len(raw)], strict=True)]
 
-    def _each(self, texts: list[str]) -> list[bytes]:
+    def _each(self, units: list[bytes]) -> list[bytes]:
+        texts = [unit.decode() for unit in units]
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (c.ids for c in coded)]
 
@@ -180,7 +269,6 @@ def write_token_files(
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer)
-    end = b"" if end_id is None else struct.pack("<I", end_id)
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")
     )
@@ -198,10 +286,10 @@ def write_token_files(
 
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                coded = [ids + end for ids in cache.encode(texts)]
-                lengths = np.array([len(ids) // 4 for ids in coded], np.int64)
-                words, n_words, n_escapes = pack(np.frombuffer(b"".join(coded), "<u4"), lengths)
+                ids, lengths = cache.code(part.column(1))
+                if end_id is not None:
+                    ids, lengths = np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
+                words, n_words, n_escapes = pack(ids, lengths)
                 yield from map(
                     record, made.add(part.column(0).to_pylist(), lengths, n_words, n_escapes, words)
                 )
