@@ -16,15 +16,19 @@ SLICE_ROWS = 1024
 SLICE_CHARS = 4_000_000
 
 
-def slices(batch: pa.RecordBatch, text_column: str) -> Iterator[pa.RecordBatch]:
+def slices(
+    batch: pa.RecordBatch, text_column: str, chars: int | None = None
+) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows that together hold a bounded amount of text.
 
-    A single text longer than the bound forms a slice of its own.
+    ``chars`` is that bound where it isn't the common one. A single text longer than the bound
+    forms a slice of its own.
     """
+    chars = chars or SLICE_CHARS
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_column)), 0)
     start, held = 0, 0
     for row, length in enumerate(lengths.to_pylist()):
-        if row > start and (held + length > SLICE_CHARS or row - start >= SLICE_ROWS):
+        if row > start and (held + length > chars or row - start >= SLICE_ROWS):
             yield batch.slice(start, row - start)
             start, held = row, 0
         held += length

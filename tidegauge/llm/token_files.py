@@ -40,10 +40,11 @@ from tidegauge.llm.simple8b import pack, unpack
 BLOCK_WORDS = 65_536
 FILE_BLOCKS = 128
 #: Units of text kept with their ids by a Python worker, and the bytes of the longest one kept.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 KEPT_LENGTH = 64
-#: Units that are encoded as one text.
+#: Units that are encoded as one text, and bytes of texts that are cut into units at a time.
 JOINED_WORDS = 10_000
+SLICE_CHARS = 1_000_000
 
 _HEAD, _HEAD_SIZE = "<4sIQQQ", 32
 _BLOCK, _MARK = b"S8BK", b"S8B1"
@@ -285,7 +286,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([block])], ["block"])
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_CHARS):
                 ids, lengths = cache.code(part.column(1))
                 if end_id is not None:
                     ids, lengths = np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
