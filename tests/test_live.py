@@ -3,11 +3,14 @@
 import json
 from collections import Counter
 from datetime import date
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidegauge import operators as op
+from tidegauge.files import Files
 from tidegauge.operators.delivered import Delivered
 from tidegauge.plans.flow import _mark_late, build_flow
 from tidegauge.plans.spec import (
@@ -106,6 +109,26 @@ def test_a_frame_of_one_input_fetches_nothing_else(spark, counted):
     assert set(fetched()) == {f"b-{HOUR}-{2 * HOUR}", f"b-{2 * HOUR}-{3 * HOUR}"}
 
 
+def test_the_pages_of_a_batch_are_landed_in_small_row_groups(spark, tmp_path, monkeypatch):
+    sizes, remove = [], Files.remove
+
+    def look(self, path):
+        if "/pages-" in path:
+            for file in Path(path.removeprefix("file://")).rglob("*.parquet"):
+                meta = pq.ParquetFile(file).metadata
+                sizes.extend(meta.row_group(g).num_rows for g in range(meta.num_row_groups))
+        remove(self, path)
+
+    monkeypatch.setattr(Files, "remove", look)
+    body = json.dumps({"events": [{"eventId": "e", "timestamp": 1000, "message": '{"o": "c"}'}]})
+    rows = [("app", "cloudwatch", "logs", None, 0, 1, n, body + " " * 9_000, "app") for n in range(200)]
+    spark.createDataFrame(rows, ddl(INPUT_PAGES)).coalesce(1).write.parquet(str(tmp_path / "in"))
+    spec = flow_spec(tmp_path, "app")
+    stream(spark, spec, tmp_path / "in", tmp_path / "ck")
+    assert sum(sizes) == 200 and max(sizes) <= 64
+    assert stored(spark, spec) == {("app", "e"): 1}
+
+
 # --- polling ----------------------------------------------------------------------------
 
 

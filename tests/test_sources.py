@@ -2,6 +2,7 @@ import json
 import random
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from tidegauge.plans.spec import (
     OffsetSpec,
     PrometheusQuery,
 )
+from tidegauge.schema import RAW_PAGES, ddl
 
 START = OffsetSpec(0)
 
@@ -320,3 +322,18 @@ def test_landed_table_prunes_to_one_stream(spark, pages, tmp_path):
     assert landed.count() == 2
     plan = landed.where("stream_key = 'a'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(stream_key" in plan
+
+
+def test_landed_pages_are_read_few_at_a_time(spark, tmp_path):
+    # a task that reads Parquet holds the bodies of a row group, up to 4,096 rows
+    path = tmp_path / "pages"
+    rows = [("s", "cloudwatch", "logs", None, 0, 1, no, f"{no:09}" * 2_000) for no in range(200)]
+    frame = spark.createDataFrame(rows, ddl(RAW_PAGES)).coalesce(1)
+    sources.land_pages(frame, str(path))
+    groups = [
+        file.metadata.row_group(g).num_rows
+        for file in map(pq.ParquetFile, path.rglob("*.parquet")) for g in range(file.num_row_groups)
+    ]
+    assert sum(groups) == 200 and max(groups) <= 64
+    landed = sources.read_pages(spark, str(path)).select(*RAW_PAGES)
+    assert sorted(landed.collect(), key=lambda r: r.page_no) == rows

@@ -27,7 +27,7 @@ from tidegauge.operators.ranges import (
 from tidegauge.plans.spec import STEP_MS, FlowSpec, InputSpec, input_keys
 from tidegauge.schema import CONTENT, REJECT
 from tidegauge.session import config_table, configure, shared_dir
-from tidegauge.sources import normalizer_for
+from tidegauge.sources import PAGE_FILES, normalizer_for
 from tidegauge.sources.pull import PageFetcher, PulledPages, pull_ranges
 from tidegauge.streaming import poll_trigger, stream_run, stream_to
 
@@ -199,7 +199,7 @@ class Flow:
             spark = batch.sparkSession
             run_id = stream_run(spark, checkpoint, batch_id)
             landed = shared_dir(spark, f"pages-{run_id}")
-            batch.write.partitionBy("stream_key").parquet(landed)
+            batch.write.partitionBy("stream_key").options(**PAGE_FILES).parquet(landed)
             pages = spark.read.schema(batch.schema).parquet(landed)
             build_flow(spark, spec, pages, transforms).deliver(run_id, lateness=lateness)
             Files(spark).remove(landed)

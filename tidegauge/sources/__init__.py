@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegauge.schema import INPUT_PAGES, ddl
 from tidegauge.sources.cloudwatch import normalize_cloudwatch_logs, normalize_cloudwatch_metrics
 from tidegauge.sources.datadog import normalize_datadog_logs, normalize_datadog_metrics
+from tidegauge.sources.pages import PAGE_FILES
 from tidegauge.sources.prometheus import normalize_prometheus_metrics, resolve_org
 from tidegauge.sources.pull import (
     PulledPages,
@@ -55,14 +56,14 @@ def read_pages(
 
 def land_pages(pages: DataFrame, path: str) -> None:
     """Append pages to the landed table, partitioned so that one input reads only its own.
-    The rebalance hint evens out file sizes and splits a hot input over several tasks."""
+    The rebalance hint evens out file sizes and splits a hot input over several tasks. Row groups
+    are small, as a task that reads them holds a group's bodies."""
     columns = [
         (F.col(c) if c in pages.columns else F.lit(None)).cast(t).alias(c)
         for c, t in INPUT_PAGES.items()
     ]
-    pages.select(*columns).hint("rebalance", "stream_key").write.mode("append").partitionBy(
-        "stream_key"
-    ).parquet(path)
+    writer = pages.select(*columns).hint("rebalance", "stream_key").write.mode("append")
+    writer.partitionBy("stream_key").options(**PAGE_FILES).parquet(path)
 
 
 def read_ranges(
@@ -74,7 +75,7 @@ def read_ranges(
 
 
 __all__ = [
-    "PulledPages", "land_pages", "normalize_cloudwatch_logs", "normalize_cloudwatch_metrics",
+    "PAGE_FILES", "PulledPages", "land_pages", "normalize_cloudwatch_logs", "normalize_cloudwatch_metrics",
     "normalize_datadog_logs", "normalize_datadog_metrics", "normalize_prometheus_metrics",
     "normalizer_for", "paged_pull_source", "read_pages", "read_ranges", "register_normalizer",
     "pull_ranges", "register_paged_pull", "resolve_org",

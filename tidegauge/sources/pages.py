@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 
 PERMISSIVE = {"mode": "PERMISSIVE"}
 
+#: Options of Parquet files that hold whole pages. Spark's reader holds up to 4,096 rows of a row
+#: group at once, hundreds of megabytes of bodies, so a group has few rows. Sizes are looked at
+#: from the first row on, by default only after a hundred.
+PAGE_FILES = {
+    "parquet.block.row.count.limit": "64",
+    "parquet.block.size": str(8 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
+
 
 def with_record(rows: DataFrame, text: str, ddl: str, name: str) -> DataFrame:
     """Add the JSON object held by a text column, null when the text is anything else.
