@@ -2,7 +2,7 @@
 
 import json
 from collections import Counter
-from datetime import date
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -13,12 +13,14 @@ from tidegauge import operators as op
 from tidegauge.files import Files
 from tidegauge.operators.delivered import Delivered
 from tidegauge.plans.flow import _mark_late, build_flow
+from tidegauge.plans.live import _pulled_flow
 from tidegauge.plans.spec import (
     FlowSpec, InputSpec, LogField, LogFilter, OffsetSpec, OutputSpec,
 )
+from tidegauge.plans.tables import PAGE_ROWS
 from tidegauge.schema import INPUT_PAGES, ddl
 from tidegauge.sources import PulledPages, read_pages, register_paged_pull
-from tidegauge.sources.pull import _StreamReader
+from tidegauge.sources.pull import _BatchReader, _StreamReader
 from tidegauge.streaming import run_available
 
 HOUR = 3_600_000
@@ -129,6 +131,46 @@ def test_the_pages_of_a_batch_are_landed_in_small_row_groups(spark, tmp_path, mo
     assert stored(spark, spec) == {("app", "e"): 1}
 
 
+@pytest.mark.parametrize("kind", [_BatchReader, _StreamReader])
+def test_pulled_pages_are_handed_over_in_bounded_batches(kind):
+    def fetch(key, start, end):
+        for page in range(3):
+            yield (page or None), f"{start}-{page}".ljust(400_000)
+        yield None, None
+
+    inputs = [{"stream_key": 7, "provider": "cloudwatch", "kind": "logs", "start_from": 0}]
+    reader = kind(fetch, {"inputs": json.dumps(inputs), "now_ms": str(4 * HOUR + 24_000), "ranges_per_task": "64"})
+    if kind is _BatchReader:
+        [task] = reader.partitions()
+    else:
+        [task] = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    batches = list(reader.read(task))
+    assert max(sum(len(b or "") for b in batch["body"].to_pylist()) for batch in batches) < 1 << 21
+    rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+    assert rows == [
+        ("7", "cloudwatch", "logs", q, at, end, no, body, "7")
+        for at, end in [*((h * HOUR, (h + 1) * HOUR) for h in range(4)), (4 * HOUR, 4 * HOUR + 24_000)]
+        for no, (q, body) in enumerate(fetch("7", at, end))
+    ]
+
+
+def test_the_query_that_pulls_events_fetches_pages_of_bounded_length(spark, tmp_path):
+    at = datetime(2024, 1, 1)
+    rows = [(n, at + timedelta(seconds=n % 3_000), n % 7, "view", 1.5, '{"k": 2}') for n in range(2_400)]
+    rows.append((2_400, at + timedelta(minutes=90), 1, "view", 1.5, '{"k": 2}'))
+    rows.append((2_401, None, 1, "view", 1.5, '{"k": 2}'))
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    # row groups that each hold some of every range
+    options = {"parquet.block.row.count.limit": "100"}
+    spark.createDataFrame(rows, schema).repartition(3).write.options(**options).parquet(f"{tmp_path}/events.parquet")
+    flow, _ = _pulled_flow(spark, str(tmp_path), "test")
+    pages = [[e["eventId"] for e in json.loads(p.body)["events"]] for p in flow.pages.collect()]
+    assert max(map(len, pages)) <= PAGE_ROWS
+    assert sorted(int(i) for page in pages for i in page) == list(range(2_401))
+    assert {int(page[0]) % 2 for page in pages} == {0, 1}
+    assert all(len({int(i) % 2 for i in page}) == 1 for page in pages)
+
+
 # --- polling ----------------------------------------------------------------------------
 
 

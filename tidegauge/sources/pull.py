@@ -35,6 +35,11 @@ from tidegauge.schema import INPUT_PAGES, ddl
 
 PageFetcher = Callable[[str, int, int], Iterable[tuple[int | None, str]]]
 
+#: Characters of page bodies after which an Arrow batch is handed over.
+BATCH_CHARS = 1 << 20
+_ARROW = {"bigint": pa.int64(), "int": pa.int32()}
+_PAGES = pa.schema([(c, _ARROW.get(t, pa.string())) for c, t in INPUT_PAGES.items()])
+
 
 class TimeRange(InputPartition):
     def __init__(
@@ -119,6 +124,30 @@ def _read(fetch: PageFetcher, part: TimeRange) -> Iterator[tuple]:
         )
 
 
+def _batches(pages: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Pages in batches bounded by their text. Of tuples Spark would make batches of 10,000 pages,
+    so a task would hold the bodies of all its ranges, several times over."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [
+            pa.array([v if v is None or isinstance(v, str) else str(v) for v in values], f.type)
+            if f.type == pa.string() else pa.array(values, f.type)
+            for values, f in zip(zip(*rows, strict=True), _PAGES, strict=True)
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=_PAGES)
+
+    body = _PAGES.get_field_index("body")
+    rows, chars = [], 0
+    for page in pages:
+        rows.append(page)
+        chars += len(page[body] or "")
+        if chars >= BATCH_CHARS or len(rows) >= 1_000:
+            yield batch(rows)
+            rows, chars = [], 0
+    if rows:
+        yield batch(rows)
+
+
 def pull_ranges(ranges: DataFrame, fetch: PageFetcher, tasks: int | None = None) -> DataFrame:
     """The pages of planned ranges ``(stream_key, provider, kind, input_key, start_ms, end_ms)``.
 
@@ -127,17 +156,14 @@ def pull_ranges(ranges: DataFrame, fetch: PageFetcher, tasks: int | None = None)
     themselves never pass through the driver, however long the lag is.
     """
     columns = ["stream_key", "provider", "kind", "input_key", "start_ms", "end_ms"]
-    schema = pa.schema(
-        [(c, {"bigint": pa.int64(), "int": pa.int32()}.get(t, pa.string())) for c, t in INPUT_PAGES.items()]
-    )
 
     def pull(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 for page in _read(fetch, TimeRange(**row)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([v], f.type) for v, f in zip(page, schema, strict=True)],
-                        schema=schema,
+                        [pa.array([v], f.type) for v, f in zip(page, _PAGES, strict=True)],
+                        schema=_PAGES,
                     )
 
     tasks = tasks or int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -157,9 +183,8 @@ class _BatchReader(DataSourceReader):
             tasks += [TimeRanges(ranges[at : at + size]) for at in range(0, len(ranges), size)]
         return tasks
 
-    def read(self, partition: TimeRanges) -> Iterator[tuple]:
-        for part in partition.ranges:
-            yield from _read(self.fetch, part)
+    def read(self, partition: TimeRanges) -> Iterator[pa.RecordBatch]:
+        return _batches(page for part in partition.ranges for page in _read(self.fetch, part))
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -230,9 +255,9 @@ class _StreamReader(DataSourceStreamReader):
             tasks += ranges
         return tasks
 
-    def read(self, partition: TimeRange | TimeRanges) -> Iterator[tuple]:
-        for part in partition.ranges if isinstance(partition, TimeRanges) else [partition]:
-            yield from _read(self.fetch, part)
+    def read(self, partition: TimeRange | TimeRanges) -> Iterator[pa.RecordBatch]:
+        ranges = partition.ranges if isinstance(partition, TimeRanges) else [partition]
+        return _batches(page for part in ranges for page in _read(self.fetch, part))
 
     def commit(self, end: dict) -> None:
         self.reached = dict(end["heads"])
